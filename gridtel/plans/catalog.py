@@ -1,17 +1,21 @@
 """Registered queries (Spark) and their DuckDB oracle statements.
 
 Every query reads the driver tables through the stand-in adapter and runs
-the library's operators over all rows.
+the library's operators over all rows.  Names list the survey operators
+each one exercises.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import analytics
+from ..functions.timefmt import to_rfc3339
+from ..operators import analytics, contract, quality, registry
+from ..operators.dedup import duplicate_keys, keep_latest
 from . import oracle as O
-from .layers import Layers
+from .layers import ADAPTER_ID_PATTERN, Layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,8 +30,380 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# --- A7 flagship ---------------------------------------------------------------
-@register("region_tsi", O.pipeline_sql(f"""
+P = O.pipeline_sql
+MEAS_COLS = ("load_percent, ambient_temperature_c, oil_temperature_c, winding_temperature_c, "
+             "oil_level_percent, current_a, voltage_kv")
+LOOKUP_UNIT = "TR-00001"
+EVENT_UNIT = "TR-00008"
+WINDOW = ("1994-01-01 00:00:00", "1996-12-31 23:59:59")
+TOPIC = "'transformers/' || {u} || '/telemetry'"
+
+
+# --- contract (V1-V9) ---------------------------------------------------------------
+@register("contract_reject_reason", P(f"""
+SELECT {TOPIC.format(u='topic_unit')} AS topic, received_at, reject_reason FROM val WHERE reject_reason IS NOT NULL"""))
+def q_contract_reject_reason(spark, sf_dir):
+    """V1-V8: every rejected envelope with the first rule it fails."""
+    L = Layers(spark, sf_dir)
+    return contract.rejected(L.validated).select("topic", "received_at", "reject_reason")
+
+
+@register("reject_counts", P("""
+SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n FROM val GROUP BY 1"""))
+def q_reject_counts(spark, sf_dir):
+    """V9: accepted / per-reason counters."""
+    return contract.reject_counts(Layers(spark, sf_dir).validated)
+
+
+@register("contract_unknown_unit", P("""
+SELECT transformer_id, count(*) AS n FROM val WHERE reject_reason = 'unknown_transformer' GROUP BY 1"""))
+def q_contract_unknown_unit(spark, sf_dir):
+    """Messages from units missing in the (validated) registry, per unit."""
+    v = Layers(spark, sf_dir).validated
+    return v.filter(F.col("reject_reason") == "unknown_transformer").groupBy("transformer_id") \
+            .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("contract_timestamp", P("""
+SELECT transformer_id, received_at FROM val WHERE reject_reason = 'bad_timestamp'"""))
+def q_contract_timestamp(spark, sf_dir):
+    """V4: messages whose timestamp is not strict RFC3339 (or too far in the future)."""
+    v = Layers(spark, sf_dir).validated
+    return v.filter(F.col("reject_reason") == "bad_timestamp").select("transformer_id", "received_at")
+
+
+@register("topic_parse", P("""
+SELECT topic_unit, count(*) AS n FROM tel GROUP BY 1"""))
+def q_topic_parse(spark, sf_dir):
+    """V7: unit parsed from each envelope topic, counted."""
+    parsed = contract.parse_envelopes(Layers(spark, sf_dir).envelopes)
+    return parsed.groupBy("topic_unit").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("topic_mismatch", P(f"""
+SELECT {TOPIC.format(u='topic_unit')} AS topic, transformer_id, received_at FROM val WHERE reject_reason = 'topic'"""))
+def q_topic_mismatch(spark, sf_dir):
+    """V8: valid payloads published on another unit's topic."""
+    v = Layers(spark, sf_dir).validated
+    return v.filter(F.col("reject_reason") == "topic").select("topic", "transformer_id", "received_at")
+
+
+# --- registry (V10-V12, U3, U4, L1, P9) ----------------------------------------------
+@register("registry_reject_reason", P("""
+SELECT transformer_id, reject_reason FROM reg_chk WHERE reject_reason IS NOT NULL"""))
+def q_registry_reject_reason(spark, sf_dir):
+    """Design records failing a rule, with the first failing rule."""
+    c = Layers(spark, sf_dir).registry_checked
+    return c.filter(F.col("reject_reason").isNotNull()).select("transformer_id", "reject_reason")
+
+
+@register("registry_audit", P("""
+SELECT 'unique_ids' AS check_name, count(transformer_id) = count(DISTINCT transformer_id) AS ok FROM reg_in
+UNION ALL SELECT 'power_positive', coalesce(bool_and(rated_power_mva > 0), true) FROM reg_in
+UNION ALL SELECT 'hv_above_lv', coalesce(bool_and(hv_voltage_kv > lv_voltage_kv), true) FROM reg_in
+UNION ALL SELECT 'frequency_50_60', coalesce(bool_and(frequency_hz IN (50, 60)), true) FROM reg_in
+UNION ALL SELECT 'phases_1_or_3', coalesce(bool_and(phase_count IN (1, 3)), true) FROM reg_in
+UNION ALL SELECT 'impedance_positive', coalesce(bool_and(impedance_percent > 0), true) FROM reg_in
+UNION ALL SELECT 'dimensions_positive', coalesce(bool_and(length_m > 0 AND width_m > 0 AND height_m > 0), true) FROM reg_in"""))
+def q_registry_audit(spark, sf_dir):
+    """Seven named fleet checks over the incoming design base."""
+    return registry.audit(Layers(spark, sf_dir).registry_input)
+
+
+def _constraint_sql(table, key_expr, src, constraints):
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {key_expr} AS row_key, '{name}' AS constraint_name FROM {src} "
+        f"WHERE NOT ({pred})" for name, pred in constraints)
+
+
+@register("constraint_violations", P(
+    "SELECT * FROM (" + _constraint_sql("transformers", "transformer_id", "reg_in", registry.REGISTRY_CONSTRAINTS)
+    + "\nUNION ALL " + _constraint_sql("measurements", "transformer_id || '@' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ')",
+                                       "meas", registry.MEASUREMENT_CONSTRAINTS) + ")"))
+def q_constraint_violations(spark, sf_dir):
+    """Table CHECK constraints evaluated before a write, one row per violation."""
+    L = Layers(spark, sf_dir)
+    r = registry.constraint_violations(L.registry_input.withColumn("row_key", F.col("transformer_id")),
+                                       registry.REGISTRY_CONSTRAINTS, key="row_key")
+    m = registry.constraint_violations(
+        L.measurements.withColumn("row_key", F.concat_ws("@", "transformer_id", to_rfc3339("ts"))),
+        registry.MEASUREMENT_CONSTRAINTS, key="row_key")
+    return (r.select(F.lit("transformers").alias("table_name"), "row_key", "constraint_name")
+            .unionByName(m.select(F.lit("measurements").alias("table_name"), "row_key", "constraint_name")))
+
+
+def _upsert_inputs(L: Layers):
+    current = L.registry.filter(F.col("application") != "generation")
+    incoming = L.registry.filter(F.col("application").isin("generation", "renewable")).withColumn(
+        "impedance_percent",
+        F.when(F.col("application") == "renewable", F.col("impedance_percent") + 1).otherwise(F.col("impedance_percent")))
+    return current, incoming
+
+
+@register("registry_upsert", P("""
+SELECT * FROM reg WHERE application NOT IN ('generation', 'renewable')
+UNION ALL
+SELECT * REPLACE (CASE WHEN application = 'renewable' THEN impedance_percent + 1 ELSE impedance_percent END AS impedance_percent)
+FROM reg WHERE application IN ('generation', 'renewable')"""))
+def q_registry_upsert(spark, sf_dir):
+    """Last-wins merge of a revision batch (new generation units, revised renewable units)."""
+    current, incoming = _upsert_inputs(Layers(spark, sf_dir))
+    return registry.upsert(current, incoming)
+
+
+@register("registry_insert", P("""
+SELECT b.transformer_id,
+       CASE WHEN b.reject_reason IS NOT NULL THEN 'invalid:' || b.reject_reason
+            WHEN e.transformer_id IS NOT NULL OR c.n > 1 THEN 'conflict' ELSE 'accepted' END AS outcome
+FROM (SELECT * FROM reg_chk WHERE application IN ('generation', 'industrial')) b
+LEFT JOIN (SELECT transformer_id, count(*) AS n FROM reg_chk WHERE application IN ('generation', 'industrial') GROUP BY 1) c
+  ON c.transformer_id = b.transformer_id
+LEFT JOIN (SELECT DISTINCT transformer_id FROM reg WHERE application <> 'generation') e ON e.transformer_id = b.transformer_id"""))
+def q_registry_insert(spark, sf_dir):
+    """U4: registration batch classified as accepted / invalid:<rule> / conflict."""
+    L = Layers(spark, sf_dir)
+    existing = L.registry.filter(F.col("application") != "generation")
+    batch = L.registry_input.filter(F.col("application").isin("generation", "industrial"))
+    return registry.insert_new(existing, batch, ADAPTER_ID_PATTERN).select("transformer_id", "outcome")
+
+
+@register("registry_page", P("""
+SELECT transformer_id, application, rated_power_mva FROM reg ORDER BY transformer_id LIMIT 100 OFFSET 100"""))
+def q_registry_page(spark, sf_dir):
+    """Second page of 100 registry rows by id."""
+    return registry.page_by_id(Layers(spark, sf_dir).registry, 100, 100) \
+                   .select("transformer_id", "application", "rated_power_mva")
+
+
+@register("unit_lookup", P(f"SELECT * FROM reg WHERE transformer_id = '{LOOKUP_UNIT}'"))
+def q_unit_lookup(spark, sf_dir):
+    """Key lookup in the registry (empty result = not found)."""
+    return Layers(spark, sf_dir).registry.filter(F.col("transformer_id") == LOOKUP_UNIT)
+
+
+# --- bronze / silver (S4 S5 U1 U2 U5 P1-P8 P14 M1-M3) -------------------------------------
+@register("bronze_raw", P(f"""
+SELECT id, transformer_id, schema_version, {TOPIC.format(u='transformer_id')} AS topic, 'mqtt' AS source,
+       received_at AS ingested_at FROM first_acc"""))
+def q_bronze_raw(spark, sf_dir):
+    """Bronze rows, first delivery of each ``unit@timestamp`` key."""
+    return Layers(spark, sf_dir).raw.drop("payload")
+
+
+@register("dedup_first", P("SELECT * FROM meas"))
+def q_dedup_first(spark, sf_dir):
+    """Normalized measurements, first per (unit, instant), state recomputed."""
+    return Layers(spark, sf_dir).measurements
+
+
+@register("dedup_latest", P(f"""
+SELECT transformer_id, ts, received_at, {MEAS_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY transformer_id, ts
+        ORDER BY received_at DESC, current_a DESC, load_percent DESC, ambient_temperature_c DESC,
+                 winding_temperature_c DESC, voltage_kv DESC, oil_level_percent DESC, state DESC,
+                 oil_temperature_c DESC) AS rn
+  FROM val WHERE reject_reason IS NULL) WHERE rn = 1"""))
+def q_dedup_latest(spark, sf_dir):
+    """Latest delivery wins per (unit, timestamp) over all accepted messages."""
+    acc = contract.accepted(Layers(spark, sf_dir).validated)
+    cols = ["transformer_id", "ts", "received_at", "current_a", "load_percent", "ambient_temperature_c",
+            "winding_temperature_c", "voltage_kv", "oil_level_percent", "state", "oil_temperature_c", "payload"]
+    latest = keep_latest(acc.select(*cols), ["transformer_id", "ts"], cols[2:])
+    return latest.select("transformer_id", "ts", "received_at", *O_MEAS)
+
+
+O_MEAS = [c.strip() for c in MEAS_COLS.split(",")]
+
+
+@register("stg_telemetry", P("SELECT * FROM stg"))
+def q_stg(spark, sf_dir):
+    """Staged silver telemetry extracted from bronze payloads."""
+    return Layers(spark, sf_dir).stg
+
+
+@register("quality_flag", P("SELECT quality_flag, count(*) AS n FROM stg GROUP BY 1"))
+def q_quality_flag(spark, sf_dir):
+    """Completeness flag distribution."""
+    return Layers(spark, sf_dir).stg.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("normalize_ts", P("SELECT id, ts, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts_text FROM stg"))
+def q_normalize_ts(spark, sf_dir):
+    """Payload timestamp -> instant (second precision) -> RFC3339 text."""
+    return Layers(spark, sf_dir).stg.select("id", "ts", to_rfc3339("ts").alias("ts_text"))
+
+
+@register("normalize_state", P("SELECT state, state_recomputed, count(*) AS n FROM int_tel GROUP BY 1, 2"))
+def q_normalize_state(spark, sf_dir):
+    """Payload state (trimmed, upper) against the recomputed state."""
+    return Layers(spark, sf_dir).int.groupBy("state", "state_recomputed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("enriched", P("SELECT * FROM int_tel"))
+def q_enriched(spark, sf_dir):
+    """Enriched silver telemetry (stress index, recomputed state, margins)."""
+    return Layers(spark, sf_dir).int
+
+
+@register("duplicate_keys", P("""
+SELECT transformer_id, ts, count(*) AS cnt FROM val WHERE reject_reason IS NULL GROUP BY 1, 2 HAVING count(*) > 1"""))
+def q_duplicate_keys(spark, sf_dir):
+    """A10/Q5: redelivered (unit, instant) keys among accepted messages."""
+    return duplicate_keys(contract.accepted(Layers(spark, sf_dir).validated), ["transformer_id", "ts"])
+
+
+# --- gold (G1-G6, W2) ---------------------------------------------------------------
+@register("dim_time", P("SELECT * FROM dim_time"))
+def q_dim_time(spark, sf_dir):
+    """Time spine of distinct instants."""
+    return Layers(spark, sf_dir).dim_time
+
+
+@register("dim_transformer", P("SELECT * FROM dim_transformer"))
+def q_dim_transformer(spark, sf_dir):
+    """Design dimension."""
+    return Layers(spark, sf_dir).dim_transformer
+
+
+@register("dim_location", P("SELECT * FROM dim_location"))
+def q_dim_location(spark, sf_dir):
+    """Synthetic site dimension."""
+    return Layers(spark, sf_dir).dim_location
+
+
+@register("fact_measurement", P("SELECT * FROM fact"))
+def q_fact_measurement(spark, sf_dir):
+    """Wide measurement fact."""
+    return Layers(spark, sf_dir).fact
+
+
+@register("fact_event", O.with_ctes(O.EVENTS) + """
+SELECT ts AS time_key, transformer_id AS transformer_key, transformer_id AS location_key, event_type, severity,
+       count(*) OVER (PARTITION BY transformer_id, event_type, severity) AS event_count
+FROM ev""")
+def q_fact_event(spark, sf_dir):
+    """Event fact with per-(unit, type, severity) counts."""
+    return Layers(spark, sf_dir).fact_event
+
+
+@register("sensor_envelope", P("""
+SELECT s.sensor_name, s.sensor_type, s.unit, s.min_limit, s.max_limit,
+       min(x) AS observed_min, max(x) AS observed_max,
+       count(*) FILTER (WHERE (s.min_limit IS NOT NULL AND x < s.min_limit) OR (s.max_limit IS NOT NULL AND x > s.max_limit)) AS out_of_limits,
+       count(x) AS n
+FROM (SELECT 'load' AS sensor_name, load_percent AS x FROM fact
+      UNION ALL SELECT 'ambient', ambient_temperature_c FROM fact
+      UNION ALL SELECT 'oil_temperature', oil_temperature_c FROM fact
+      UNION ALL SELECT 'winding_temperature', winding_temperature_c FROM fact
+      UNION ALL SELECT 'oil_level', oil_level_percent FROM fact
+      UNION ALL SELECT 'current', current_a FROM fact
+      UNION ALL SELECT 'voltage', voltage_kv FROM fact) f
+JOIN (VALUES ('load','LOAD','%',0,200), ('ambient','TEMPERATURE','°C',-20,55),
+             ('oil_temperature','TEMPERATURE','°C',-20,150), ('winding_temperature','TEMPERATURE','°C',-20,200),
+             ('oil_level','LEVEL','%',0,100), ('current','CURRENT','A',0,NULL), ('voltage','VOLTAGE','kV',0,NULL))
+     AS s(sensor_name, sensor_type, unit, min_limit, max_limit) ON s.sensor_name = f.sensor_name
+GROUP BY 1, 2, 3, 4, 5"""))
+def q_sensor_envelope(spark, sf_dir):
+    """Sensor catalog joined with observed ranges and out-of-limit counts."""
+    L = Layers(spark, sf_dir)
+    return analytics.sensor_envelope(L.fact, L.dim_sensor)
+
+
+# --- lookups, windows, pages (P10 A1 L2) ----------------------------------------------------
+@register("telemetry_window", P(f"""
+SELECT * FROM meas WHERE transformer_id = '{LOOKUP_UNIT}'
+  AND ts >= TIMESTAMP '{WINDOW[0]}' AND ts <= TIMESTAMP '{WINDOW[1]}'
+ORDER BY ts DESC LIMIT 100"""))
+def q_telemetry_window(spark, sf_dir):
+    """P10/L2: one unit's measurements in a closed window, newest first, one page."""
+    m = analytics.telemetry_window(Layers(spark, sf_dir).measurements, LOOKUP_UNIT, *WINDOW)
+    return analytics.newest_first_page(m, 100)
+
+
+@register("telemetry_window_count", P(f"""
+SELECT 'telemetry_window' AS what, count(*) AS n FROM meas WHERE transformer_id = '{LOOKUP_UNIT}'
+  AND ts >= TIMESTAMP '{WINDOW[0]}' AND ts <= TIMESTAMP '{WINDOW[1]}'
+UNION ALL SELECT 'transformers', count(*) FROM reg
+UNION ALL SELECT 'raw_telemetry', count(*) FROM first_acc"""))
+def q_telemetry_window_count(spark, sf_dir):
+    """A1: window total, registry size and bronze size."""
+    L = Layers(spark, sf_dir)
+    w = analytics.telemetry_window(L.measurements, LOOKUP_UNIT, *WINDOW)
+    cnt = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+    return cnt(w, "telemetry_window").unionByName(cnt(L.registry, "transformers")).unionByName(cnt(L.raw, "raw_telemetry"))
+
+
+@register("events_page", O.with_ctes(O.EVENTS) + f"""
+SELECT transformer_id, event_type, severity, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, payload
+FROM ev WHERE transformer_id = '{EVENT_UNIT}'
+ORDER BY ts DESC, event_type, severity, payload LIMIT 100""")
+def q_events_page(spark, sf_dir):
+    """L2: one unit's events newest first (full tie-breaker), RFC3339 timestamps."""
+    ev = Layers(spark, sf_dir).events.filter(F.col("transformer_id") == EVENT_UNIT)
+    page = analytics.newest_first_page(ev, 100, tie=("event_type", "severity", "payload"))
+    return page.select("transformer_id", "event_type", "severity", to_rfc3339("ts").alias("timestamp"), "payload")
+
+
+# --- aggregations (A2-A8, A11-A16) -------------------------------------------------------------
+@register("stats_per_unit", P(f"""
+SELECT r.transformer_id, coalesce(m.count, 0) AS count,
+       coalesce(m.min_load_percent, 0) AS min_load_percent, coalesce(m.max_load_percent, 0) AS max_load_percent,
+       coalesce(m.avg_load_percent, 0) AS avg_load_percent, coalesce(m.max_oil_temperature_c, 0) AS max_oil_temperature_c,
+       coalesce(m.max_winding_temperature_c, 0) AS max_winding_temperature_c,
+       coalesce(m.avg_winding_temperature_c, 0) AS avg_winding_temperature_c,
+       coalesce(t.avg_thermal_stress_index, 0) AS avg_thermal_stress_index
+FROM reg r
+LEFT JOIN (SELECT transformer_id, count(*) AS count, min(load_percent) AS min_load_percent,
+                  max(load_percent) AS max_load_percent, {O.xavg('load_percent', 1)} AS avg_load_percent,
+                  max(oil_temperature_c) AS max_oil_temperature_c, max(winding_temperature_c) AS max_winding_temperature_c,
+                  {O.xavg('winding_temperature_c', 1)} AS avg_winding_temperature_c
+           FROM meas GROUP BY 1) m ON m.transformer_id = r.transformer_id
+LEFT JOIN (SELECT transformer_key, {O.xavg('thermal_stress_index', 3)} AS avg_thermal_stress_index
+           FROM fact GROUP BY 1) t ON t.transformer_key = r.transformer_id"""))
+def q_stats_per_unit(spark, sf_dir):
+    """Statistics of every registered unit (zeros when it has no rows)."""
+    L = Layers(spark, sf_dir)
+    return analytics.unit_statistics(L.measurements, L.fact, L.registry)
+
+
+@register("top_units", P("""
+SELECT transformer_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM meas
+GROUP BY 1 ORDER BY n DESC, transformer_id LIMIT 5"""))
+def q_top_units(spark, sf_dir):
+    """A3/L3: five busiest units with first/last instant."""
+    return analytics.top_units(Layers(spark, sf_dir).measurements)
+
+
+@register("state_tsi", P(f"""
+SELECT transformer_id, state_recomputed, count(*) AS n, {O.rhu(O.xavg('thermal_stress_index'), 4)} AS avg_tsi
+FROM int_tel GROUP BY 1, 2 ORDER BY n DESC, transformer_id, state_recomputed LIMIT 5"""))
+def q_state_tsi(spark, sf_dir):
+    """A4/L3: rows and average stress per (unit, recomputed state), top 5."""
+    return analytics.state_tsi(Layers(spark, sf_dir).int)
+
+
+@register("unit_oil", P(f"""
+SELECT dt.transformer_key, dt.application, count(*) AS n_measurements,
+       {O.rhu(O.xavg('fm.oil_temperature_c', 1), 2)} AS avg_oil_temp_c
+FROM fact fm JOIN dim_transformer dt ON fm.transformer_key = dt.transformer_key
+GROUP BY 1, 2 ORDER BY n_measurements DESC, dt.transformer_key LIMIT 6"""))
+def q_unit_oil(spark, sf_dir):
+    """Fact x design dimension, top 6 units by rows with average oil."""
+    L = Layers(spark, sf_dir)
+    return analytics.unit_oil(L.fact, L.dim_transformer)
+
+
+@register("region_oil", P(f"""
+SELECT dl.region, dt.application, {O.rhu(O.xavg('fm.oil_temperature_c', 1), 2)} AS avg_oil_temp_c, count(*) AS n
+FROM fact fm JOIN dim_transformer dt ON fm.transformer_key = dt.transformer_key
+JOIN dim_location dl ON fm.location_key = dl.location_key GROUP BY 1, 2"""))
+def q_region_oil(spark, sf_dir):
+    """Star join, average oil per (region, application)."""
+    L = Layers(spark, sf_dir)
+    return analytics.region_oil(L.fact, L.dim_transformer, L.dim_location)
+
+
+@register("region_tsi", P(f"""
 SELECT dl.region, dt.application,
        {O.rhu(O.xavg('fm.thermal_stress_index'), 4)} AS avg_tsi,
        max(fm.winding_temperature_c) AS max_winding_c,
@@ -37,5 +413,163 @@ JOIN dim_transformer dt ON dt.transformer_key = fm.transformer_key
 JOIN dim_location dl ON dl.location_key = fm.location_key
 GROUP BY 1, 2"""))
 def q_region_tsi(spark, sf_dir):
+    """A7 (flagship): average stress index and peak winding per (region, application)."""
     L = Layers(spark, sf_dir)
     return analytics.region_tsi(L.fact, L.dim_transformer, L.dim_location)
+
+
+@register("weekday_peak", P("""
+SELECT dt.weekday, max(fm.load_percent) AS peak_load
+FROM fact fm JOIN dim_time dt ON dt.time_key = fm.time_key GROUP BY 1"""))
+def q_weekday_peak(spark, sf_dir):
+    """Peak load per weekday through the time dimension."""
+    L = Layers(spark, sf_dir)
+    return analytics.weekday_peak(L.fact, L.dim_time)
+
+
+@register("power_describe", P(f"""
+SELECT application, count(rated_power_mva) AS count,
+       {O.rhu(O.xavg('rated_power_mva', 1), 1)} AS mean,
+       {O.rhu('stddev_samp(rated_power_mva)', 1)} AS std,
+       {O.rhu('min(rated_power_mva)', 1)} AS min,
+       {O.rhu('quantile_cont(rated_power_mva, 0.25)', 1)} AS p25,
+       {O.rhu('quantile_cont(rated_power_mva, 0.5)', 1)} AS p50,
+       {O.rhu('quantile_cont(rated_power_mva, 0.75)', 1)} AS p75,
+       {O.rhu('max(rated_power_mva)', 1)} AS max
+FROM reg GROUP BY 1"""))
+def q_power_describe(spark, sf_dir):
+    """describe() of rated power per application (exact distributed quartiles)."""
+    return analytics.power_describe(Layers(spark, sf_dir).registry)
+
+
+@register("cooling_crosstab", P("""
+SELECT application,
+       count(*) FILTER (WHERE cooling_type = 'ONAN') AS ONAN, count(*) FILTER (WHERE cooling_type = 'ONAF') AS ONAF,
+       count(*) FILTER (WHERE cooling_type = 'OFAF') AS OFAF, count(*) FILTER (WHERE cooling_type = 'OFWF') AS OFWF,
+       count(*) FILTER (WHERE cooling_type = 'ODAF') AS ODAF
+FROM reg GROUP BY 1"""))
+def q_cooling_crosstab(spark, sf_dir):
+    """Application x cooling cross-tab, missing = 0."""
+    return analytics.cooling_crosstab(Layers(spark, sf_dir).registry)
+
+
+@register("histogram", P(f"""
+SELECT feature, bin, {O.rhu('mn + (bin - 1) * (mx - mn) / 10e0', 4)} AS bin_lo,
+       {O.rhu('mn + bin * (mx - mn) / 10e0', 4)} AS bin_hi, count(*) AS n
+FROM (
+  SELECT l.feature, r.mn, r.mx,
+         CASE WHEN r.mx - r.mn = 0 THEN 1
+              ELSE least(CAST(floor((l.x - r.mn) * 10 / (r.mx - r.mn)) AS INTEGER) + 1, 10) END AS bin
+  FROM (SELECT 'rated_power_mva' AS feature, CAST(rated_power_mva AS DOUBLE) AS x FROM reg
+        UNION ALL SELECT 'hv_voltage_kv', CAST(hv_voltage_kv AS DOUBLE) FROM reg
+        UNION ALL SELECT 'commissioning_year', CAST(commissioning_year AS DOUBLE) FROM reg) l
+  JOIN (SELECT feature, min(x) AS mn, max(x) AS mx FROM (
+          SELECT 'rated_power_mva' AS feature, CAST(rated_power_mva AS DOUBLE) AS x FROM reg
+          UNION ALL SELECT 'hv_voltage_kv', CAST(hv_voltage_kv AS DOUBLE) FROM reg
+          UNION ALL SELECT 'commissioning_year', CAST(commissioning_year AS DOUBLE) FROM reg) GROUP BY 1) r
+    ON r.feature = l.feature) GROUP BY feature, bin, mn, mx"""))
+def q_histogram(spark, sf_dir):
+    """10-bin histograms of power, HV voltage and commissioning year."""
+    return analytics.histogram(Layers(spark, sf_dir).registry)
+
+
+@register("power_range", P("""
+SELECT min(rated_power_mva) AS min_power_mva, max(rated_power_mva) AS max_power_mva, count(*) AS units FROM reg"""))
+def q_power_range(spark, sf_dir):
+    """Fleet power range."""
+    return analytics.power_range(Layers(spark, sf_dir).registry)
+
+
+def _scaler_sql(src: str) -> str:
+    parts = []
+    from .. import params as PR
+    for f in PR.DESIGN_FEATURES:
+        xs = f"CAST(round(coalesce(CAST({f} AS DOUBLE), 0e0) * 10e0) AS HUGEINT)"
+        parts.append(f"SELECT '{f}' AS feature, count(*) AS n, sum({xs}) AS s1, sum({xs} * {xs}) AS s2 FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+SCALER_SQL = """SELECT feature, s1m / n AS mean,
+       CASE WHEN sqrt(greatest((s2m - s1m * s1m / n) / n, 0e0)) = 0 THEN 1e0
+            ELSE sqrt(greatest((s2m - s1m * s1m / n) / n, 0e0)) END AS std
+FROM (SELECT feature, CAST(n AS DOUBLE) AS n, CAST(s1 AS DOUBLE) / 10e0 AS s1m, CAST(s2 AS DOUBLE) / 100e0 AS s2m
+      FROM ({moments}))"""
+
+
+@register("feature_scaler", P(f"""
+SELECT feature, {O.rhu('mean', 6)} AS mean, {O.rhu('std', 6)} AS std FROM ({SCALER_SQL.format(moments=_scaler_sql('reg'))})"""))
+def q_feature_scaler(spark, sf_dir):
+    """Standard-scaler mean and population std of the 10 design features."""
+    return analytics.feature_scaler(Layers(spark, sf_dir).registry)
+
+
+@register("layer_counts", P("""
+SELECT 'raw_telemetry' AS layer, count(*) AS n, count(*) >= 15 AS meets_minimum FROM first_acc
+UNION ALL SELECT 'measurements', count(*), count(*) >= 15 FROM meas
+UNION ALL SELECT 'stg_telemetry', count(*), count(*) >= 15 FROM stg"""))
+def q_layer_counts(spark, sf_dir):
+    """Bronze / operational / silver reconciliation counts."""
+    L = Layers(spark, sf_dir)
+    return analytics.layer_counts(L.raw, L.measurements, L.stg)
+
+
+@register("earliest_sample", P("""
+SELECT transformer_id, ts AS timestamp, load_percent, ambient_temperature_c, oil_temperature_c,
+       winding_temperature_c, oil_level_percent
+FROM meas ORDER BY ts, transformer_id LIMIT 200"""))
+def q_earliest_sample(spark, sf_dir):
+    """Earliest 200 measurements as the telemetry feature matrix."""
+    return analytics.earliest_sample(Layers(spark, sf_dir).measurements)
+
+
+# --- quality (Q1-Q12, J4-J6) -----------------------------------------------------------------
+def _dq_tables(L: Layers) -> dict[str, DataFrame]:
+    return {"stg_telemetry": L.stg, "int_telemetry": L.int, "transformers": L.registry,
+            "dim_time": L.dim_time, "dim_transformer": L.dim_transformer, "dim_location": L.dim_location,
+            "dim_sensor": L.dim_sensor, "fact_transformer_measurement": L.fact}
+
+
+@register("orphan_facts", P("""
+SELECT f.transformer_key, f.time_key FROM fact f
+LEFT JOIN dim_transformer d ON d.transformer_key = f.transformer_key WHERE d.transformer_key IS NULL"""))
+def q_orphan_facts(spark, sf_dir):
+    """Facts without a design dimension row."""
+    L = Layers(spark, sf_dir)
+    return quality.orphan_facts(L.fact, L.dim_transformer)
+
+
+def _dq_sql() -> str:
+    from ..operators.quality import CHECKS
+    tables = {"stg_telemetry": "stg", "int_telemetry": "int_tel", "transformers": "reg", "dim_time": "dim_time",
+              "dim_transformer": "dim_transformer", "dim_location": "dim_location",
+              "fact_transformer_measurement": "fact",
+              "dim_sensor": "(VALUES ('load'),('ambient'),('oil_temperature'),('winding_temperature'),"
+                            "('oil_level'),('current'),('voltage')) AS s(sensor_name)"}
+    rows = []
+    for c in CHECKS:
+        t = tables[c.table]
+        if c.kind == "not_null":
+            q = f"SELECT count(*) FROM {t} WHERE {c.column} IS NULL"
+        elif c.kind == "unique":
+            q = f"SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+        elif c.kind == "unique_key":
+            cols = ", ".join(c.columns)
+            q = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)"
+        elif c.kind == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            q = f"SELECT count(DISTINCT {c.column}) FROM {t} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})"
+        elif c.kind == "relationships":
+            p = tables[c.parent]
+            q = (f"SELECT count(*) FROM {t} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_column} = ch.{c.column})")
+        else:
+            pred = c.predicate.replace("<=>", "IS NOT DISTINCT FROM")
+            q = f"SELECT count(*) FROM {t} WHERE {pred}"
+        rows.append(f"SELECT '{c.name}' AS check_name, '{c.layer}' AS layer, ({q}) AS failures")
+    return P("SELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL ".join(rows) + ")")
+
+
+@register("dq_summary", _dq_sql())
+def q_dq_summary(spark, sf_dir):
+    """The 45 data checks (20 silver, 25 gold) with failure counts."""
+    return quality.summary(_dq_tables(Layers(spark, sf_dir)))
