@@ -4,7 +4,10 @@
 window over the group sorts it in one task.  Here:
 
 1. ``percentile_approx`` (rank error <= n / accuracy) brackets the wanted
-   ranks from both sides;
+   ranks from both sides with a margin of 4 n / accuracy ranks; a group of
+   at most 4 x accuracy values (where that margin could be under a few
+   ranks) takes its whole range instead, which is bounded by the same
+   constant;
 2. an exact distributed count gives the number of values below the lower
    bracket;
 3. only the distinct values inside the bracket, with their multiplicities,
@@ -44,6 +47,9 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, qs: Sequen
           .select(*gcols, "_n",
                   F.element_at(F.array(*[F.lit(q) for q in q_list]), i).alias("q"),
                   F.element_at("_los", i).alias("lo"), F.element_at("_his", i).alias("hi")))
+    small = F.col("_n") <= 4 * accuracy
+    br = (br.withColumn("lo", F.when(small, F.lit(float("-inf"))).otherwise(F.col("lo")))
+            .withColumn("hi", F.when(small, F.lit(float("inf"))).otherwise(F.col("hi"))))
     br = (br.withColumn("h", (F.col("_n") - 1).cast("double") * F.col("q"))
             .withColumn("r_lo", F.floor("h").cast("long")).withColumn("r_hi", F.ceil("h").cast("long")))
     keys = gcols + ["q"]
