@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import params as PARAMS
 from ..functions.timefmt import to_rfc3339
-from ..operators import analytics, contract, quality, registry
+from ..operators import analytics, contract, quality, registry, similarity
 from ..operators.dedup import duplicate_keys, keep_latest
 from . import oracle as O
 from .layers import ADAPTER_ID_PATTERN, Layers
@@ -482,8 +483,7 @@ def q_power_range(spark, sf_dir):
 
 def _scaler_sql(src: str) -> str:
     parts = []
-    from .. import params as PR
-    for f in PR.DESIGN_FEATURES:
+    for f in PARAMS.DESIGN_FEATURES:
         xs = f"CAST(round(coalesce(CAST({f} AS DOUBLE), 0e0) * 10e0) AS HUGEINT)"
         parts.append(f"SELECT '{f}' AS feature, count(*) AS n, sum({xs}) AS s1, sum({xs} * {xs}) AS s2 FROM {src}")
     return " UNION ALL ".join(parts)
@@ -539,14 +539,13 @@ def q_orphan_facts(spark, sf_dir):
 
 
 def _dq_sql() -> str:
-    from ..operators.quality import CHECKS
     tables = {"stg_telemetry": "stg", "int_telemetry": "int_tel", "transformers": "reg", "dim_time": "dim_time",
               "dim_transformer": "dim_transformer", "dim_location": "dim_location",
               "fact_transformer_measurement": "fact",
               "dim_sensor": "(VALUES ('load'),('ambient'),('oil_temperature'),('winding_temperature'),"
                             "('oil_level'),('current'),('voltage')) AS s(sensor_name)"}
     rows = []
-    for c in CHECKS:
+    for c in quality.CHECKS:
         t = tables[c.table]
         if c.kind == "not_null":
             q = f"SELECT count(*) FROM {t} WHERE {c.column} IS NULL"
@@ -573,3 +572,101 @@ def _dq_sql() -> str:
 def q_dq_summary(spark, sf_dir):
     """The 45 data checks (20 silver, 25 gold) with failure counts."""
     return quality.summary(_dq_tables(Layers(spark, sf_dir)))
+
+
+# --- similarity (K1-K4, L4, P12) ----------------------------------------------------------------
+SIMILAR_TARGET = LOOKUP_UNIT
+
+
+@register("similar_one", O.similar_one_sql(SIMILAR_TARGET, 5, PARAMS.DESIGN_FEATURES))
+def q_similar_one(spark, sf_dir):
+    """Five most similar designs to one unit (scaler fitted without the target)."""
+    return similarity.similar_one(Layers(spark, sf_dir).registry, SIMILAR_TARGET, 5)
+
+
+# --- physics (M4-M12) ------------------------------------------------------------------------
+REG_PHYS = """reg_phys AS (
+  SELECT transformer_id, rated_power_mva, hv_voltage_kv,
+         CASE WHEN no_load_loss_kw <= 0 THEN 8e0 ELSE load_loss_kw / no_load_loss_kw END AS loss_ratio,
+         CASE cooling_type WHEN 'ODAF' THEN 60e0 WHEN 'OFWF' THEN 58e0 WHEN 'OFAF' THEN 55e0 WHEN 'ONAF' THEN 52e0 ELSE 48e0 END AS oil_rise_c,
+         CASE cooling_type WHEN 'ODAF' THEN 12e0 WHEN 'OFWF' THEN 13e0 WHEN 'OFAF' THEN 15e0 WHEN 'ONAF' THEN 18e0 ELSE 20e0 END AS winding_grad_c
+  FROM reg)"""
+K = "(m.load_percent / 100e0)"
+OIL_SS = (f"CASE WHEN {K} <= 0 THEN m.ambient_temperature_c ELSE m.ambient_temperature_c + r.oil_rise_c * "
+          f"pow((1e0 + r.loss_ratio * {K} * {K}) / (1e0 + r.loss_ratio), 0.8e0) END")
+WIND_SS = f"CASE WHEN {K} <= 0 THEN m.oil_temperature_c ELSE m.oil_temperature_c + r.winding_grad_c * pow({K}, 1.6e0) END"
+CUR = ("CASE WHEN sqrt(3e0) * r.hv_voltage_kv * 1e3 <= 0 THEN 0e0 ELSE "
+       "r.rated_power_mva * 1e6 * m.load_percent / 100e0 / (sqrt(3e0) * r.hv_voltage_kv * 1e3) END")
+VOLT = ("r.hv_voltage_kv * (1e0 - CASE WHEN m.load_percent > 0 THEN 0.02e0 * m.load_percent / 100e0 ELSE 0e0 END)")
+
+
+@register("expected_temps", P(f"""
+SELECT m.transformer_id, m.ts, {O.rhu(OIL_SS, 2)} AS expected_oil_c, {O.rhu(WIND_SS, 2)} AS expected_winding_c
+FROM meas m JOIN reg_phys r ON r.transformer_id = m.transformer_id""", (REG_PHYS,)))
+def q_expected_temps(spark, sf_dir):
+    """M4/M5/M7/M8: steady-state top-oil and hot-spot expected for each reading."""
+    from ..operators import thermal
+    L = Layers(spark, sf_dir)
+    return thermal.expected_temperatures(L.measurements, L.registry)
+
+
+@register("electrical", P(f"""
+SELECT m.transformer_id, m.ts, {O.rhu(CUR, 2)} AS expected_current_a, {O.rhu(VOLT, 2)} AS expected_voltage_kv
+FROM meas m JOIN reg_phys r ON r.transformer_id = m.transformer_id""", (REG_PHYS,)))
+def q_electrical(spark, sf_dir):
+    """Expected HV current and loaded voltage for each reading."""
+    from ..operators import thermal
+    L = Layers(spark, sf_dir)
+    return thermal.electrical(L.measurements, L.registry)
+
+
+@register("sensor_residuals", P(f"""
+SELECT transformer_id, count(*) AS n,
+       {O.rhu(O.xavg('r_oil'), 3)} AS mean_oil_residual, {O.rhu(O.xavg('r_winding'), 3)} AS mean_winding_residual,
+       {O.rhu(O.xavg('r_current'), 3)} AS mean_current_residual, {O.rhu(O.xavg('r_voltage'), 3)} AS mean_voltage_residual
+FROM (SELECT m.transformer_id,
+             {O.rhu(f'm.oil_temperature_c - ({OIL_SS})', 3)} AS r_oil,
+             {O.rhu(f'm.winding_temperature_c - ({WIND_SS})', 3)} AS r_winding,
+             {O.rhu(f'm.current_a - ({CUR})', 3)} AS r_current,
+             {O.rhu(f'm.voltage_kv - ({VOLT})', 3)} AS r_voltage
+      FROM meas m JOIN reg_phys r ON r.transformer_id = m.transformer_id)
+GROUP BY 1""", (REG_PHYS,)))
+def q_sensor_residuals(spark, sf_dir):
+    """Per unit mean residual of oil, winding, current and voltage against the physics model."""
+    from ..operators import thermal
+    L = Layers(spark, sf_dir)
+    return thermal.sensor_residuals(L.measurements, L.registry)
+
+
+@register("state_events", P("""
+SELECT transformer_id, ts, previous_state, state, CASE WHEN state = 'NORMAL' THEN 'INFO' ELSE state END AS severity
+FROM (SELECT transformer_id, ts, state,
+             lag(state) OVER (PARTITION BY transformer_id ORDER BY ts, state) AS previous_state FROM meas)
+WHERE previous_state IS NOT NULL AND previous_state <> state"""))
+def q_state_events(spark, sf_dir):
+    """Operating-state transitions per unit as events (skew-safe bucketed lag)."""
+    from ..operators import thermal
+    return thermal.state_transitions(Layers(spark, sf_dir).measurements)
+
+
+@register("thermal_lag")
+def q_thermal_lag(spark, sf_dir):
+    """M6: modelled top-oil / winding temperatures with first-order thermal lags (rows check)."""
+    from ..operators import thermal
+    L = Layers(spark, sf_dir)
+    return thermal.thermal_lag(L.measurements, L.registry)
+
+
+# --- anomaly (K6-K10, A17) ----------------------------------------------------------------------
+@register("anomalies")
+def q_anomalies(spark, sf_dir):
+    """Isolation-Forest labels and scores for every measurement (rows check)."""
+    from ..operators import anomaly
+    return anomaly.detect(Layers(spark, sf_dir).measurements)
+
+
+@register("anomaly_summary")
+def q_anomaly_summary(spark, sf_dir):
+    """Points analysed and outliers found (rows check)."""
+    from ..operators import anomaly
+    return anomaly.summary(anomaly.detect(Layers(spark, sf_dir).measurements))

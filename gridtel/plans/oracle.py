@@ -203,6 +203,34 @@ def with_ctes(*ctes: str) -> str:
 PIPE = (TEL, REG_IN, REG, VAL, FIRST, STG, INT, GOLD)
 
 
-def pipeline_sql(body: str) -> str:
-    """Full bronze->gold CTE chain followed by ``body``."""
-    return with_ctes(*PIPE) + body
+def pipeline_sql(body: str, extra_ctes: tuple = ()) -> str:
+    """Full bronze->gold CTE chain (plus ``extra_ctes``) followed by ``body``."""
+    return with_ctes(*PIPE, *extra_ctes) + body
+
+
+def similar_one_sql(target: str, k: int, features, scale: int = 2) -> str:
+    """Top-k similarity of one target, scaler fitted on the other units."""
+    m = 10 ** scale
+    feat = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0e0) AS {f}" for f in features)
+    moms = ["CAST(count(*) AS DOUBLE) AS n"]
+    for f in features:
+        x = f"CAST(round({f} * {m}e0) AS HUGEINT)"
+        moms.append(f"CAST(sum({x}) AS DOUBLE) / {m}e0 AS s1_{f}")
+        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) / {m * m}e0 AS s2_{f}")
+    ms = []
+    for f in features:
+        sd = f"sqrt(greatest((s2_{f} - s1_{f} * s1_{f} / n) / n, 0e0))"
+        ms.append(f"s1_{f} / n AS mean_{f}")
+        ms.append(f"CASE WHEN {sd} = 0 THEN 1e0 ELSE {sd} END AS std_{f}")
+    terms = []
+    for f in features:
+        d = f"((t.{f} - ms.mean_{f}) / ms.std_{f} - (c.{f} - ms.mean_{f}) / ms.std_{f})"
+        terms.append(f"{d} * {d}")
+    dist = "sqrt(" + " + ".join(terms) + ")"
+    extra = (f"cands AS (SELECT transformer_id, {feat} FROM reg WHERE transformer_id <> '{target}')",
+             f"tgt AS (SELECT {feat} FROM reg WHERE transformer_id = '{target}')",
+             f"mom AS (SELECT {', '.join(moms)} FROM cands)",
+             f"ms AS (SELECT {', '.join(ms)} FROM mom)")
+    return pipeline_sql(f"""SELECT c.transformer_id, {rhe(f'1e0 / (1e0 + {dist})', 4)} AS score
+FROM cands c, tgt t, ms
+ORDER BY score DESC, c.transformer_id LIMIT {k}""", extra)
