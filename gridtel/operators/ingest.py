@@ -25,15 +25,15 @@ def first_accepted(validated: DataFrame) -> DataFrame:
                       ["id"], FIRST_ORDER)
 
 
-def raw_records(first: DataFrame, source: str = "mqtt") -> DataFrame:
+def raw_records(first: DataFrame, source: str = "mqtt", extra=()) -> DataFrame:
     """Bronze rows with provenance and the verbatim payload."""
     return first.select("id", "transformer_id", "schema_version", "topic", F.lit(source).alias("source"),
-                        F.col("received_at").alias("ingested_at"), "payload")
+                        F.col("received_at").alias("ingested_at"), "payload", *extra)
 
 
-def measurements(first: DataFrame) -> DataFrame:
+def measurements(first: DataFrame, extra=()) -> DataFrame:
     """S5 + U2 + P7: first row per (unit, instant), state recomputed."""
     m = keep_first(first, ["transformer_id", "ts"], FIRST_ORDER)
     return m.select("transformer_id", "ts", "load_percent", "ambient_temperature_c", "oil_temperature_c",
                     "winding_temperature_c", "oil_level_percent", "current_a", "voltage_kv",
-                    classify_state().alias("state"), F.col("received_at").alias("ingested_at"))
+                    classify_state().alias("state"), F.col("received_at").alias("ingested_at"), *extra)

@@ -670,3 +670,51 @@ def q_anomaly_summary(spark, sf_dir):
     """Points analysed and outliers found (rows check)."""
     from ..operators import anomaly
     return anomaly.summary(anomaly.detect(Layers(spark, sf_dir).measurements))
+
+
+# --- sources, sinks and streaming (S1-S6, S11, S12, T1-T8) ---------------------------------------
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:10]}"
+
+
+@register("registry_csv")
+def q_registry_csv(spark, sf_dir):
+    """S6 -> S1/S12: export the validated registry as CSV (fixed decimals), load it back strictly (rows check)."""
+    from ..sources import files
+    path = _scratch(spark, "registry-export")
+    files.export_registry(Layers(spark, sf_dir).registry, path, "csv")
+    return files.read_registry_csv(spark, path, ADAPTER_ID_PATTERN)
+
+
+@register("replay")
+def q_replay(spark, sf_dir):
+    """Dump bronze as JSON lines (raw + measurement lines), replay it, rebuild silver (rows check)."""
+    from ..operators import silver
+    from ..sources import files
+    L = Layers(spark, sf_dir)
+    path = _scratch(spark, "bronze-dump")
+    payload = L.first.select("schema_version", "transformer_id", "timestamp", *O_MEAS, "state")
+    files.write_bronze_lines(L.raw, payload, path)
+    got = files.read_bronze_lines(spark, path)
+    return silver.stg_telemetry(got["raw"])
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Envelope files landed in receive order (one per receive year, then a
+    redelivery file) ingested by Structured Streaming; equals the batch measurements (rows check)."""
+    from ..streaming import ingest as stream
+    L = Layers(spark, sf_dir)
+    landing, out = _scratch(spark, "landing"), _scratch(spark, "bronze")
+    env = L.envelopes
+    span = env.agg(F.min(F.year("received_at")), F.max(F.year("received_at"))).first()
+    for i, year in enumerate(range(span[0], span[1] + 1) if span[0] is not None else []):
+        (env.filter(F.year("received_at") == year).coalesce(1)
+            .write.mode("overwrite").json(f"{landing}/{i:04d}-received-{year}"))
+    env.filter(F.xxhash64("payload") % 20 == 0).coalesce(1).write.mode("overwrite").json(landing + "/9999-redelivery")
+    q = stream.start_ingest(spark, landing + "/*", L.registry.select("transformer_id"), out,
+                            checkpoint=out + "-checkpoint", max_files_per_trigger=1)
+    q.awaitTermination()
+    return stream.read_tables(spark, out)["measurements"].drop("batch_id", "event_date")
