@@ -718,3 +718,10 @@ def q_stream_ingest(spark, sf_dir):
                             checkpoint=out + "-checkpoint", max_files_per_trigger=1)
     q.awaitTermination()
     return stream.read_tables(spark, out)["measurements"].drop("batch_id", "event_date")
+
+
+@register("similar_all", O.similar_all_sql(5, PARAMS.DESIGN_FEATURES))
+def q_similar_all(spark, sf_dir):
+    """Exact top-5 similar designs for every unit (k-d partition + box pruning, no all-pairs)."""
+    from ..operators import knn
+    return knn.similar_all(Layers(spark, sf_dir).registry, 5)

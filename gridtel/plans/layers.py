@@ -15,6 +15,10 @@ from ..operators import contract, gold, ingest, registry, silver
 from ..sources import adapter
 
 ADAPTER_ID_PATTERN = r"^TR-\d{5,}$"
+MATERIALIZED_LAYERS = ("registry", "validated", "first", "raw", "measurements", "stg", "int",
+                       "dim_time", "dim_transformer", "dim_location", "fact")
+# sf_dir -> folder holding materialized layers (see ``materialize``)
+_MATERIALIZED: dict[str, str] = {}
 
 
 class Layers:
@@ -23,6 +27,10 @@ class Layers:
         self.sf_dir = sf_dir
         self.now = now
         self.source = source
+        base = _MATERIALIZED.get(sf_dir)
+        if base:
+            for name in MATERIALIZED_LAYERS:
+                self.__dict__[name] = spark.read.parquet(f"{base}/{name}")
 
     # --- inputs ----------------------------------------------------------
     @cached_property
@@ -98,11 +106,31 @@ class Layers:
         return gold.fact_event(self.events)
 
     # --- materialization -------------------------------------------------------------
-    def persist_to(self, base: str, names=("raw", "measurements", "stg", "int", "registry",
-                                           "dim_time", "dim_transformer", "dim_location", "fact")) -> None:
-        """Write the named layers as Parquet under ``base`` and swap in the re-read tables."""
+    def persist_to(self, base: str, names=MATERIALIZED_LAYERS) -> dict[str, float]:
+        """Write the named layers as Parquet under ``base`` (full refresh) and swap in
+        the re-read tables, so later layers build from stored ones; returns seconds per layer."""
+        import time
+        took = {}
         for name in names:
+            t0 = time.time()
             df = getattr(self, name)
             path = f"{base.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(path)
             self.__dict__[name] = self.spark.read.parquet(path)
+            took[name] = time.time() - t0
+        return took
+
+
+def materialize(spark: SparkSession, sf_dir: str, base: str) -> dict[str, float]:
+    """Build and store all layers for ``sf_dir`` once; later ``Layers`` for it read the tables."""
+    _MATERIALIZED.pop(sf_dir, None)
+    took = Layers(spark, sf_dir).persist_to(base)
+    _MATERIALIZED[sf_dir] = base
+    return took
+
+
+def forget_materialized(sf_dir: str | None = None) -> None:
+    if sf_dir is None:
+        _MATERIALIZED.clear()
+    else:
+        _MATERIALIZED.pop(sf_dir, None)

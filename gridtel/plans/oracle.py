@@ -234,3 +234,32 @@ def similar_one_sql(target: str, k: int, features, scale: int = 2) -> str:
     return pipeline_sql(f"""SELECT c.transformer_id, {rhe(f'1e0 / (1e0 + {dist})', 4)} AS score
 FROM cands c, tgt t, ms
 ORDER BY score DESC, c.transformer_id LIMIT {k}""", extra)
+
+
+def similar_all_sql(k: int, features, scale: int = 2) -> str:
+    """Exact top-k for every unit by brute force (scaler fitted on all units)."""
+    m = 10 ** scale
+    feat = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0e0) AS {f}" for f in features)
+    moms = ["CAST(count(*) AS DOUBLE) AS n"]
+    for f in features:
+        x = f"CAST(round({f} * {m}e0) AS HUGEINT)"
+        moms.append(f"CAST(sum({x}) AS DOUBLE) / {m}e0 AS s1_{f}")
+        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) / {m * m}e0 AS s2_{f}")
+    ms = []
+    for f in features:
+        sd = f"sqrt(greatest((s2_{f} - s1_{f} * s1_{f} / n) / n, 0e0))"
+        ms.append(f"s1_{f} / n AS mean_{f}")
+        ms.append(f"CASE WHEN {sd} = 0 THEN 1e0 ELSE {sd} END AS std_{f}")
+    zcols = ", ".join(f"(u.{f} - ms.mean_{f}) / ms.std_{f} AS z{i}" for i, f in enumerate(features))
+    terms = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(features)))
+    extra = (f"units AS (SELECT transformer_id, {feat} FROM reg)",
+             f"mom AS (SELECT {', '.join(moms)} FROM units)",
+             f"ms AS (SELECT {', '.join(ms)} FROM mom)",
+             f"zu AS (SELECT u.transformer_id, {zcols} FROM units u, ms)")
+    return pipeline_sql(f"""SELECT target_id, rank, transformer_id, score FROM (
+  SELECT target_id, transformer_id, score,
+         row_number() OVER (PARTITION BY target_id ORDER BY score DESC, transformer_id) AS rank
+  FROM (SELECT a.transformer_id AS target_id, b.transformer_id,
+               {rhe(f'1e0 / (1e0 + sqrt({terms}))', 4)} AS score
+        FROM zu a JOIN zu b ON a.transformer_id <> b.transformer_id))
+WHERE rank <= {k}""", extra)
