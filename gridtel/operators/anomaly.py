@@ -82,7 +82,15 @@ def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.I
     x = feature_matrix(df, features)
     xcols = [f"_x{i}" for i in range(len(features))]
     h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    pool = x.select(h.alias("_h"), *xcols).orderBy("_h").limit(trees * sample)  # bounded top-N
+    # The pool = the trees*sample rows with the smallest seeded hash.  A hash
+    # threshold (3x oversampled) first cuts every partition down, so the final
+    # top-N merge sees about 3 x trees x sample rows however many partitions exist.
+    target = trees * sample
+    n = x.count()
+    frac = min(1.0, 3.0 * target / max(n, 1))
+    u = (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double") / float(2 ** 63))
+    cand = x.select(h.alias("_h"), u.alias("_u"), *xcols).filter(F.col("_u") < frac)
+    pool = cand.orderBy("_u", "_h").limit(target).drop("_u")
     t = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     t = t.withColumn("_th", F.xxhash64(F.col("_h"), F.col("tree"), F.lit(seed)))
     w = Window.partitionBy("tree").orderBy("_th", "_h")
@@ -126,6 +134,7 @@ def score(df: DataFrame, nodes: pd.DataFrame, psi: int, features=P.TELEMETRY_FEA
     arrays = (nodes["feature"].to_numpy(), nodes["threshold"].to_numpy(), nodes["left"].to_numpy(),
               nodes["right"].to_numpy(), nodes["size"].to_numpy(), nodes["depth"].to_numpy(), offs)
     cpsi = float(c_factor([psi])[0]) if psi > 1 else 1.0
+    bc = df.sparkSession.sparkContext.broadcast(arrays)  # <= trees x (2 x sample - 1) nodes
     x = feature_matrix(df, features)
     xcols = [f"_x{i}" for i in range(len(features))]
     out_schema = T.StructType(x.schema.fields + [T.StructField("_raw_score", T.DoubleType(), True)])
@@ -136,7 +145,7 @@ def score(df: DataFrame, nodes: pd.DataFrame, psi: int, features=P.TELEMETRY_FEA
                 pdf["_raw_score"] = pd.Series(dtype=float)
                 yield pdf
                 continue
-            e = _path_lengths(pdf[xcols].to_numpy(dtype=float), arrays, trees)
+            e = _path_lengths(pdf[xcols].to_numpy(dtype=float), bc.value, trees)
             pdf["_raw_score"] = -np.power(2.0, -e / cpsi)
             yield pdf
 

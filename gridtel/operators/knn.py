@@ -8,9 +8,9 @@ score = 1 / (1 + d) rounded half-even to 4 dp, ties by id.
    top-n, so a vector shared by a third of the fleet never lands in one
    task).
 2. A k-d partition of the distinct points: level by level, every node
-   holding more than ``leaf_size`` points splits at the exact median of
-   its widest scaled dimension (``exact_quantiles`` grouped by node).  Node
-   boxes of every level are kept.  Lineage is cut after each level.
+   holding more than ``leaf_size`` points splits at an approximate median
+   of its widest scaled dimension (one aggregate per level).  Node boxes of
+   every level are kept.  Lineage is cut after each level.
 3. Radius: inside its own leaf each point finds the distance covering
    ``k + 1`` units (itself included), widened to the largest distance that
    still rounds to the same 4-dp score, so rounding ties are never lost.
@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.measures import round_half_even
 from ..session import cut_lineage, sized_broadcast
-from .quantiles import exact_quantiles
-from .similarity import _one_row_join, design_features, mean_std, wide_moments
+from .similarity import design_features, mean_std, wide_moments
 
 EPS = 1e-9
 
@@ -78,33 +77,37 @@ def distinct_points(units: DataFrame, features: Sequence[str], k: int, salt: int
 
 
 def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels: int = 60):
-    """Returns (leaf assignment ``vid -> leaf``, node boxes ``node, n, lo_i, hi_i, is_leaf``)."""
+    """Returns (leaf assignment ``vid -> leaf``, node boxes ``node, n, lo_i, hi_i, is_leaf``).
+
+    One aggregate per level gives every node's box and an approximate median
+    of each dimension; a node splits on its widest dimension.  The split
+    value only has to leave both sides non-empty (the search is exact for
+    any split), so approximate medians suffice: ``x > med`` goes right, or
+    ``x >= med`` when the median equals the maximum.
+    """
     active = points.select("vid", *zs, F.lit(1).cast("long").alias("node"))
     leaves, boxes = [], []
     for _ in range(max_levels):
         stats = active.groupBy("node").agg(F.count(F.lit(1)).alias("n"),
                                            *[F.min(z).alias(f"lo_{z}") for z in zs],
-                                           *[F.max(z).alias(f"hi_{z}") for z in zs])
+                                           *[F.max(z).alias(f"hi_{z}") for z in zs],
+                                           *[F.percentile_approx(z, 0.5, 1000).alias(f"md_{z}") for z in zs])
         spread = F.array(*[F.col(f"hi_{z}") - F.col(f"lo_{z}") for z in zs])
         stats = (stats.withColumn("_w", F.array_max(spread))
                  .withColumn("dim", (F.array_position(spread, F.col("_w")) - 1).cast("int"))
-                 .withColumn("is_leaf", (F.col("n") <= leaf_size) | (F.col("_w") <= 0)))
+                 .withColumn("is_leaf", (F.col("n") <= leaf_size) | (F.col("_w") <= 0))
+                 .withColumn("med", F.element_at(F.array(*[F.col(f"md_{z}") for z in zs]), F.col("dim") + 1))
+                 .withColumn("mx", F.element_at(F.array(*[F.col(f"hi_{z}") for z in zs]), F.col("dim") + 1)))
         stats = cut_lineage(stats)
         boxes.append(stats.select("node", "n", *[f"lo_{z}" for z in zs], *[f"hi_{z}" for z in zs], "is_leaf"))
-        st = sized_broadcast(stats.select("node", "dim", "is_leaf",
-                                          F.array(*[F.col(f"hi_{z}") for z in zs]).alias("_his")))
-        a = active.join(st, "node")
+        a = active.join(sized_broadcast(stats.select("node", "dim", "is_leaf", "med", "mx")), "node")
         leaves.append(a.filter("is_leaf").select("vid", F.col("node").alias("leaf")))
-        split = a.filter(~F.col("is_leaf"))
-        split = split.withColumn("x", F.element_at(F.array(*zs), F.col("dim") + 1)) \
-                     .withColumn("mx", F.element_at("_his", F.col("dim") + 1))
-        split = cut_lineage(split)
-        if split.limit(1).count() == 0:
+        if stats.filter(~F.col("is_leaf")).limit(1).count() == 0:
             break
-        med = exact_quantiles(split, ["node"], "x", [0.5]).select("node", F.col("quantile").alias("med"))
-        s2 = split.join(sized_broadcast(med), "node")
-        right = F.when(F.col("med") < F.col("mx"), F.col("x") > F.col("med")).otherwise(F.col("x") >= F.col("med"))
-        active = cut_lineage(s2.select("vid", *zs, (F.col("node") * 2 + right.cast("long")).alias("node")))
+        x = F.element_at(F.array(*zs), F.col("dim") + 1)
+        right = F.when(F.col("med") < F.col("mx"), x > F.col("med")).otherwise(x >= F.col("med"))
+        active = cut_lineage(a.filter(~F.col("is_leaf"))
+                             .select("vid", *zs, (F.col("node") * 2 + right.cast("long")).alias("node")))
     leaf_df = leaves[0]
     for l in leaves[1:]:
         leaf_df = leaf_df.unionByName(l)
@@ -183,5 +186,3 @@ def similar_all(registry: DataFrame, k: int = 5, features: Sequence[str] = P.DES
     return out.select("target_id", (F.col("pos") + 1).alias("rank"), F.col("e.transformer_id").alias("transformer_id"),
                       F.col("e.score").alias("score"))
 
-
-__all__ = ["similar_all", "scaled_points", "build_tree", "_one_row_join"]
