@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.measures import round_half_even
+from ..session import cut_lineage
 from .quantiles import exact_quantiles
 
 EULER = 0.5772156649015329
@@ -158,7 +159,8 @@ def detect(df: DataFrame, key_cols=("transformer_id", "ts"), contamination: floa
     """``transformer_id, timestamp, anomaly, score`` for every input row."""
     key_cols = list(key_cols)
     nodes, psi = fit(df, key_cols, features, trees, sample, seed)
-    scored = score(df.select(*key_cols, *features), nodes, psi, features)
+    # the threshold needs several passes over the scores: score once, keep the result
+    scored = cut_lineage(score(df.select(*key_cols, *features), nodes, psi, features))
     thr = exact_quantiles(scored, [], "_raw_score", [contamination]).select(F.col("quantile").alias("_thr"))
     j = scored.withColumn("_k", F.lit(0)).join(F.broadcast(thr.withColumn("_k", F.lit(0))), "_k", "left")
     return j.select(F.col(key_cols[0]).alias("transformer_id"), F.col(key_cols[1]).alias("timestamp"),
