@@ -1,10 +1,11 @@
 """Isolation-Forest anomaly scoring over telemetry.
 
 Fit: a pool of at most ``trees x sample`` rows is chosen by a seeded hash
-of the row key (a distributed top-N); every tree takes the ``sample`` pool
-rows with the smallest tree-specific hash and is grown in its own
-``applyInPandas`` group (random feature, uniform split between the node's
-min and max, height limit ceil(log2 sample)).  The node table (at most
+of the row key (a hash-threshold filter, then a small top-N); the bounded
+pool goes to 16 ``applyInPandas`` groups, each growing its share of the
+trees; every tree draws ``sample`` pool rows without replacement from a
+generator seeded by (seed, tree) (random feature, uniform split between the
+node's min and max, height limit ceil(log2 sample)).  The node table (at most
 trees x (2 x sample - 1) rows) is the only thing brought to the driver; it
 is shipped to executors inside the scoring function.
 
@@ -20,7 +21,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,19 +93,25 @@ def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.I
     u = (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double") / float(2 ** 63))
     cand = x.select(h.alias("_h"), u.alias("_u"), *xcols).filter(F.col("_u") < frac)
     pool = cand.orderBy("_u", "_h").limit(target).drop("_u")
-    t = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    t = t.withColumn("_th", F.xxhash64(F.col("_h"), F.col("tree"), F.lit(seed)))
-    w = Window.partitionBy("tree").orderBy("_th", "_h")
-    t = t.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample)
+    # Trees are grown in G parallel groups; each group receives the bounded pool
+    # and draws every tree's sample (sample rows without replacement) from it with
+    # a generator seeded by (seed, tree).
+    groups = min(trees, 16)
+    t = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("tg"))
+
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        psi = len(pdf)
+        g = int(pdf["tg"].iloc[0])
+        xs = pdf.sort_values("_h")[xcols].to_numpy(dtype=float)
+        psi = min(sample, len(xs))
         depth = int(math.ceil(math.log2(max(psi, 2))))
-        tree = int(pdf["tree"].iloc[0])
-        xs = pdf.sort_values(["_th", "_h"])[xcols].to_numpy(dtype=float)
-        return pd.DataFrame(_grow(tree, xs, seed, depth),
-                            columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
-
-    nodes = t.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        rows = []
+        for tree in range(g, trees, groups):
+            rng = np.random.default_rng([seed, tree, 1])
+            idx = rng.choice(len(xs), psi, replace=False) if psi < len(xs) else np.arange(len(xs))
+            rows += _grow(tree, xs[np.sort(idx)], seed, depth)
+        return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
+
+    nodes = t.groupBy("tg").applyInPandas(grow, NODE_SCHEMA).toPandas()
     psi = int(nodes.loc[nodes["node"] == 0, "size"].max()) if len(nodes) else 0
     return nodes.sort_values(["tree", "node"]).reset_index(drop=True), psi
 

@@ -715,7 +715,7 @@ def q_stream_ingest(spark, sf_dir):
             .write.mode("overwrite").json(f"{landing}/{i:04d}-received-{year}"))
     env.filter(F.xxhash64("payload") % 20 == 0).coalesce(1).write.mode("overwrite").json(landing + "/9999-redelivery")
     q = stream.start_ingest(spark, landing + "/*", L.registry.select("transformer_id"), out,
-                            checkpoint=out + "-checkpoint", max_files_per_trigger=1)
+                            checkpoint=out + "-checkpoint", max_files_per_trigger=3)
     q.awaitTermination()
     return stream.read_tables(spark, out)["measurements"].drop("batch_id", "event_date")
 
@@ -725,3 +725,11 @@ def q_similar_all(spark, sf_dir):
     """Exact top-5 similar designs for every unit (k-d partition + box pruning, no all-pairs)."""
     from ..operators import knn
     return knn.similar_all(Layers(spark, sf_dir).registry, 5)
+
+
+@register("dq_failing_rows", P("""
+SELECT id, transformer_id, ts, state, state_recomputed FROM int_tel WHERE state IS DISTINCT FROM state_recomputed"""))
+def q_dq_failing_rows(spark, sf_dir):
+    """The failing rows a check stores — payload state differing from the recomputed state."""
+    check = next(c for c in quality.CHECKS if c.name == "assert_int_state_matches_recomputed")
+    return quality.failing_rows(check, _dq_tables(Layers(spark, sf_dir)))

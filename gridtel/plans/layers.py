@@ -17,6 +17,11 @@ from ..sources import adapter
 ADAPTER_ID_PATTERN = r"^TR-\d{5,}$"
 MATERIALIZED_LAYERS = ("registry", "validated", "first", "raw", "measurements", "stg", "int",
                        "dim_time", "dim_transformer", "dim_location", "fact")
+# Local sort before writing (no shuffle): Parquet row-group min/max on the unit
+# and instant then lets unit / time-window lookups skip most of the data.
+LAYER_SORT = {"raw": ("transformer_id",), "measurements": ("transformer_id", "ts"),
+              "stg": ("transformer_id", "ts"), "int": ("transformer_id", "ts"),
+              "fact": ("transformer_key", "time_key")}
 # sf_dir -> folder holding materialized layers (see ``materialize``)
 _MATERIALIZED: dict[str, str] = {}
 
@@ -114,6 +119,8 @@ class Layers:
         for name in names:
             t0 = time.time()
             df = getattr(self, name)
+            if name in LAYER_SORT:
+                df = df.sortWithinPartitions(*LAYER_SORT[name])
             path = f"{base.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(path)
             self.__dict__[name] = self.spark.read.parquet(path)
