@@ -61,3 +61,20 @@ def test_transitions_match_shift(spark, layers):
     assert len(got) == len(exp)
     key = lambda d, c: sorted(zip(d.transformer_id, d.ts, d[c]))
     assert key(got, "previous_state") == key(exp, "prev")
+
+
+def test_lag_with_tiny_arrow_batches(spark, layers):
+    """Pieces cut by Arrow batch boundaries are carried into the next batch."""
+    m = layers.measurements.toPandas()
+    reg = layers.registry.toPandas()
+    exp = brute_lag(m, reg).set_index(["transformer_id", "ts"]).sort_index()
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = thermal.thermal_lag(layers.measurements, layers.registry, "year").toPandas() \
+                     .set_index(["transformer_id", "ts"]).sort_index()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(got) == len(exp)
+    assert np.allclose(got["model_oil_c"].to_numpy(), exp["oil"].to_numpy(), atol=1e-4)
+    assert np.allclose(got["model_winding_c"].to_numpy(), exp["winding"].to_numpy(), atol=1e-4)
