@@ -717,7 +717,7 @@ def q_stream_ingest(spark, sf_dir):
     q = stream.start_ingest(spark, landing + "/*", L.registry.select("transformer_id"), out,
                             checkpoint=out + "-checkpoint", max_files_per_trigger=3)
     q.awaitTermination()
-    return stream.read_tables(spark, out)["measurements"].drop("batch_id", "event_date")
+    return stream.read_tables(spark, out)["measurements"].drop(*stream.PARTS)
 
 
 @register("similar_all", O.similar_all_sql(5, PARAMS.DESIGN_FEATURES))
