@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from .. import params as P
 from ..functions.text import location_index
 from ..functions.timefmt import day_of_week_sunday0, weekday_name_padded
-from ..session import sized_broadcast
 
 
 def dim_time(int_tel: DataFrame) -> DataFrame:
@@ -76,15 +75,17 @@ def fact_measurement(int_tel: DataFrame) -> DataFrame:
     )
 
 
-def fact_event(events: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def fact_event(events: DataFrame) -> DataFrame:
     """One row per event with the size of its (unit, type, severity) group.
 
     The per-group count is a map-side-combined aggregate joined back, rather
-    than a window whose hot partition would sit in one task.
+    than a window whose hot partition would sit in one task.  The counts are
+    a computed aggregate, so the broadcast decision is left to AQE, which
+    measures the materialized aggregate (a probe would compute it twice);
+    beyond the threshold the join stays sort-merge with skew splitting.
     """
     keys = ["transformer_id", "event_type", "severity"]
     counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("event_count"))
-    counts = sized_broadcast(counts, broadcast_max_rows)
     e = events.join(counts, keys, "inner")
     return e.select(
         F.col("ts").alias("time_key"),

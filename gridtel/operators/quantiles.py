@@ -24,7 +24,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import sized_broadcast
 
 ACCURACY = 100_000
 
@@ -53,7 +52,9 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, qs: Sequen
     br = (br.withColumn("h", (F.col("_n") - 1).cast("double") * F.col("q"))
             .withColumn("r_lo", F.floor("h").cast("long")).withColumn("r_hi", F.ceil("h").cast("long")))
     keys = gcols + ["q"]
-    j = x.join(sized_broadcast(br.select(*keys, "lo", "hi")), gcols)
+    # ``br`` is an aggregate: AQE materializes it as a shuffle stage, measures it
+    # and turns the join into a broadcast when small (a probe would compute it twice).
+    j = x.join(br.select(*keys, "lo", "hi"), gcols)
     below = j.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("lo")).alias("below"))
     cand = (j.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("c")))
