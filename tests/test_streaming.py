@@ -63,3 +63,29 @@ def test_stream_idempotence_restart_and_counters(spark, scratch):
     assert t["raw"].count() == raw_n
     dup = t["counters"].agg(F.sum("duplicates")).first()[0]
     assert dup >= L.raw.count()
+
+
+def test_counters_listener(spark, scratch):
+    import os
+    import time
+
+    from gridtel.streaming import ingest as stream
+
+    L = Layers(spark, SF)
+    landing = os.path.join(scratch, "landing")
+    L.envelopes.coalesce(2).write.json(landing)
+    listener = stream.CountersListener()
+    spark.streams.addListener(listener)
+    try:
+        q = stream.start_ingest(spark, landing, L.registry.select("transformer_id"), os.path.join(scratch, "out"),
+                                checkpoint=os.path.join(scratch, "ck"), max_files_per_trigger=1)
+        q.awaitTermination()
+        for _ in range(50):
+            if listener.totals()["received"] == L.envelopes.count():
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    tot = listener.totals()
+    assert tot["received"] == L.envelopes.count()
+    assert tot["accepted"] + tot["rejected"] == tot["received"]
