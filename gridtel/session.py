@@ -43,10 +43,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of SESSION_CONF to an existing session."""
+    """Apply the runtime-settable part of SESSION_CONF to an existing session
+    and make the package importable in the executors' Python workers."""
     for k, v in SESSION_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of this package once per application.
+
+    The pandas functions (thermal lag, Isolation Forest) are pickled by
+    reference, so every executor must be able to import ``gridtel``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="gridtel-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "gridtel"), "zip", root_dir=os.path.dirname(pkg_dir),
+                                  base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
