@@ -708,12 +708,13 @@ def q_stream_ingest(spark, sf_dir):
     from ..streaming import ingest as stream
     L = Layers(spark, sf_dir)
     landing, out = _scratch(spark, "landing"), _scratch(spark, "bronze")
-    env = L.envelopes
+    env = L.envelopes.persist()  # staged into several files below; computed once
     span = env.agg(F.min(F.year("received_at")), F.max(F.year("received_at"))).first()
     for i, year in enumerate(range(span[0], span[1] + 1) if span[0] is not None else []):
         (env.filter(F.year("received_at") == year).coalesce(1)
             .write.mode("overwrite").json(f"{landing}/{i:04d}-received-{year}"))
     env.filter(F.xxhash64("payload") % 20 == 0).coalesce(1).write.mode("overwrite").json(landing + "/9999-redelivery")
+    env.unpersist()
     q = stream.start_ingest(spark, landing + "/*", L.registry.select("transformer_id"), out,
                             checkpoint=out + "-checkpoint", max_files_per_trigger=3)
     q.awaitTermination()

@@ -19,3 +19,10 @@ def test_first_latest(spark):
     assert np.allclose(latest["v"], el["v"]) and (latest["t"] == el["t"]).all()
     dups = duplicate_keys(df, ["k"]).count()
     assert dups == (pdf.groupby("k").size() > 1).sum()
+
+
+def test_nulls_never_win(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 9, 3), ("b", None, 4)], "k string, t int, v int")
+    first = {r.k: r.v for r in keep_first(df, ["k"], ["t"]).collect()}
+    latest = {r.k: r.v for r in keep_latest(df, ["k"], ["t"]).collect()}
+    assert first == {"a": 2, "b": 4} and latest == {"a": 3, "b": 4}
