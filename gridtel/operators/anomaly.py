@@ -6,8 +6,8 @@ pool goes to 16 ``applyInPandas`` groups, each growing its share of the
 trees; every tree draws ``sample`` pool rows without replacement from a
 generator seeded by (seed, tree) (random feature, uniform split between the
 node's min and max, height limit ceil(log2 sample)).  The node table (at most
-trees x (2 x sample - 1) rows) is the only thing brought to the driver; it
-is shipped to executors inside the scoring function.
+trees x (2 x sample - 1) rows) is the only data brought to the driver; it
+goes to the executors as a broadcast variable.
 
 Score: ``mapInPandas`` walks all trees for a whole Arrow batch at once;
 score = -2^(-E[h(x)] / c(sample)) in [-1, 0], higher = more normal.  The
