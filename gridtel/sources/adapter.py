@@ -5,7 +5,7 @@ jobs expect (message envelopes, design records, operational events).  They
 do none of the jobs' work: validation, deduplication, modelling and
 aggregation all happen in ``gridtel.operators`` on whatever rows arrive.
 
-Mapping (also used verbatim by the DuckDB oracle in ``plans.catalog``):
+Mapping (restated in SQL for the DuckDB oracle in ``plans.oracle``):
 
 * envelope from ``lineitem``: unit ``TR-%05d`` of ``l_partkey``; contract
   version 2 when ``l_suppkey % 50 = 0``; instant = month of ``l_shipdate`` +
