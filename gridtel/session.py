@@ -97,7 +97,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     of iterative jobs.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: writing the checkpoint is a second job that would otherwise
+    # recompute the whole plan.
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
