@@ -11,13 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.measures import exact_avg, round_half_up, scaled_sum
-from ..session import sized_broadcast
+from ..functions.measures import READING_SCALE, exact_avg, round_half_even, round_half_up, scaled_sum
 from .quantiles import exact_quantiles
 from .registry import clamp_page
 
-DIM_BROADCAST_ROWS = 2_000_000
-
 
 def _per_unit(fact: DataFrame, key: str = "transformer_key", **aggs) -> DataFrame:
     return fact.groupBy(key).agg(*[v.alias(k) for k, v in aggs.items()])
@@ -32,11 +29,11 @@ def region_tsi(fact: DataFrame, dim_transformer: DataFrame, dim_location: DataFr
     unit = _per_unit(fact, tsi_sum=scaled_sum("thermal_stress_index", 3),
                      tsi_n=F.count("thermal_stress_index"), n=F.count(F.lit(1)),
                      max_w=F.max("winding_temperature_c"))
-    dt = sized_broadcast(dim_transformer.select("transformer_key", "application"), DIM_BROADCAST_ROWS)
-    dl = sized_broadcast(dim_location.select("location_key", "region"), DIM_BROADCAST_ROWS)
+    dt = dim_transformer.select("transformer_key", "application")
+    dl = dim_location.select("location_key", "region")
     j = unit.join(dt, "transformer_key").join(dl, unit.transformer_key == dl.location_key)
     g = j.groupBy("region", "application").agg(
-        F.sum("tsi_sum").alias("s"), F.sum("tsi_n").alias("c"),
+        F.sum(F.col("tsi_sum").cast("decimal(38,0)")).alias("s"), F.sum("tsi_n").alias("c"),
         F.max("max_w").alias("max_winding_c"), F.sum("n").alias("n_measurements"))
     return g.select("region", "application", _avg_from_parts("s", "c", 3, 4).alias("avg_tsi"),
                     "max_winding_c", "n_measurements").orderBy(F.desc("avg_tsi"), "region", "application")
@@ -44,25 +41,25 @@ def region_tsi(fact: DataFrame, dim_transformer: DataFrame, dim_location: DataFr
 
 def region_oil(fact: DataFrame, dim_transformer: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Average oil temperature and row count per (region, application)."""
-    unit = _per_unit(fact, oil_sum=scaled_sum("oil_temperature_c", 1), oil_n=F.count("oil_temperature_c"),
+    unit = _per_unit(fact, oil_sum=scaled_sum("oil_temperature_c", READING_SCALE), oil_n=F.count("oil_temperature_c"),
                      n=F.count(F.lit(1)))
-    dt = sized_broadcast(dim_transformer.select("transformer_key", "application"), DIM_BROADCAST_ROWS)
-    dl = sized_broadcast(dim_location.select("location_key", "region"), DIM_BROADCAST_ROWS)
+    dt = dim_transformer.select("transformer_key", "application")
+    dl = dim_location.select("location_key", "region")
     j = unit.join(dt, "transformer_key").join(dl, unit.transformer_key == dl.location_key)
-    g = j.groupBy("region", "application").agg(F.sum("oil_sum").alias("s"), F.sum("oil_n").alias("c"),
+    g = j.groupBy("region", "application").agg(F.sum(F.col("oil_sum").cast("decimal(38,0)")).alias("s"), F.sum("oil_n").alias("c"),
                                                 F.sum("n").alias("n"))
-    return g.select("region", "application", _avg_from_parts("s", "c", 1, 2).alias("avg_oil_temp_c"), "n") \
+    return g.select("region", "application", _avg_from_parts("s", "c", READING_SCALE, 2).alias("avg_oil_temp_c"), "n") \
             .orderBy("region", "application")
 
 
 def unit_oil(fact: DataFrame, dim_transformer: DataFrame, top: int = 6) -> DataFrame:
     """Measurements and average oil per (unit, application), top by count."""
-    unit = _per_unit(fact, oil_sum=scaled_sum("oil_temperature_c", 1), oil_n=F.count("oil_temperature_c"),
+    unit = _per_unit(fact, oil_sum=scaled_sum("oil_temperature_c", READING_SCALE), oil_n=F.count("oil_temperature_c"),
                      n_measurements=F.count(F.lit(1)))
-    dt = sized_broadcast(dim_transformer.select("transformer_key", "application"), DIM_BROADCAST_ROWS)
+    dt = dim_transformer.select("transformer_key", "application")
     j = unit.join(dt, "transformer_key")
     out = j.select("transformer_key", "application", "n_measurements",
-                   _avg_from_parts("oil_sum", "oil_n", 1, 2).alias("avg_oil_temp_c"))
+                   _avg_from_parts("oil_sum", "oil_n", READING_SCALE, 2).alias("avg_oil_temp_c"))
     return out.orderBy(F.desc("n_measurements"), "transformer_key").limit(top)
 
 
@@ -102,10 +99,10 @@ def unit_statistics(measurements: DataFrame, fact: DataFrame, registry: DataFram
     m = measurements.groupBy("transformer_id").agg(
         F.count(F.lit(1)).alias("count"),
         F.min("load_percent").alias("min_load_percent"), F.max("load_percent").alias("max_load_percent"),
-        exact_avg("load_percent", 1).alias("avg_load_percent"),
+        exact_avg("load_percent", READING_SCALE).alias("avg_load_percent"),
         F.max("oil_temperature_c").alias("max_oil_temperature_c"),
         F.max("winding_temperature_c").alias("max_winding_temperature_c"),
-        exact_avg("winding_temperature_c", 1).alias("avg_winding_temperature_c"))
+        exact_avg("winding_temperature_c", READING_SCALE).alias("avg_winding_temperature_c"))
     t = fact.groupBy(F.col("transformer_key").alias("transformer_id")).agg(
         exact_avg("thermal_stress_index", 3).alias("avg_thermal_stress_index"))
     out = registry.select("transformer_id").join(m, "transformer_id", "left").join(t, "transformer_id", "left")
@@ -147,13 +144,12 @@ def power_range(registry: DataFrame) -> DataFrame:
 
 
 def power_describe(registry: DataFrame) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear), max of power per application, 1 dp."""
+    """Count, mean, sample std, min, quartiles (linear), max of power per application, 1 dp, half-even."""
+    power = F.col("rated_power_mva").cast(f"decimal(18,{READING_SCALE})")
     base = registry.groupBy("application").agg(
         F.count("rated_power_mva").alias("count"),
-        exact_avg("rated_power_mva", 1).alias("mean"),
-        F.sum(F.col("rated_power_mva").cast("decimal(20,1)")).cast("double").alias("_s1"),
-        F.sum(F.col("rated_power_mva").cast("decimal(20,1)") * F.col("rated_power_mva").cast("decimal(20,1)"))
-         .cast("double").alias("_s2"),
+        exact_avg("rated_power_mva", READING_SCALE).alias("mean"),
+        F.sum(power).cast("double").alias("_s1"), F.sum(power * power).cast("double").alias("_s2"),
         F.min("rated_power_mva").alias("min"), F.max("rated_power_mva").alias("max"))
     n = F.col("count").cast("double")
     var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - F.lit(1.0))
@@ -163,7 +159,7 @@ def power_describe(registry: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(name)
           for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     out = base.join(piv, "application", "left")
-    r = lambda c: round_half_up(c, 1)
+    r = lambda c: round_half_even(c, 1)
     return out.select("application", "count", r(F.col("mean")).alias("mean"), r(std).alias("std"),
                       r(F.col("min")).alias("min"), r(F.col("p25")).alias("p25"), r(F.col("p50")).alias("p50"),
                       r(F.col("p75")).alias("p75"), r(F.col("max")).alias("max")).orderBy("application")
@@ -195,7 +191,7 @@ def histogram(registry: DataFrame, features=HIST_FEATURES, bins: int = 10) -> Da
                     "n").orderBy("feature", "bin")
 
 
-def feature_moments(df: DataFrame, features, scale: int = 1) -> DataFrame:
+def feature_moments(df: DataFrame, features, scale: int = READING_SCALE) -> DataFrame:
     """Per feature (missing -> 0): n, exact sum and sum of squares."""
     m = 10 ** scale
     stack = "stack({n}, {items}) as (feature, x)".format(
@@ -206,7 +202,7 @@ def feature_moments(df: DataFrame, features, scale: int = 1) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum(xs).alias("s1"), F.sum(xs * xs).alias("s2"))
 
 
-def scaler_from_moments(moments: DataFrame, scale: int = 1) -> DataFrame:
+def scaler_from_moments(moments: DataFrame, scale: int = READING_SCALE) -> DataFrame:
     """Mean and population std from exact moments; std 0 -> 1."""
     m = float(10 ** scale)
     n = F.col("n").cast("double")

@@ -16,9 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.measures import round_half_even
-
-MOMENT_SCALE = 2  # registry values carry at most 2 decimals
+from ..functions.measures import READING_SCALE, round_half_even
 
 
 def design_features(registry: DataFrame, features: Sequence[str] = P.DESIGN_FEATURES) -> DataFrame:
@@ -31,7 +29,7 @@ def _fixed(c: str, scale: int) -> Column:
     return F.round(F.col(c) * float(10 ** scale)).cast("decimal(38,0)")
 
 
-def wide_moments(feats: DataFrame, features: Sequence[str], scale: int = MOMENT_SCALE) -> DataFrame:
+def wide_moments(feats: DataFrame, features: Sequence[str], scale: int = READING_SCALE) -> DataFrame:
     """One row: n and exact s1/s2 per feature."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in features:
@@ -40,7 +38,7 @@ def wide_moments(feats: DataFrame, features: Sequence[str], scale: int = MOMENT_
     return feats.agg(*aggs)
 
 
-def mean_std(n: Column, s1: Column, s2: Column, scale: int = MOMENT_SCALE) -> tuple[Column, Column]:
+def mean_std(n: Column, s1: Column, s2: Column, scale: int = READING_SCALE) -> tuple[Column, Column]:
     """Mean and population std (0 -> 1) from fixed-point moments."""
     m = float(10 ** scale)
     nd = n.cast("double")
@@ -67,19 +65,16 @@ def score(distance: Column) -> Column:
 
 
 def similar_one(registry: DataFrame, target_id: str, k: int | None = 5,
-                features: Sequence[str] = P.DESIGN_FEATURES, max_candidates: int | None = None) -> DataFrame:
+                features: Sequence[str] = P.DESIGN_FEATURES) -> DataFrame:
     """``(transformer_id, score)`` of the best ``k`` candidates (all when k <= 0 / None).
 
     The scaler is fitted on the candidates (target excluded).  Target and
     scaler form a one-row parameter frame, joined to every candidate on a
     constant key as a broadcast: a single row, so its size is bounded.
-    ``max_candidates`` reproduces the API's first-N-by-id cap; None = all.
     """
     feats = design_features(registry, features)
     target = feats.filter(F.col("transformer_id") == target_id)
     cands = feats.filter(F.col("transformer_id") != target_id)
-    if max_candidates:
-        cands = cands.orderBy("transformer_id").limit(max_candidates)
     mom = wide_moments(cands, features)
     params = _one_row_join(target.select(*[F.col(f).alias(f"t_{f}") for f in features]), mom)
     j = cands.withColumn("_k", F.lit(0)).join(F.broadcast(params.withColumn("_k", F.lit(0))), "_k")

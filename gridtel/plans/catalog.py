@@ -111,16 +111,36 @@ def q_registry_audit(spark, sf_dir):
     return registry.audit(Layers(spark, sf_dir).registry_input)
 
 
+# CHECK constraints written out for the oracle, apart from the operators' own list.
+REG_CHECKS = {
+    "rated_power_mva": "rated_power_mva <= 0", "hv_voltage_kv": "hv_voltage_kv <= 0", "lv_voltage_kv": "lv_voltage_kv <= 0",
+    "frequency_hz": "frequency_hz <> 50 AND frequency_hz <> 60", "phase_count": "phase_count <> 1 AND phase_count <> 3",
+    "impedance_percent": "impedance_percent <= 0 OR impedance_percent > 40",
+    "commissioning_year": "commissioning_year < 1960 OR commissioning_year > 2100",
+    "no_load_loss_kw": "no_load_loss_kw < 0", "load_loss_kw": "load_loss_kw < 0", "total_mass_t": "total_mass_t <= 0",
+    "length_m": "length_m <= 0", "width_m": "width_m <= 0", "height_m": "height_m <= 0",
+}
+MEAS_CHECKS = {
+    "load_percent": "load_percent < 0 OR load_percent > 200",
+    "ambient_temperature_c": "ambient_temperature_c < -20 OR ambient_temperature_c > 55",
+    "oil_temperature_c": "oil_temperature_c < -20 OR oil_temperature_c > 150",
+    "winding_temperature_c": "winding_temperature_c < -20 OR winding_temperature_c > 200",
+    "oil_level_percent": "oil_level_percent < 0 OR oil_level_percent > 100",
+    "current_a": "current_a < 0", "voltage_kv": "voltage_kv <= 0",
+    "state": "state <> 'NORMAL' AND state <> 'WARNING' AND state <> 'CRITICAL'",
+}
+
+
 def _constraint_sql(table, key_expr, src, constraints):
     return "\nUNION ALL ".join(
         f"SELECT '{table}' AS table_name, {key_expr} AS row_key, '{name}' AS constraint_name FROM {src} "
-        f"WHERE NOT ({pred})" for name, pred in constraints)
+        f"WHERE {bad}" for name, bad in constraints.items())
 
 
 @register("constraint_violations", P(
-    "SELECT * FROM (" + _constraint_sql("transformers", "transformer_id", "reg_in", registry.REGISTRY_CONSTRAINTS)
+    "SELECT * FROM (" + _constraint_sql("transformers", "transformer_id", "reg_in", REG_CHECKS)
     + "\nUNION ALL " + _constraint_sql("measurements", "transformer_id || '@' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ')",
-                                       "meas", registry.MEASUREMENT_CONSTRAINTS) + ")"))
+                                       "meas", MEAS_CHECKS) + ")"))
 def q_constraint_violations(spark, sf_dir):
     """Table CHECK constraints evaluated before a write, one row per violation."""
     L = Layers(spark, sf_dir)
@@ -138,34 +158,49 @@ def _upsert_inputs(L: Layers):
     incoming = L.registry.filter(F.col("application").isin("generation", "renewable")).withColumn(
         "impedance_percent",
         F.when(F.col("application") == "renewable", F.col("impedance_percent") + 1).otherwise(F.col("impedance_percent")))
-    return current, incoming
+    # every unit of the batch comes twice: an earlier, higher impedance and the final one
+    twice = incoming.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "impedance_percent", F.when(F.col("seq") == 1, F.col("impedance_percent") + 5).otherwise(F.col("impedance_percent")))
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    return current.withColumn("updated_at", stamp), twice
 
 
 @register("registry_upsert", P("""
-SELECT * FROM reg WHERE application NOT IN ('generation', 'renewable')
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM reg WHERE application NOT IN ('generation', 'renewable')
 UNION ALL
-SELECT * REPLACE (CASE WHEN application = 'renewable' THEN impedance_percent + 1 ELSE impedance_percent END AS impedance_percent)
-FROM reg WHERE application IN ('generation', 'renewable')"""))
+SELECT * REPLACE (CASE WHEN application = 'renewable' THEN impedance_percent + 1 ELSE impedance_percent END AS impedance_percent),
+       TIMESTAMP '2024-06-01 00:00:00' FROM reg WHERE application IN ('generation', 'renewable')"""))
 def q_registry_upsert(spark, sf_dir):
-    """Last-wins merge of a revision batch (new generation units, revised renewable units)."""
+    """Merge of a revision batch that repeats its units; the later row wins and is stamped."""
     current, incoming = _upsert_inputs(Layers(spark, sf_dir))
-    return registry.upsert(current, incoming)
+    return registry.upsert(current, incoming, order="seq", stamp="updated_at",
+                           now=F.lit("2024-06-01 00:00:00").cast("timestamp"))
+
+
+@register("event_violations", O.with_ctes(O.REG_IN, O.REG, O.EVENTS) + """
+SELECT transformer_id, ts, event_type, severity, payload,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM reg WHERE reg.transformer_id = ev_in.transformer_id) THEN 'transformer_id'
+            ELSE 'severity' END AS constraint_name
+FROM ev_in WHERE severity NOT IN ('INFO', 'WARNING', 'CRITICAL')
+  OR NOT EXISTS (SELECT 1 FROM reg WHERE reg.transformer_id = ev_in.transformer_id)""")
+def q_event_violations(spark, sf_dir):
+    """Events refused on write — unit not registered, or severity outside its set."""
+    L = Layers(spark, sf_dir)
+    return registry.event_violations(L.events_input, L.registry.select("transformer_id"))
 
 
 @register("registry_insert", P("""
 SELECT b.transformer_id,
        CASE WHEN b.reject_reason IS NOT NULL THEN 'invalid:' || b.reject_reason
             WHEN e.transformer_id IS NOT NULL OR c.n > 1 THEN 'conflict' ELSE 'accepted' END AS outcome
-FROM (SELECT * FROM reg_chk WHERE application IN ('generation', 'industrial')) b
-LEFT JOIN (SELECT transformer_id, count(*) AS n FROM reg_chk WHERE application IN ('generation', 'industrial') GROUP BY 1) c
-  ON c.transformer_id = b.transformer_id
+FROM reg_chk b
+LEFT JOIN (SELECT transformer_id, count(*) AS n FROM reg_chk GROUP BY 1) c ON c.transformer_id = b.transformer_id
 LEFT JOIN (SELECT DISTINCT transformer_id FROM reg WHERE application <> 'generation') e ON e.transformer_id = b.transformer_id"""))
 def q_registry_insert(spark, sf_dir):
     """U4: registration batch classified as accepted / invalid:<rule> / conflict."""
     L = Layers(spark, sf_dir)
     existing = L.registry.filter(F.col("application") != "generation")
-    batch = L.registry_input.filter(F.col("application").isin("generation", "industrial"))
-    return registry.insert_new(existing, batch, ADAPTER_ID_PATTERN).select("transformer_id", "outcome")
+    return registry.insert_new(existing, L.registry_input, ADAPTER_ID_PATTERN).select("transformer_id", "outcome")
 
 
 @register("registry_page", P("""
@@ -185,10 +220,15 @@ def q_unit_lookup(spark, sf_dir):
 # --- bronze / silver (S4 S5 U1 U2 U5 P1-P8 P14 M1-M3) -------------------------------------
 @register("bronze_raw", P(f"""
 SELECT id, transformer_id, schema_version, {TOPIC.format(u='transformer_id')} AS topic, 'mqtt' AS source,
-       received_at AS ingested_at FROM first_acc"""))
+       received_at AS ingested_at, {O.PAYLOAD_FIELDS_SQL} AS payload_values FROM first_acc"""))
 def q_bronze_raw(spark, sf_dir):
-    """Bronze rows, first delivery of each ``unit@timestamp`` key."""
-    return Layers(spark, sf_dir).raw.drop("payload")
+    """Bronze rows, first delivery of each ``unit@timestamp`` key; the verbatim payload is
+    shown through its fields as one text, numbers rounded to their two decimals."""
+    raw = Layers(spark, sf_dir).raw
+    field = lambda c: F.get_json_object("payload", f"$.{c}")
+    numbers = [F.coalesce(field(c).cast("decimal(12,2)").cast("string"), F.lit("null")) for c in O_MEAS]
+    return raw.withColumn("payload_values", F.concat_ws("|", field("schema_version"), field("transformer_id"),
+                                                        field("timestamp"), *numbers, field("state"))).drop("payload")
 
 
 @register("dedup_first", P("SELECT * FROM meas"))
@@ -278,7 +318,7 @@ def q_fact_measurement(spark, sf_dir):
     return Layers(spark, sf_dir).fact
 
 
-@register("fact_event", O.with_ctes(O.EVENTS) + """
+@register("fact_event", O.with_ctes(O.REG_IN, O.REG, O.EVENTS) + """
 SELECT ts AS time_key, transformer_id AS transformer_key, transformer_id AS location_key, event_type, severity,
        count(*) OVER (PARTITION BY transformer_id, event_type, severity) AS event_count
 FROM ev""")
@@ -334,7 +374,7 @@ def q_telemetry_window_count(spark, sf_dir):
     return cnt(w, "telemetry_window").unionByName(cnt(L.registry, "transformers")).unionByName(cnt(L.raw, "raw_telemetry"))
 
 
-@register("events_page", O.with_ctes(O.EVENTS) + f"""
+@register("events_page", O.with_ctes(O.REG_IN, O.REG, O.EVENTS) + f"""
 SELECT transformer_id, event_type, severity, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, payload
 FROM ev WHERE transformer_id = '{EVENT_UNIT}'
 ORDER BY ts DESC, event_type, severity, payload LIMIT 100""")
@@ -355,11 +395,11 @@ SELECT r.transformer_id, coalesce(m.count, 0) AS count,
        coalesce(t.avg_thermal_stress_index, 0) AS avg_thermal_stress_index
 FROM reg r
 LEFT JOIN (SELECT transformer_id, count(*) AS count, min(load_percent) AS min_load_percent,
-                  max(load_percent) AS max_load_percent, {O.xavg('load_percent', 1)} AS avg_load_percent,
+                  max(load_percent) AS max_load_percent, {O.xavg('load_percent')} AS avg_load_percent,
                   max(oil_temperature_c) AS max_oil_temperature_c, max(winding_temperature_c) AS max_winding_temperature_c,
-                  {O.xavg('winding_temperature_c', 1)} AS avg_winding_temperature_c
+                  {O.xavg('winding_temperature_c')} AS avg_winding_temperature_c
            FROM meas GROUP BY 1) m ON m.transformer_id = r.transformer_id
-LEFT JOIN (SELECT transformer_key, {O.xavg('thermal_stress_index', 3)} AS avg_thermal_stress_index
+LEFT JOIN (SELECT transformer_key, {O.xavg('thermal_stress_index')} AS avg_thermal_stress_index
            FROM fact GROUP BY 1) t ON t.transformer_key = r.transformer_id"""))
 def q_stats_per_unit(spark, sf_dir):
     """Statistics of every registered unit (zeros when it has no rows)."""
@@ -385,7 +425,7 @@ def q_state_tsi(spark, sf_dir):
 
 @register("unit_oil", P(f"""
 SELECT dt.transformer_key, dt.application, count(*) AS n_measurements,
-       {O.rhu(O.xavg('fm.oil_temperature_c', 1), 2)} AS avg_oil_temp_c
+       {O.rhu(O.xavg('fm.oil_temperature_c'), 2)} AS avg_oil_temp_c
 FROM fact fm JOIN dim_transformer dt ON fm.transformer_key = dt.transformer_key
 GROUP BY 1, 2 ORDER BY n_measurements DESC, dt.transformer_key LIMIT 6"""))
 def q_unit_oil(spark, sf_dir):
@@ -395,7 +435,7 @@ def q_unit_oil(spark, sf_dir):
 
 
 @register("region_oil", P(f"""
-SELECT dl.region, dt.application, {O.rhu(O.xavg('fm.oil_temperature_c', 1), 2)} AS avg_oil_temp_c, count(*) AS n
+SELECT dl.region, dt.application, {O.rhu(O.xavg('fm.oil_temperature_c'), 2)} AS avg_oil_temp_c, count(*) AS n
 FROM fact fm JOIN dim_transformer dt ON fm.transformer_key = dt.transformer_key
 JOIN dim_location dl ON fm.location_key = dl.location_key GROUP BY 1, 2"""))
 def q_region_oil(spark, sf_dir):
@@ -430,13 +470,13 @@ def q_weekday_peak(spark, sf_dir):
 
 @register("power_describe", P(f"""
 SELECT application, count(rated_power_mva) AS count,
-       {O.rhu(O.xavg('rated_power_mva', 1), 1)} AS mean,
-       {O.rhu('stddev_samp(rated_power_mva)', 1)} AS std,
-       {O.rhu('min(rated_power_mva)', 1)} AS min,
-       {O.rhu('quantile_cont(rated_power_mva, 0.25)', 1)} AS p25,
-       {O.rhu('quantile_cont(rated_power_mva, 0.5)', 1)} AS p50,
-       {O.rhu('quantile_cont(rated_power_mva, 0.75)', 1)} AS p75,
-       {O.rhu('max(rated_power_mva)', 1)} AS max
+       {O.rhe(O.xavg('rated_power_mva'), 1)} AS mean,
+       {O.rhe('stddev_samp(rated_power_mva)', 1)} AS std,
+       {O.rhe('min(rated_power_mva)', 1)} AS min,
+       {O.rhe('quantile_cont(rated_power_mva, 0.25)', 1)} AS p25,
+       {O.rhe('quantile_cont(rated_power_mva, 0.5)', 1)} AS p50,
+       {O.rhe('quantile_cont(rated_power_mva, 0.75)', 1)} AS p75,
+       {O.rhe('max(rated_power_mva)', 1)} AS max
 FROM reg GROUP BY 1"""))
 def q_power_describe(spark, sf_dir):
     """describe() of rated power per application (exact distributed quartiles)."""
@@ -481,23 +521,15 @@ def q_power_range(spark, sf_dir):
     return analytics.power_range(Layers(spark, sf_dir).registry)
 
 
-def _scaler_sql(src: str) -> str:
-    parts = []
-    for f in PARAMS.DESIGN_FEATURES:
-        xs = f"CAST(round(coalesce(CAST({f} AS DOUBLE), 0e0) * 10e0) AS HUGEINT)"
-        parts.append(f"SELECT '{f}' AS feature, count(*) AS n, sum({xs}) AS s1, sum({xs} * {xs}) AS s2 FROM {src}")
-    return " UNION ALL ".join(parts)
-
-
-SCALER_SQL = """SELECT feature, s1m / n AS mean,
-       CASE WHEN sqrt(greatest((s2m - s1m * s1m / n) / n, 0e0)) = 0 THEN 1e0
-            ELSE sqrt(greatest((s2m - s1m * s1m / n) / n, 0e0)) END AS std
-FROM (SELECT feature, CAST(n AS DOUBLE) AS n, CAST(s1 AS DOUBLE) / 10e0 AS s1m, CAST(s2 AS DOUBLE) / 100e0 AS s2m
-      FROM ({moments}))"""
+def _scaler_sql() -> str:
+    """One SELECT per feature over the registry's values as they are; population deviation, 0 -> 1."""
+    one = ("SELECT '{f}' AS feature, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1e0 ELSE stddev_pop(x) END AS std "
+           "FROM (SELECT coalesce(CAST({f} AS DOUBLE), 0e0) AS x FROM reg)")
+    return " UNION ALL ".join(one.format(f=f) for f in PARAMS.DESIGN_FEATURES)
 
 
 @register("feature_scaler", P(f"""
-SELECT feature, {O.rhu('mean', 6)} AS mean, {O.rhu('std', 6)} AS std FROM ({SCALER_SQL.format(moments=_scaler_sql('reg'))})"""))
+SELECT feature, {O.rhu('mean', 6)} AS mean, {O.rhu('std', 6)} AS std FROM ({_scaler_sql()})"""))
 def q_feature_scaler(spark, sf_dir):
     """Standard-scaler mean and population std of the 10 design features."""
     return analytics.feature_scaler(Layers(spark, sf_dir).registry)
@@ -538,6 +570,19 @@ def q_orphan_facts(spark, sf_dir):
     return quality.orphan_facts(L.fact, L.dim_transformer)
 
 
+# Predicates and value sets written out for the oracle, apart from the checks' own.
+DQ_PREDICATES = {
+    "assert_stg_load_percent_range": "NOT load_percent BETWEEN 0 AND 200",
+    "assert_stg_payload_id_matches": "transformer_id IS DISTINCT FROM payload_transformer_id",
+    "assert_stg_temperature_plausible": "oil_temperature_c > winding_temperature_c OR winding_temperature_c > 200 "
+                                        "OR oil_temperature_c > 150 OR NOT ambient_temperature_c BETWEEN -20 AND 55",
+    "assert_int_tsi_range": "NOT thermal_stress_index BETWEEN 0 AND 1",
+    "assert_int_state_matches_recomputed": "state IS DISTINCT FROM state_recomputed",
+}
+DQ_VALUES = {"state": "'CRITICAL', 'NORMAL', 'WARNING'", "state_recomputed": "'CRITICAL', 'NORMAL', 'WARNING'",
+             "quality_flag": "'complete', 'incomplete'", "country": "'Brazil'"}
+
+
 def _dq_sql() -> str:
     tables = {"stg_telemetry": "stg", "int_telemetry": "int_tel", "transformers": "reg", "dim_time": "dim_time",
               "dim_transformer": "dim_transformer", "dim_location": "dim_location",
@@ -555,15 +600,17 @@ def _dq_sql() -> str:
             cols = ", ".join(c.columns)
             q = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)"
         elif c.kind == "accepted_values":
-            vals = ", ".join(f"'{v}'" for v in c.values)
-            q = f"SELECT count(DISTINCT {c.column}) FROM {t} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})"
+            q = f"SELECT count(DISTINCT {c.column}) FROM {t} WHERE {c.column} NOT IN ({DQ_VALUES[c.column]})"
+        elif c.kind == "orphans":
+            p = tables[c.parent]
+            q = (f"SELECT count(*) FROM {t} ch LEFT JOIN {p} pa ON pa.{c.parent_column} = ch.{c.column} "
+                 f"WHERE pa.{c.parent_column} IS NULL")
         elif c.kind == "relationships":
             p = tables[c.parent]
             q = (f"SELECT count(*) FROM {t} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
                  f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_column} = ch.{c.column})")
         else:
-            pred = c.predicate.replace("<=>", "IS NOT DISTINCT FROM")
-            q = f"SELECT count(*) FROM {t} WHERE {pred}"
+            q = f"SELECT count(*) FROM {t} WHERE {DQ_PREDICATES[c.name]}"
         rows.append(f"SELECT '{c.name}' AS check_name, '{c.layer}' AS layer, ({q}) AS failures")
     return P("SELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL ".join(rows) + ")")
 
@@ -679,18 +726,18 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:10]}"
 
 
-@register("registry_csv")
+@register("registry_csv", P(f"SELECT * REPLACE ({O.EXPORTED}) FROM reg"))
 def q_registry_csv(spark, sf_dir):
-    """S6 -> S1/S12: export the validated registry as CSV (fixed decimals), load it back strictly (rows check)."""
+    """S6 -> S1/S12: export the validated registry as CSV (fixed decimals), load it back strictly."""
     from ..sources import files
     path = _scratch(spark, "registry-export")
     files.export_registry(Layers(spark, sf_dir).registry, path, "csv")
     return files.read_registry_csv(spark, path, ADAPTER_ID_PATTERN)
 
 
-@register("replay")
+@register("replay", P("SELECT * FROM stg"))
 def q_replay(spark, sf_dir):
-    """Dump bronze as JSON lines (raw + measurement lines), replay it, rebuild silver (rows check)."""
+    """Dump bronze as JSON lines (raw + measurement lines), replay it, rebuild silver."""
     from ..operators import silver
     from ..sources import files
     L = Layers(spark, sf_dir)
@@ -701,26 +748,44 @@ def q_replay(spark, sf_dir):
     return silver.stg_telemetry(got["raw"])
 
 
-@register("stream_ingest")
+@register("stream_ingest", P("SELECT * FROM meas"))
 def q_stream_ingest(spark, sf_dir):
-    """Envelope files landed in receive order (one per receive year, then a
-    redelivery file) ingested by Structured Streaming; equals the batch measurements (rows check)."""
+    """Envelope files landed year by year in receive order, each landing ingested by a
+    bounded run of the same Structured Streaming query, then a redelivery; equals the batch measurements."""
     from ..streaming import ingest as stream
     L = Layers(spark, sf_dir)
     landing, out = _scratch(spark, "landing"), _scratch(spark, "bronze")
-    env = L.envelopes.persist()  # staged into several files below; computed once
+    env = L.envelopes.persist()  # staged into several landings below; computed once
+    ids = L.registry.select("transformer_id").persist()
     span = env.agg(F.min(F.year("received_at")), F.max(F.year("received_at"))).first()
-    for i, year in enumerate(range(span[0], span[1] + 1) if span[0] is not None else []):
-        (env.filter(F.year("received_at") == year).coalesce(1)
-            .write.mode("overwrite").json(f"{landing}/{i:04d}-received-{year}"))
-    env.filter(F.xxhash64("payload") % 20 == 0).coalesce(1).write.mode("overwrite").json(landing + "/9999-redelivery")
+    years = range(span[0], span[1] + 1) if span[0] is not None else [None]
+    received = F.year("received_at")
+    landings = [received.eqNullSafe(F.lit(y)) | (received.isNull() if i == 0 else F.lit(False)) for i, y in enumerate(years)]
+    landings.append(F.xxhash64("payload") % 20 == 0)  # delivered again
+    for i, rows in enumerate(landings):
+        env.filter(rows).write.json(f"{landing}/{i:04d}")
+        # all files of a landing are one micro-batch, so the first delivery in it is decided by receive time
+        stream.start_ingest(spark, landing + "/*", ids, out, checkpoint=out + "-checkpoint",
+                            max_files_per_trigger=1_000_000).awaitTermination()
     env.unpersist()
-    q = stream.start_ingest(spark, landing + "/*", L.registry.select("transformer_id"), out,
-                            checkpoint=out + "-checkpoint", max_files_per_trigger=3)
-    q.awaitTermination()
+    ids.unpersist()
     return stream.read_tables(spark, out)["measurements"].drop(*stream.PARTS)
 
 
+@register("backfill", P("""
+SELECT 'transformers' AS what, count(*) AS n FROM reg UNION ALL SELECT 'raw', count(*) FROM first_acc
+UNION ALL SELECT 'measurements', count(*) FROM meas"""))
+def q_backfill(spark, sf_dir):
+    """Registry file and bronze dump loaded through the stream's sink; counts of what was stored."""
+    from ..sources import files
+    from ..streaming.backfill import backfill
+    L = Layers(spark, sf_dir)
+    csv, dump = _scratch(spark, "registry-export"), _scratch(spark, "bronze-dump")
+    files.export_registry(L.registry, csv, "csv")
+    files.write_bronze_lines(L.raw, L.first.select("schema_version", "transformer_id", "timestamp", *O_MEAS, "state"), dump)
+    return backfill(spark, csv, dump, _scratch(spark, "backfill"), ADAPTER_ID_PATTERN)[1]
+
+
 @register("similar_all", O.similar_all_sql(5, PARAMS.DESIGN_FEATURES))
 def q_similar_all(spark, sf_dir):
     """Exact top-5 similar designs for every unit (k-d partition + box pruning, no all-pairs)."""

@@ -47,9 +47,14 @@ class Layers:
         return adapter.registry_records(self.spark, self.sf_dir)
 
     @cached_property
-    def events(self) -> DataFrame:
+    def events_input(self) -> DataFrame:
         return adapter.operational_events(self.spark, self.sf_dir)
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """Stored events: registered unit, known severity."""
+        return registry.accepted_events(self.events_input, self.registry.select("transformer_id"))
+
     # --- registry ----------------------------------------------------------
     @cached_property
     def registry_checked(self) -> DataFrame:

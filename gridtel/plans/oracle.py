@@ -6,26 +6,23 @@ plain SQL.  Column names match the Spark results.
 """
 from __future__ import annotations
 
-R1 = "CAST(CAST({e} AS DECIMAL(12,1)) AS DOUBLE)"
-
-
-def r1(e: str) -> str:
-    return R1.format(e=e)
+def r2(e: str) -> str:
+    return f"CAST(CAST({e} AS DECIMAL(12,2)) AS DOUBLE)"
 
 
 def rhu(e: str, n: int) -> str:
     """Half-away-from-zero rounding through DECIMAL, as DOUBLE."""
-    return f"CAST(round(CAST({e} AS DECIMAL(18,9)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST({e} AS DECIMAL(28,15)), {n}) AS DOUBLE)"
 
 
 def rhe(e: str, n: int) -> str:
     """Half-even rounding through DECIMAL, as DOUBLE."""
-    return f"CAST(round_even(CAST({e} AS DECIMAL(18,9)), {n}) AS DOUBLE)"
+    return f"CAST(round_even(CAST({e} AS DECIMAL(28,15)), {n}) AS DOUBLE)"
 
 
-def xavg(e: str, scale: int = 3) -> str:
-    m = 10 ** scale
-    return f"(CAST(sum(CAST(round(({e})*{m}e0) AS BIGINT)) AS DOUBLE)/{m}e0/nullif(count({e}),0))"
+def xavg(e: str) -> str:
+    """Average of the values as they are (six decimals hold every input), order-independent."""
+    return f"(CAST(sum(CAST({e} AS DECIMAL(18,6))) AS DOUBLE)/nullif(count({e}),0))"
 
 
 TSI = rhu("least(1.0e0, 0.5e0*greatest({w},0e0)/105e0 + 0.3e0*greatest({o},0e0)/100e0"
@@ -48,12 +45,12 @@ TEL = f"""tel AS (
          CASE WHEN l_suppkey % 50 = 0 THEN 2 ELSE 1 END AS schema_version,
          date_trunc('month', l_shipdate) + to_hours(l_linenumber) AS ts,
          l_shipdate + to_seconds(l_orderkey) AS received_at,
-         {r1('l_quantity*4.2e0')} AS load_percent,
-         {r1('20e0 + l_discount*100')} AS ambient_temperature_c,
-         {r1('20e0 + l_discount*100 + l_quantity*1.5e0')} AS oil_temperature_c,
-         {r1('19e0 + l_discount*100 + l_quantity*1.5e0 + l_tax*200')} AS winding_temperature_c,
+         {r2('l_quantity*4.2e0 + l_linenumber*0.01e0')} AS load_percent,
+         {r2('20e0 + l_discount*100 + l_linenumber*0.02e0')} AS ambient_temperature_c,
+         {r2('20e0 + l_discount*100 + l_quantity*1.5e0 + l_linenumber*0.03e0')} AS oil_temperature_c,
+         {r2('19e0 + l_discount*100 + l_quantity*1.5e0 + l_tax*200 + l_linenumber*0.04e0')} AS winding_temperature_c,
          CAST(85 + l_suppkey % 15 AS DOUBLE) AS oil_level_percent,
-         {r1('l_extendedprice/100e0')} AS current_a,
+         CAST(floor(l_extendedprice) AS DOUBLE)/100e0 AS current_a,
          CAST(69 + l_suppkey % 5 AS DOUBLE) AS voltage_kv,
          CASE WHEN l_orderkey % 401 = 0 THEN lower(st) ELSE st END AS state,
          l_orderkey, l_suppkey,
@@ -62,9 +59,11 @@ TEL = f"""tel AS (
         FROM lineitem) li
 )"""
 
+PWR = r2("p_size*2 + p_partkey % 7 * 0.13e0")
+
 REG_IN = f"""reg_in AS (
   SELECT printf('TR-%05d', p_partkey) AS transformer_id,
-         CAST(p_size*2 AS DOUBLE) AS rated_power_mva,
+         {PWR} AS rated_power_mva,
          CASE WHEN p_partkey % 97 = 0 THEN list_extract([13.8e0,34.5e0,69.0e0,115.0e0,138.0e0], CAST(p_partkey % 5 + 1 AS INTEGER))
               ELSE list_extract([69.0e0,138.0e0,230.0e0,345.0e0,500.0e0], CAST(p_partkey % 5 + 1 AS INTEGER)) END AS hv_voltage_kv,
          CASE WHEN p_partkey % 97 = 0 THEN list_extract([69.0e0,138.0e0,230.0e0,345.0e0,500.0e0], CAST(p_partkey % 5 + 1 AS INTEGER))
@@ -73,16 +72,16 @@ REG_IN = f"""reg_in AS (
          CASE WHEN p_partkey % 101 = 0 THEN 2 ELSE 3 END AS phase_count,
          list_extract(['YNd11','YNd1','Ynd5','Yy0','Dyn1','Dd0','YNd5','Yd11','Zyn11'], CAST(p_partkey % 9 + 1 AS INTEGER)) AS vector_group,
          CAST(5 + p_partkey % 20 AS DOUBLE) AS impedance_percent,
-         CASE WHEN p_size*2 < 15 THEN 'ONAN' WHEN p_size*2 < 60 THEN 'ONAF' WHEN p_size*2 < 80 THEN 'OFAF' ELSE 'ODAF' END AS cooling_type,
+         CASE WHEN {PWR} < 15 THEN 'ONAN' WHEN {PWR} < 60 THEN 'ONAF' WHEN {PWR} < 80 THEN 'OFAF' ELSE 'ODAF' END AS cooling_type,
          CAST(1990 + p_partkey % 36 AS INTEGER) AS commissioning_year,
          CASE p_type WHEN 'ECONOMY' THEN 'distribution' WHEN 'STANDARD' THEN 'transmission'
               WHEN 'SMALL' THEN 'industrial' WHEN 'LARGE' THEN 'generation' ELSE 'renewable' END AS application,
-         {r1('p_retailprice/20e0')} AS no_load_loss_kw,
-         {r1('p_retailprice/2e0')} AS load_loss_kw,
-         {r1('22e0 + p_size*1.35e0')} AS total_mass_t,
-         {r1('2e0 + p_size*0.1e0')} AS length_m,
-         {r1('1.5e0 + p_size*0.05e0')} AS width_m,
-         {r1('2.6e0 + p_size*0.04e0')} AS height_m
+         CAST(floor(p_retailprice*5) AS DOUBLE)/100e0 AS no_load_loss_kw,
+         CAST(floor(p_retailprice*50) AS DOUBLE)/100e0 AS load_loss_kw,
+         {r2('22e0 + p_size*1.35e0')} AS total_mass_t,
+         {r2('2e0 + p_size*0.11e0')} AS length_m,
+         {r2('1.5e0 + p_size*0.05e0')} AS width_m,
+         {r2('2.6e0 + p_size*0.04e0')} AS height_m
   FROM part
 )"""
 
@@ -188,12 +187,28 @@ dim_time AS (
   FROM (SELECT DISTINCT ts AS time_key FROM int_tel)
 )"""
 
-EVENTS = """ev AS (
+EVENTS = """ev_in AS (
   SELECT printf('TR-%05d', user_id) AS transformer_id, ts, event_type,
-         CASE WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'purchase' THEN 'WARNING' ELSE 'INFO' END AS severity,
+         CASE WHEN user_id % 53 = 0 THEN 'NOTICE' WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'purchase' THEN 'WARNING' ELSE 'INFO' END AS severity,
          props AS payload
   FROM events
-)"""
+),
+ev AS (SELECT * FROM ev_in WHERE severity IN ('INFO', 'WARNING', 'CRITICAL')
+       AND EXISTS (SELECT 1 FROM reg WHERE reg.transformer_id = ev_in.transformer_id))"""
+
+
+# The registry as the export writes it: one decimal, dimensions two.
+EXPORTED = ", ".join(
+    f"CAST(CAST(CAST({c} AS DECIMAL(14,4)) AS DECIMAL(14,{d})) AS DOUBLE) AS {c}" for c, d in (
+        ("rated_power_mva", 1), ("hv_voltage_kv", 1), ("lv_voltage_kv", 1), ("impedance_percent", 1), ("no_load_loss_kw", 1),
+        ("load_loss_kw", 1), ("total_mass_t", 1), ("length_m", 2), ("width_m", 2), ("height_m", 2)))
+
+# A message's payload fields as one text, numbers with two decimals.
+PAYLOAD_FIELDS_SQL = " || '|' || ".join(
+    ["CAST(schema_version AS VARCHAR)", "transformer_id", RFC.format(t="ts"),
+     *(f"CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR)" for c in (
+         "load_percent", "ambient_temperature_c", "oil_temperature_c", "winding_temperature_c", "oil_level_percent",
+         "current_a", "voltage_kv")), "state"])
 
 
 def with_ctes(*ctes: str) -> str:
@@ -208,15 +223,14 @@ def pipeline_sql(body: str, extra_ctes: tuple = ()) -> str:
     return with_ctes(*PIPE, *extra_ctes) + body
 
 
-def similar_one_sql(target: str, k: int, features, scale: int = 2) -> str:
+def similar_one_sql(target: str, k: int, features, scale: int = 4) -> str:
     """Top-k similarity of one target, scaler fitted on the other units."""
-    m = 10 ** scale
     feat = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0e0) AS {f}" for f in features)
     moms = ["CAST(count(*) AS DOUBLE) AS n"]
     for f in features:
-        x = f"CAST(round({f} * {m}e0) AS HUGEINT)"
-        moms.append(f"CAST(sum({x}) AS DOUBLE) / {m}e0 AS s1_{f}")
-        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) / {m * m}e0 AS s2_{f}")
+        x = f"CAST({f} AS DECIMAL(19,{scale}))"
+        moms.append(f"CAST(sum({x}) AS DOUBLE) AS s1_{f}")
+        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) AS s2_{f}")
     ms = []
     for f in features:
         sd = f"sqrt(greatest((s2_{f} - s1_{f} * s1_{f} / n) / n, 0e0))"
@@ -236,15 +250,14 @@ FROM cands c, tgt t, ms
 ORDER BY score DESC, c.transformer_id LIMIT {k}""", extra)
 
 
-def similar_all_sql(k: int, features, scale: int = 2) -> str:
+def similar_all_sql(k: int, features, scale: int = 4) -> str:
     """Exact top-k for every unit by brute force (scaler fitted on all units)."""
-    m = 10 ** scale
     feat = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0e0) AS {f}" for f in features)
     moms = ["CAST(count(*) AS DOUBLE) AS n"]
     for f in features:
-        x = f"CAST(round({f} * {m}e0) AS HUGEINT)"
-        moms.append(f"CAST(sum({x}) AS DOUBLE) / {m}e0 AS s1_{f}")
-        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) / {m * m}e0 AS s2_{f}")
+        x = f"CAST({f} AS DECIMAL(19,{scale}))"
+        moms.append(f"CAST(sum({x}) AS DOUBLE) AS s1_{f}")
+        moms.append(f"CAST(sum({x} * {x}) AS DOUBLE) AS s2_{f}")
     ms = []
     for f in features:
         sd = f"sqrt(greatest((s2_{f} - s1_{f} * s1_{f} / n) / n, 0e0))"

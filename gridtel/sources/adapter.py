@@ -10,7 +10,7 @@ Mapping (restated in SQL for the DuckDB oracle in ``plans.oracle``):
 * envelope from ``lineitem``: unit ``TR-%05d`` of ``l_partkey``; contract
   version 2 when ``l_suppkey % 50 = 0``; instant = month of ``l_shipdate`` +
   ``l_linenumber`` hours; received = ``l_shipdate`` + ``l_orderkey`` seconds;
-  sensor values from quantity / discount / tax / price, one decimal; a few
+  sensor values from quantity / discount / tax / price / line number, two decimals; a few
   rows carry broken JSON, a zoneless timestamp, a foreign topic or a
   lower-case state so that every contract rule sees input.
 * design registry from ``part``; some rows deliberately invalid.
@@ -33,6 +33,7 @@ BROKEN_JSON_MOD = 211
 ZONELESS_TS_MOD = 307
 FOREIGN_TOPIC_MOD = 101
 LOWER_STATE_MOD = 401
+ODD_SEVERITY_MOD = 53  # on user_id
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +45,8 @@ def unit_id(key) -> F.Column:
     return F.format_string("TR-%05d", F.col(key) if isinstance(key, str) else key)
 
 
-def _r1(x) -> F.Column:
-    return x.cast("decimal(12,1)").cast("double")
+def _r2(x) -> F.Column:
+    return x.cast("decimal(12,2)").cast("double")
 
 
 def telemetry_columns(lineitem: DataFrame) -> DataFrame:
@@ -58,12 +59,12 @@ def telemetry_columns(lineitem: DataFrame) -> DataFrame:
         F.when(l.l_suppkey % 50 == 0, F.lit(2)).otherwise(F.lit(1)).alias("schema_version"),
         ts.alias("ts"),
         F.timestamp_seconds(F.unix_seconds(ship) + l.l_orderkey).alias("received_at"),
-        _r1(l.l_quantity * 4.2).alias("load_percent"),
-        _r1(F.lit(20.0) + l.l_discount * 100).alias("ambient_temperature_c"),
-        _r1(F.lit(20.0) + l.l_discount * 100 + l.l_quantity * 1.5).alias("oil_temperature_c"),
-        _r1(F.lit(19.0) + l.l_discount * 100 + l.l_quantity * 1.5 + l.l_tax * 200).alias("winding_temperature_c"),
+        _r2(l.l_quantity * 4.2 + l.l_linenumber * 0.01).alias("load_percent"),
+        _r2(F.lit(20.0) + l.l_discount * 100 + l.l_linenumber * 0.02).alias("ambient_temperature_c"),
+        _r2(F.lit(20.0) + l.l_discount * 100 + l.l_quantity * 1.5 + l.l_linenumber * 0.03).alias("oil_temperature_c"),
+        _r2(F.lit(19.0) + l.l_discount * 100 + l.l_quantity * 1.5 + l.l_tax * 200 + l.l_linenumber * 0.04).alias("winding_temperature_c"),
         (F.lit(85) + l.l_suppkey % 15).cast("double").alias("oil_level_percent"),
-        _r1(l.l_extendedprice / 100).alias("current_a"),
+        (F.floor(l.l_extendedprice).cast("double") / 100.0).alias("current_a"),
         (F.lit(69) + l.l_suppkey % 5).cast("double").alias("voltage_kv"),
         F.when(l.l_returnflag == "A", "NORMAL").when(l.l_returnflag == "N", "WARNING")
          .otherwise("CRITICAL").alias("state"),
@@ -96,7 +97,7 @@ def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     hv = F.element_at(F.array(*[F.lit(v) for v in HV_LEVELS]), i.cast("int"))
     lv = F.element_at(F.array(*[F.lit(v) for v in LV_LEVELS]), i.cast("int"))
     swap = p.p_partkey % 97 == 0
-    power = (p.p_size * 2).cast("double")
+    power = _r2(p.p_size * 2 + p.p_partkey % 7 * 0.13)
     vg = F.element_at(F.array(*[F.lit(v) for v in P.VECTOR_GROUPS]), (p.p_partkey % 9 + 1).cast("int"))
     cooling = (F.when(power < 15, "ONAN").when(power < 60, "ONAF").when(power < 80, "OFAF").otherwise("ODAF"))
     application = (F.when(p.p_type == "ECONOMY", "distribution").when(p.p_type == "STANDARD", "transmission")
@@ -114,12 +115,12 @@ def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         cooling.alias("cooling_type"),
         (F.lit(1990) + p.p_partkey % 36).cast("int").alias("commissioning_year"),
         application.alias("application"),
-        _r1(p.p_retailprice / 20).alias("no_load_loss_kw"),
-        _r1(p.p_retailprice / 2).alias("load_loss_kw"),
-        _r1(F.lit(22.0) + p.p_size * 1.35).alias("total_mass_t"),
-        _r1(F.lit(2.0) + p.p_size * 0.1).alias("length_m"),
-        _r1(F.lit(1.5) + p.p_size * 0.05).alias("width_m"),
-        _r1(F.lit(2.6) + p.p_size * 0.04).alias("height_m"),
+        (F.floor(p.p_retailprice * 5).cast("double") / 100.0).alias("no_load_loss_kw"),
+        (F.floor(p.p_retailprice * 50).cast("double") / 100.0).alias("load_loss_kw"),
+        _r2(F.lit(22.0) + p.p_size * 1.35).alias("total_mass_t"),
+        _r2(F.lit(2.0) + p.p_size * 0.11).alias("length_m"),
+        _r2(F.lit(1.5) + p.p_size * 0.05).alias("width_m"),
+        _r2(F.lit(2.6) + p.p_size * 0.04).alias("height_m"),
     )
 
 
@@ -130,7 +131,7 @@ def operational_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         unit_id("user_id").alias("transformer_id"),
         e.ts.cast("timestamp").alias("ts"),
         e.event_type.alias("event_type"),
-        F.when(e.event_type == "error", "CRITICAL").when(e.event_type == "purchase", "WARNING")
-         .otherwise("INFO").alias("severity"),
+        F.when(e.user_id % ODD_SEVERITY_MOD == 0, "NOTICE").when(e.event_type == "error", "CRITICAL")
+         .when(e.event_type == "purchase", "WARNING").otherwise("INFO").alias("severity"),
         e.props.alias("payload"),
     )
