@@ -1,72 +1,102 @@
 """Exact linear-interpolated quantiles without gathering a group in one task.
 
 ``percentile`` keeps every value of a group in one aggregation buffer and a
-window over the group sorts it in one task.  Here:
+window over the group sorts it in one task.  Here every wanted rank is
+narrowed down by counting:
 
-1. ``percentile_approx`` (rank error <= n / accuracy) brackets the wanted
-   ranks from both sides with a margin of 4 n / accuracy ranks; a group of
-   at most 4 x accuracy values (where that margin could be under a few
-   ranks) takes its whole range instead, which is bounded by the same
-   constant;
-2. an exact distributed count gives the number of values below the lower
-   bracket;
-3. only the distinct values inside the bracket, with their multiplicities,
-   are ranked (about 8 n / accuracy values however skewed the data: ties
-   collapse into one row with a count);
-4. the values at ranks floor(h) and ceil(h), h = (n - 1) q, are
-   interpolated: lo + (hi - lo) (h - floor(h)) — the definition of Spark's
-   ``percentile`` and DuckDB's ``quantile_cont``.
+1. a rank starts with the open interval of all values of its group;
+2. a bounded sketch (``percentile_approx`` on a fixed grid of shares) of the
+   values inside the interval gives two of them, a <= b, around the rank;
+3. one exact count of the values below a, equal to a, between, equal to b
+   and above b tells which of these five holds the rank: a or b is the
+   answer, or the interval shrinks to one of the three open parts — by about
+   ``GRID`` times, as ties can only sit on a or b;
+4. until every rank has its value (two or three rounds for a million rows,
+   five for 10^12).
+
+Every aggregate combines before the shuffle and yields one row per rank, so
+a group with most of the rows is no heavier than others.  The values at
+ranks floor(h) and ceil(h), h = (n - 1) q, are interpolated: lo + (hi - lo)
+(h - floor(h)) — the definition of Spark's ``percentile`` and DuckDB's
+``quantile_cont``.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-ACCURACY = 100_000
+GRID = 2000
+ACCURACY = 20_000
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, qs: Sequence[float],
-                    accuracy: int = ACCURACY) -> DataFrame:
+                    grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
     """Rows ``(*groups, q, quantile)`` for each group and each q in ``qs``."""
-    groups = list(groups) or []
-    gcols = groups or ["_all"]
-    eps = 4.0 / accuracy
-    base = df if groups else df.withColumn("_all", F.lit(0))
-    x = base.select(*gcols, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    q_list = [float(q) for q in qs]
-    stats = x.groupBy(*gcols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [max(0.0, q - eps) for q in q_list], accuracy).alias("_los"),
-        F.percentile_approx("_v", [min(1.0, q + eps) for q in q_list], accuracy).alias("_his"))
-    i = F.col("_i") + 1
-    br = (stats.select(*gcols, "_n", "_los", "_his", F.explode(F.sequence(F.lit(0), F.lit(len(q_list) - 1))).alias("_i"))
-          .select(*gcols, "_n",
-                  F.element_at(F.array(*[F.lit(q) for q in q_list]), i).alias("q"),
-                  F.element_at("_los", i).alias("lo"), F.element_at("_his", i).alias("hi")))
-    small = F.col("_n") <= 4 * accuracy
-    br = (br.withColumn("lo", F.when(small, F.lit(float("-inf"))).otherwise(F.col("lo")))
-            .withColumn("hi", F.when(small, F.lit(float("inf"))).otherwise(F.col("hi"))))
-    br = (br.withColumn("h", (F.col("_n") - 1).cast("double") * F.col("q"))
-            .withColumn("r_lo", F.floor("h").cast("long")).withColumn("r_hi", F.ceil("h").cast("long")))
-    keys = gcols + ["q"]
-    # ``br`` is an aggregate: AQE materializes it as a shuffle stage, measures it
-    # and turns the join into a broadcast when small (a probe would compute it twice).
-    j = x.join(br.select(*keys, "lo", "hi"), gcols)
-    below = j.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("lo")).alias("below"))
-    cand = (j.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    cand = (cand.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-                .join(below, keys).join(br.select(*keys, "r_lo", "r_hi", "h"), keys))
-    start = F.col("below") + F.col("before")
-    end = start + F.col("c")
-    picked = cand.groupBy(*keys).agg(
-        F.max(F.when((F.col("r_lo") >= start) & (F.col("r_lo") < end), F.col("_v"))).alias("v_lo"),
-        F.max(F.when((F.col("r_hi") >= start) & (F.col("r_hi") < end), F.col("_v"))).alias("v_hi"),
-        F.first("h").alias("h"))
-    frac = F.col("h") - F.floor("h")
-    out = picked.select(*keys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("quantile"))
-    return out if groups else out.drop("_all")
+    keys = list(groups)
+    x = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if not keys:
+        # one group: a key that the optimizer cannot fold, so joins stay equi-joins
+        x = x.withColumn("_all", F.pmod(F.xxhash64("_v"), F.lit(1)))
+        keys = ["_all"]
+    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in qs]))
+    of_q = sizes.select(*keys, "n", wanted.alias("q")).withColumn("h", (F.col("n") - 1).cast("double") * F.col("q"))
+    of_q = cut_lineage(of_q.select(*keys, "q", "h", "n", F.floor("h").alias("r_lo"), F.ceil("h").alias("r_hi")))
+    ranks = of_q.select(*keys, "n", F.explode(F.array("r_lo", "r_hi")).alias("r")).distinct()
+    state = ranks.select(*keys, "r", F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"),
+                         F.lit(0).cast("long").alias("base"), F.col("n").alias("m"), F.lit(None).cast("double").alias("v"))
+    while True:
+        state = cut_lineage(_narrowed(x, state, keys, grid, accuracy))
+        if state.filter(F.col("v").isNull()).isEmpty():
+            break
+    at = lambda name: state.select(*keys, F.col("r").alias(f"r_{name}"), F.col("v").alias(f"v_{name}"))
+    out = of_q.join(at("lo"), [*keys, "r_lo"]).join(at("hi"), [*keys, "r_hi"])
+    quantile = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
+        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h")))
+    return out.select(*groups, "q", quantile.alias("quantile"))
+
+
+def _narrowed(x: DataFrame, state: DataFrame, keys: list[str], grid: int, accuracy: int) -> DataFrame:
+    """One round: every open rank gets its value or a smaller interval."""
+    known = state.filter(F.col("v").isNotNull())
+    todo = state.filter(F.col("v").isNull()).select(*keys, "r", "lo", "hi", "base", "m")
+    # an end that never moved takes infinite values in
+    inside = (((F.col("_v") > F.col("lo")) | (F.col("lo") == float("-inf")))
+              & ((F.col("_v") < F.col("hi")) | (F.col("hi") == float("inf"))))
+    held = x.join(todo, keys).filter(inside)
+    id_cols = [*keys, "r"]
+    share = [i / grid for i in range(grid + 1)]
+    sketch = held.groupBy(*id_cols).agg(F.percentile_approx("_v", share, accuracy).alias("s"),
+                                        F.first("base").alias("base"), F.first("m").alias("m"),
+                                        F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    want = (F.col("r") - F.col("base") + F.lit(0.5)) / F.col("m") * F.lit(grid)
+    # the grid points around the rank, one further for the sketch's error unless the sketch is exact
+    slack = F.when(F.col("m") <= accuracy, F.lit(0)).otherwise(F.lit(1))
+    low = F.greatest(F.floor(want) - slack, F.lit(0)).cast("int") + 1
+    high = F.least(F.ceil(want) + slack, F.lit(grid)).cast("int") + 1
+    bracket = cut_lineage(sketch.select(*id_cols, "base", "m", "lo", "hi", F.element_at("s", low).alias("a"),
+                                        F.element_at("s", high).alias("b")))
+    v, a, b = F.col("_v"), F.col("a"), F.col("b")
+    counts = x.join(bracket.select(*id_cols, "a", "b", "lo", "hi"), keys).filter(inside).groupBy(*id_cols).agg(
+        F.count_if(v < a).alias("below"), F.count_if(v == a).alias("on_a"),
+        F.count_if((v > a) & (v < b)).alias("between"), F.count_if((v == b) & (a < b)).alias("on_b"))
+    t = bracket.join(counts, id_cols)
+    k = F.col("r") - F.col("base")
+    c1 = F.col("below")
+    c2 = c1 + F.col("on_a")
+    c3 = c2 + F.col("between")
+    c4 = c3 + F.col("on_b")
+
+    def pick(left, on_a, mid, on_b, right):
+        return F.when(k < c1, left).when(k < c2, on_a).when(k < c3, mid).when(k < c4, on_b).otherwise(right)
+
+    none = F.lit(None).cast("double")
+    moved = t.select(*id_cols, pick(F.col("lo"), a, a, b, b).alias("lo"), pick(a, a, b, b, F.col("hi")).alias("hi"),
+                     pick(F.col("base"), F.col("base"), F.col("base") + c2, F.col("base"), F.col("base") + c4).alias("base"),
+                     pick(c1, F.lit(0), F.col("between"), F.lit(0), F.col("m") - c4).cast("long").alias("m"),
+                     pick(none, a, none, b, none).alias("v"))
+    return known.select(*state.columns).unionByName(moved.select(*state.columns))

@@ -5,18 +5,48 @@ import pytest
 from gridtel.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("accuracy", [100_000, 50])
-def test_matches_numpy(spark, accuracy):
+@pytest.mark.parametrize("grid,accuracy", [(2000, 20_000), (16, 200)])
+def test_matches_numpy(spark, grid, accuracy):
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(50, 10, 3000).round(2), np.full(2000, 42.0), rng.integers(0, 5, 500)])
     groups = np.where(np.arange(len(vals)) % 3 == 0, "a", "b")
     rows = [(str(g), float(v)) for g, v in zip(groups, vals)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {(r.g, r.q): r.quantile for r in exact_quantiles(df, ["g"], "v", qs, accuracy=accuracy).collect()}
+    got = {(r.g, r.q): r.quantile for r in exact_quantiles(df, ["g"], "v", qs, grid=grid, accuracy=accuracy).collect()}
     for g in ("a", "b"):
         sub = vals[groups == g]
         for q in qs:
             assert got[(g, q)] == pytest.approx(np.percentile(sub, 100 * q), abs=1e-9), (g, q)
-    allq = exact_quantiles(df, [], "v", [0.05], accuracy=accuracy).collect()
+    allq = exact_quantiles(df, [], "v", [0.05], grid=grid, accuracy=accuracy).collect()
     assert allq[0].quantile == pytest.approx(np.percentile(vals, 5), abs=1e-9)
+
+
+def test_infinities_ties_and_empty(spark):
+    df = spark.createDataFrame([(v,) for v in [float("-inf"), 1.0, 1.0, 1.0, float("inf"), float("nan"), None]], "v double")
+    got = {r.q: r.quantile for r in exact_quantiles(df, [], "v", [0.0, 0.5, 1.0]).collect()}
+    assert got == {0.0: float("-inf"), 0.5: 1.0, 1.0: float("inf")}
+    assert exact_quantiles(df.limit(0), [], "v", [0.5]).count() == 0
+
+
+def test_large_range_has_no_product_and_no_window(spark):
+    import contextlib
+    import io
+    from gridtel.operators import quantiles
+    seen = []
+    real = quantiles.cut_lineage
+
+    def spy(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        seen.append(buf.getvalue())
+        return real(df)
+
+    quantiles.cut_lineage = spy
+    try:
+        df = spark.range(2_000_000).selectExpr("cast(id as double) as v")
+        assert exact_quantiles(df, [], "v", [0.25]).collect()[0].quantile == 499_999.75
+    finally:
+        quantiles.cut_lineage = real
+    assert not any(word in plan for plan in seen for word in ("CartesianProduct", "NestedLoop", "Window"))
