@@ -83,35 +83,30 @@ def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.I
     """Grow the forest; returns (node table, effective sample size)."""
     x = feature_matrix(df, features)
     xcols = [f"_x{i}" for i in range(len(features))]
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    # The pool = the trees*sample rows with the smallest seeded hash.  A hash
-    # threshold (3x oversampled) first cuts every partition down, so the final
-    # top-N merge sees about 3 x trees x sample rows however many partitions exist.
-    target = trees * sample
+    # Every tree draws ``sample`` of all rows without replacement: the rows with the
+    # smallest hash of (key, seed, tree).  Only rows below a hash threshold that leaves
+    # each tree about four times its sample are handed on, so a tree's group stays near
+    # 4 x sample rows whatever the input's size.
     n = x.count()
-    frac = min(1.0, 3.0 * target / max(n, 1))
-    u = (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double") / float(2 ** 63))
-    cand = x.select(h.alias("_h"), u.alias("_u"), *xcols).filter(F.col("_u") < frac)
-    pool = cand.orderBy("_u", "_h").limit(target).drop("_u")
-    # Trees are grown in G parallel groups; each group receives the bounded pool
-    # and draws every tree's sample (sample rows without replacement) from it with
-    # a generator seeded by (seed, tree).
-    groups = min(trees, 16)
-    t = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("tg"))
+    frac = min(1.0, 4.0 * sample / max(n, 1))
+    limit = int(frac * (2 ** 63 - 1))
+    own = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+
+    def draw(h, tree):
+        return F.xxhash64(h, tree).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+
+    drawn = x.select(own.alias("_own"), *xcols).withColumn(
+        "tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(F.col("_own"), t) <= F.lit(limit))))
+    drawn = drawn.withColumn("_h", draw(F.col("_own"), F.col("tree")))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = int(pdf["tg"].iloc[0])
-        xs = pdf.sort_values("_h")[xcols].to_numpy(dtype=float)
-        psi = min(sample, len(xs))
-        depth = int(math.ceil(math.log2(max(psi, 2))))
-        rows = []
-        for tree in range(g, trees, groups):
-            rng = np.random.default_rng([seed, tree, 1])
-            idx = rng.choice(len(xs), psi, replace=False) if psi < len(xs) else np.arange(len(xs))
-            rows += _grow(tree, xs[np.sort(idx)], seed, depth)
-        return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
-
-    nodes = t.groupBy("tg").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        tree = int(pdf["tree"].iloc[0])
+        xs = pdf.sort_values(["_h", *xcols])[xcols].to_numpy(dtype=float)[:sample]
+        depth = int(math.ceil(math.log2(max(len(xs), 2))))
+        return pd.DataFrame(_grow(tree, xs, seed, depth),
+                            columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
+
+    nodes = drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
     psi = int(nodes.loc[nodes["node"] == 0, "size"].max()) if len(nodes) else 0
     return nodes.sort_values(["tree", "node"]).reset_index(drop=True), psi
 

@@ -14,7 +14,6 @@ from .. import params as P
 from .. import schemas as S
 from ..functions.text import dedup_key, topic_unit
 from ..functions.timefmt import parse_rfc3339
-from ..session import sized_broadcast
 
 REASON = "reject_reason"
 
@@ -42,33 +41,29 @@ def parse_envelopes(env: DataFrame) -> DataFrame:
 
 
 def _range_reason() -> Column:
-    o = F.col("oil_temperature_c")
-    checks = [
-        ("load_percent", (F.col("load_percent") < 0) | (F.col("load_percent") > 200)),
-        ("ambient_temperature_c", (F.col("ambient_temperature_c") < -20) | (F.col("ambient_temperature_c") > 55)),
-        ("oil_temperature_c", (o < -20) | (o > 150)),
-        ("winding_temperature_c", (F.col("winding_temperature_c") < o - P.WINDING_OIL_TOLERANCE_C)
-         | (F.col("winding_temperature_c") > 200)),
-        ("oil_level_percent", (F.col("oil_level_percent") < 0) | (F.col("oil_level_percent") > 100)),
-        ("current_a", F.col("current_a") < 0),
-        ("voltage_kv", F.col("voltage_kv") <= 0),
-    ]
+    """The limits of ``RANGE_RULES`` in their order, with the two rules that are no plain limits."""
+    special = {"winding_temperature_c": F.col("winding_temperature_c") < F.col("oil_temperature_c") - P.WINDING_OIL_TOLERANCE_C,
+               "voltage_kv": F.col("voltage_kv") <= 0}
     expr = None
-    for name, bad in checks:
+    for name, low, high in P.RANGE_RULES:
+        bad = special.get(name, F.lit(False))
+        if low is not None:
+            bad = bad | (F.col(name) < low)
+        if high is not None:
+            bad = bad | (F.col(name) > high)
         expr = F.when(bad, F.lit("range:" + name)) if expr is None else expr.when(bad, F.lit("range:" + name))
     return expr
 
 
 def validate(env: DataFrame, registry_ids: DataFrame, now: Column | None = None,
-             max_skew: str = P.DEFAULT_TIMESTAMP_SKEW, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+             max_skew: str = P.DEFAULT_TIMESTAMP_SKEW) -> DataFrame:
     """Envelopes -> parsed rows with ``reject_reason`` (NULL = accepted).
 
-    ``registry_ids`` holds the known ``transformer_id`` values; it is joined
-    as a broadcast only when a bounded probe proves it small.
+    ``registry_ids`` holds the known ``transformer_id`` values; whether they
+    are broadcast is left to Spark's byte limit.
     """
     parsed = parse_envelopes(env)
     ids = registry_ids.select(F.col("transformer_id").alias("_reg_id")).distinct()
-    ids = sized_broadcast(ids, broadcast_max_rows)
     joined = parsed.join(ids, parsed.transformer_id == ids._reg_id, "left")
     now = now if now is not None else F.current_timestamp()
     ts = parse_rfc3339("timestamp")

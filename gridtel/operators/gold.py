@@ -86,7 +86,11 @@ def fact_event(events: DataFrame) -> DataFrame:
     """
     keys = ["transformer_id", "event_type", "severity"]
     counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("event_count"))
-    e = events.join(counts, keys, "inner")
+    sized = counts.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "event_count")
+    same = F.lit(True)
+    for k in keys:  # a NULL group value is a group too
+        same = same & events[k].eqNullSafe(F.col(f"_g_{k}"))
+    e = events.join(sized, same, "inner")
     return e.select(
         F.col("ts").alias("time_key"),
         F.col("transformer_id").alias("transformer_key"),

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.measures import round_half_even
-from ..session import cut_lineage, sized_broadcast
+from ..session import cut_lineage
 from .similarity import design_features, mean_std, wide_moments
 
 EPS = 1e-9
@@ -76,7 +76,7 @@ def distinct_points(units: DataFrame, features: Sequence[str], k: int, salt: int
     return cut_lineage(pts.select("vid", *fk, *zs, "cnt", "ids"))
 
 
-def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels: int = 60):
+def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels: int = 61):
     """Returns (leaf assignment ``vid -> leaf``, node boxes ``node, n, lo_i, hi_i, is_leaf``).
 
     One aggregate per level gives every node's box and an approximate median
@@ -100,7 +100,7 @@ def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels:
                  .withColumn("mx", F.element_at(F.array(*[F.col(f"hi_{z}") for z in zs]), F.col("dim") + 1)))
         stats = cut_lineage(stats)
         boxes.append(stats.select("node", "n", *[f"lo_{z}" for z in zs], *[f"hi_{z}" for z in zs], "is_leaf"))
-        a = active.join(sized_broadcast(stats.select("node", "dim", "is_leaf", "med", "mx")), "node")
+        a = active.join(stats.select("node", "dim", "is_leaf", "med", "mx"), "node")
         leaves.append(a.filter("is_leaf").select("vid", F.col("node").alias("leaf")))
         if stats.filter(~F.col("is_leaf")).limit(1).count() == 0:
             break
@@ -108,6 +108,8 @@ def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels:
         right = F.when(F.col("med") < F.col("mx"), x > F.col("med")).otherwise(x >= F.col("med"))
         active = cut_lineage(a.filter(~F.col("is_leaf"))
                              .select("vid", *zs, (F.col("node") * 2 + right.cast("long")).alias("node")))
+    else:
+        raise RuntimeError(f"k-d tree deeper than {max_levels} levels: node numbers would overflow")
     leaf_df = leaves[0]
     for l in leaves[1:]:
         leaf_df = leaf_df.unionByName(l)
@@ -141,7 +143,7 @@ def similar_all(registry: DataFrame, k: int = 5, features: Sequence[str] = P.DES
         "vid", *zs, F.coalesce(F.greatest(wide, F.col("r")) * (1 + EPS) + EPS, F.lit(float("inf"))).alias("rad"))
     radius = cut_lineage(radius)
     # 4. descend the tree
-    bx = sized_broadcast(boxes)
+    bx = boxes
     frontier = radius.select("vid", F.lit(1).cast("long").alias("node"))
     found = []
     while True:

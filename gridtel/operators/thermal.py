@@ -20,20 +20,19 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.measures import (cooling_rise, exact_avg, hv_current, loaded_voltage, loss_ratio,
                                   round_half_up, top_oil_steady, winding_steady)
-from ..session import sized_broadcast
 from .segments import map_sorted_segments
 
 DESIGN_COLS = ("transformer_id", "rated_power_mva", "hv_voltage_kv", "cooling_type",
                "no_load_loss_kw", "load_loss_kw")
 
 
-def with_design(measurements: DataFrame, registry: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def with_design(measurements: DataFrame, registry: DataFrame) -> DataFrame:
     """Measurements joined to the design parameters the physics needs (M7, M8)."""
     reg = registry.select(*DESIGN_COLS)
     rise, grad = cooling_rise("cooling_type")
     reg = reg.select("transformer_id", "rated_power_mva", "hv_voltage_kv",
                      loss_ratio().alias("loss_ratio"), rise.alias("oil_rise_c"), grad.alias("winding_grad_c"))
-    return measurements.join(sized_broadcast(reg, broadcast_max_rows), "transformer_id")
+    return measurements.join(reg, "transformer_id")
 
 
 def expected_temperatures(measurements: DataFrame, registry: DataFrame) -> DataFrame:

@@ -38,7 +38,6 @@ RANGE_RULES = (
 )
 
 # --- fixed values: design registry ------------------------------------------
-APPLICATIONS = ("generation", "transmission", "distribution", "industrial", "renewable")
 COOLING_TYPES = ("ONAN", "ONAF", "OFAF", "OFWF", "ODAF")
 VECTOR_GROUPS = ("YNd11", "YNd1", "Ynd5", "Yy0", "Dyn1", "Dd0", "YNd5", "Yd11", "Zyn11")
 REFERENCE_ID_PATTERN = r"^TR-\d{3}$"

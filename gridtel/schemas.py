@@ -33,17 +33,6 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("received_at", T.TimestampType(), True),
 ])
 
-# Bronze raw record (payload kept verbatim).
-RAW_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("transformer_id", T.StringType(), False),
-    T.StructField("schema_version", T.IntegerType(), False),
-    T.StructField("topic", T.StringType(), True),
-    T.StructField("source", T.StringType(), True),
-    T.StructField("ingested_at", T.TimestampType(), True),
-    T.StructField("payload", T.StringType(), True),
-])
-
 # Design registry, typed.
 REGISTRY_FIELDS = (
     ("transformer_id", T.StringType()),
@@ -76,12 +65,3 @@ RAW_LINE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), True),
     T.StructField("received_at", T.StringType(), True),
 ])
-
-# Operational events.
-EVENT_SCHEMA = T.StructType([
-    T.StructField("transformer_id", T.StringType(), False),
-    T.StructField("ts", T.TimestampType(), False),
-    T.StructField("event_type", T.StringType(), False),
-    T.StructField("severity", T.StringType(), False),
-    T.StructField("payload", T.StringType(), True),
-])

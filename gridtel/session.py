@@ -5,7 +5,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job relies on: UTC instants, ANSI casts (bad text aborts,
 # as in the reference's silver layer), AQE for runtime re-planning and skew.
@@ -17,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when their DataFrame does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -76,12 +77,17 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder
-    is created.  The value is also registered as the RDD checkpoint dir so
+    A cluster names it.  Only a local master, where driver and executors are
+    one process, falls back to a scratch folder; elsewhere executors could not
+    read what the driver's folder holds, so an unset value is an error.  The
+    value is also registered as the RDD checkpoint dir so
     ``DataFrame.checkpoint()`` writes there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="gridtel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     jsc = spark.sparkContext._jsc
@@ -104,21 +110,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only behind a proven row bound.
-
-    Probes at most ``max_rows + 1`` rows (a bounded job).  Within the bound
-    the side gets a broadcast hint; beyond it the plan is left to the
-    shuffle join (sort-merge with AQE skew splitting).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

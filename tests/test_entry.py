@@ -4,6 +4,7 @@ import pytest
 import __spark_entry__ as E
 
 NAMES = sorted(E.queries())
+MAY_BE_EMPTY = {"orphan_facts", "dq_failing_rows", "duplicate_keys"}
 
 
 def test_entry(spark):
@@ -20,4 +21,6 @@ def test_oracle_keys_subset():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_runs(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
-    assert df.count() >= 0
+    rows = df.collect()
+    assert len(set(df.columns)) == len(df.columns)
+    assert rows or name in MAY_BE_EMPTY
