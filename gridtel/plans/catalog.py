@@ -696,9 +696,28 @@ def q_state_events(spark, sf_dir):
     return thermal.state_transitions(Layers(spark, sf_dir).measurements)
 
 
-@register("thermal_lag")
+LAG_STEPS = f"""lag_in AS (
+  SELECT m.transformer_id, m.ts, m.ambient_temperature_c, m.load_percent, ({OIL_SS}) AS oil_target,
+         CASE WHEN {K} <= 0 THEN 0e0 ELSE r.winding_grad_c * pow({K}, 1.6e0) END AS rise,
+         row_number() OVER w AS rn, coalesce(epoch(m.ts) - epoch(lag(m.ts) OVER w), 0) AS dt
+  FROM meas m JOIN reg_phys r ON r.transformer_id = m.transformer_id
+  WINDOW w AS (PARTITION BY m.transformer_id ORDER BY m.ts)),
+lag_c AS (SELECT *, exp(-dt / 5400e0) AS ao, exp(-dt / 420e0) AS aw FROM lag_in),
+lag_run AS (
+  SELECT transformer_id, rn, ambient_temperature_c AS oil, ambient_temperature_c AS winding FROM lag_c WHERE rn = 1
+  UNION ALL
+  SELECT c.transformer_id, c.rn, c.ao * p.oil + (1 - c.ao) * c.oil_target,
+         c.aw * p.winding + (1 - c.aw) * (c.ao * p.oil + (1 - c.ao) * c.oil_target + c.rise)
+  FROM lag_run p JOIN lag_c c ON c.transformer_id = p.transformer_id AND c.rn = p.rn + 1)"""
+
+
+@register("thermal_lag", P("""
+SELECT c.transformer_id, c.ts, c.ambient_temperature_c, c.load_percent, round(p.oil, 6) AS model_oil_c,
+       round(p.winding, 6) AS model_winding_c
+FROM lag_run p JOIN lag_c c ON c.transformer_id = p.transformer_id AND c.rn = p.rn""",
+                           (REG_PHYS, LAG_STEPS)).replace("WITH ", "WITH RECURSIVE ", 1))
 def q_thermal_lag(spark, sf_dir):
-    """M6: modelled top-oil / winding temperatures with first-order thermal lags (rows check)."""
+    """M6: modelled top-oil / winding temperatures with first-order thermal lags."""
     from ..operators import thermal
     L = Layers(spark, sf_dir)
     return thermal.thermal_lag(L.measurements, L.registry)

@@ -45,13 +45,13 @@ TEL = f"""tel AS (
          CASE WHEN l_suppkey % 50 = 0 THEN 2 ELSE 1 END AS schema_version,
          date_trunc('month', l_shipdate) + to_hours(l_linenumber) AS ts,
          l_shipdate + to_seconds(l_orderkey) AS received_at,
-         {r2('l_quantity*4.2e0 + l_linenumber*0.01e0')} AS load_percent,
-         {r2('20e0 + l_discount*100 + l_linenumber*0.02e0')} AS ambient_temperature_c,
-         {r2('20e0 + l_discount*100 + l_quantity*1.5e0 + l_linenumber*0.03e0')} AS oil_temperature_c,
-         {r2('19e0 + l_discount*100 + l_quantity*1.5e0 + l_tax*200 + l_linenumber*0.04e0')} AS winding_temperature_c,
-         CAST(85 + l_suppkey % 15 AS DOUBLE) AS oil_level_percent,
-         CAST(floor(l_extendedprice) AS DOUBLE)/100e0 AS current_a,
-         CAST(69 + l_suppkey % 5 AS DOUBLE) AS voltage_kv,
+         CASE WHEN l_orderkey % 397 = 0 THEN 0e0 ELSE {r2('l_quantity*4.2e0 + l_linenumber*0.01e0')} END AS load_percent,
+         CASE WHEN l_orderkey % 409 = 0 THEN 60.5e0 ELSE {r2('20e0 + l_discount*100 + l_linenumber*0.02e0')} END AS ambient_temperature_c,
+         CASE WHEN l_orderkey % 433 = 0 THEN 160e0 ELSE {r2('20e0 + l_discount*100 + l_quantity*1.5e0 + l_linenumber*0.03e0')} END AS oil_temperature_c,
+         CASE WHEN l_orderkey % 439 = 0 THEN 210e0 ELSE {r2('19e0 + l_discount*100 + l_quantity*1.5e0 + l_tax*200 + l_linenumber*0.04e0')} END AS winding_temperature_c,
+         CASE WHEN l_orderkey % 419 = 0 THEN 120e0 ELSE CAST(85 + l_suppkey % 15 AS DOUBLE) END AS oil_level_percent,
+         CASE WHEN l_orderkey % 421 = 0 THEN -1e0 ELSE CAST(floor(l_extendedprice) AS DOUBLE)/100e0 END AS current_a,
+         CASE WHEN l_orderkey % 431 = 0 THEN 0e0 ELSE CAST(69 + l_suppkey % 5 AS DOUBLE) END AS voltage_kv,
          CASE WHEN l_orderkey % 401 = 0 THEN lower(st) ELSE st END AS state,
          l_orderkey, l_suppkey,
          printf('TR-%05d', CASE WHEN l_orderkey % 101 = 0 THEN l_suppkey ELSE l_partkey END) AS topic_unit
@@ -62,23 +62,23 @@ TEL = f"""tel AS (
 PWR = r2("p_size*2 + p_partkey % 7 * 0.13e0")
 
 REG_IN = f"""reg_in AS (
-  SELECT printf('TR-%05d', p_partkey) AS transformer_id,
-         {PWR} AS rated_power_mva,
+  SELECT CASE WHEN p_partkey % 151 = 0 THEN '' ELSE CASE WHEN p_partkey % 149 = 0 THEN 'UNIT-1' ELSE printf('TR-%05d', p_partkey) END END AS transformer_id,
+         CASE WHEN p_partkey % 103 = 0 THEN 0e0 ELSE {PWR} END AS rated_power_mva,
          CASE WHEN p_partkey % 97 = 0 THEN list_extract([13.8e0,34.5e0,69.0e0,115.0e0,138.0e0], CAST(p_partkey % 5 + 1 AS INTEGER))
               ELSE list_extract([69.0e0,138.0e0,230.0e0,345.0e0,500.0e0], CAST(p_partkey % 5 + 1 AS INTEGER)) END AS hv_voltage_kv,
          CASE WHEN p_partkey % 97 = 0 THEN list_extract([69.0e0,138.0e0,230.0e0,345.0e0,500.0e0], CAST(p_partkey % 5 + 1 AS INTEGER))
               ELSE list_extract([13.8e0,34.5e0,69.0e0,115.0e0,138.0e0], CAST(p_partkey % 5 + 1 AS INTEGER)) END AS lv_voltage_kv,
-         CASE WHEN p_partkey % 10 = 0 THEN 50 ELSE 60 END AS frequency_hz,
+         CASE WHEN p_partkey % 107 = 0 THEN 55 ELSE CASE WHEN p_partkey % 10 = 0 THEN 50 ELSE 60 END END AS frequency_hz,
          CASE WHEN p_partkey % 101 = 0 THEN 2 ELSE 3 END AS phase_count,
-         list_extract(['YNd11','YNd1','Ynd5','Yy0','Dyn1','Dd0','YNd5','Yd11','Zyn11'], CAST(p_partkey % 9 + 1 AS INTEGER)) AS vector_group,
-         CAST(5 + p_partkey % 20 AS DOUBLE) AS impedance_percent,
-         CASE WHEN {PWR} < 15 THEN 'ONAN' WHEN {PWR} < 60 THEN 'ONAF' WHEN {PWR} < 80 THEN 'OFAF' ELSE 'ODAF' END AS cooling_type,
-         CAST(1990 + p_partkey % 36 AS INTEGER) AS commissioning_year,
+         CASE WHEN p_partkey % 109 = 0 THEN 'XX0' ELSE list_extract(['YNd11','YNd1','Ynd5','Yy0','Dyn1','Dd0','YNd5','Yd11','Zyn11'], CAST(p_partkey % 9 + 1 AS INTEGER)) END AS vector_group,
+         CASE WHEN p_partkey % 113 = 0 THEN 45e0 ELSE CAST(5 + p_partkey % 20 AS DOUBLE) END AS impedance_percent,
+         CASE WHEN p_partkey % 127 = 0 THEN 'AN' ELSE CASE WHEN {PWR} < 15 THEN 'ONAN' WHEN {PWR} < 60 THEN 'ONAF' WHEN {PWR} < 80 THEN 'OFAF' ELSE 'ODAF' END END AS cooling_type,
+         CASE WHEN p_partkey % 131 = 0 THEN 1950 ELSE CAST(1990 + p_partkey % 36 AS INTEGER) END AS commissioning_year,
          CASE p_type WHEN 'ECONOMY' THEN 'distribution' WHEN 'STANDARD' THEN 'transmission'
               WHEN 'SMALL' THEN 'industrial' WHEN 'LARGE' THEN 'generation' ELSE 'renewable' END AS application,
-         CAST(floor(p_retailprice*5) AS DOUBLE)/100e0 AS no_load_loss_kw,
+         CASE WHEN p_partkey % 137 = 0 THEN -1e0 ELSE CAST(floor(p_retailprice*5) AS DOUBLE)/100e0 END AS no_load_loss_kw,
          CAST(floor(p_retailprice*50) AS DOUBLE)/100e0 AS load_loss_kw,
-         {r2('22e0 + p_size*1.35e0')} AS total_mass_t,
+         CASE WHEN p_partkey % 139 = 0 THEN 0e0 ELSE {r2('22e0 + p_size*1.35e0')} END AS total_mass_t,
          {r2('2e0 + p_size*0.11e0')} AS length_m,
          {r2('1.5e0 + p_size*0.05e0')} AS width_m,
          {r2('2.6e0 + p_size*0.04e0')} AS height_m
@@ -108,7 +108,7 @@ VAL = """val AS (
     WHEN l_orderkey % 211 = 0 THEN 'unparsable'
     WHEN schema_version <> 1 THEN 'unsupported_schema'
     WHEN NOT EXISTS (SELECT 1 FROM reg WHERE reg.transformer_id = tel.transformer_id) THEN 'unknown_transformer'
-    WHEN l_orderkey % 307 = 0 THEN 'bad_timestamp'
+    WHEN l_orderkey % 307 = 0 OR l_orderkey % 443 = 0 THEN 'bad_timestamp'
     WHEN load_percent < 0 OR load_percent > 200 THEN 'range:load_percent'
     WHEN ambient_temperature_c < -20 OR ambient_temperature_c > 55 THEN 'range:ambient_temperature_c'
     WHEN oil_temperature_c < -20 OR oil_temperature_c > 150 THEN 'range:oil_temperature_c'
@@ -142,9 +142,9 @@ meas AS (
 # Bronze keeps the first row per key; silver's latest-wins on the same key is then a no-op.
 STG = """stg AS (
   SELECT id, transformer_id, transformer_id AS payload_transformer_id, 'mqtt' AS source,
-         received_at AS ingested_at, ts, load_percent, ambient_temperature_c, oil_temperature_c,
-         winding_temperature_c, oil_level_percent, current_a, voltage_kv, upper(trim(state)) AS state,
-         'complete' AS quality_flag
+         received_at AS ingested_at, ts, CASE WHEN l_orderkey % 397 <> 0 THEN load_percent END AS load_percent,
+         ambient_temperature_c, oil_temperature_c, winding_temperature_c, oil_level_percent, current_a, voltage_kv,
+         upper(trim(state)) AS state, CASE WHEN l_orderkey % 397 = 0 THEN 'incomplete' ELSE 'complete' END AS quality_flag
   FROM first_acc WHERE schema_version = 1
 )"""
 
@@ -206,8 +206,9 @@ EXPORTED = ", ".join(
 # A message's payload fields as one text, numbers with two decimals.
 PAYLOAD_FIELDS_SQL = " || '|' || ".join(
     ["CAST(schema_version AS VARCHAR)", "transformer_id", RFC.format(t="ts"),
+     "CASE WHEN l_orderkey % 397 = 0 THEN 'null' ELSE CAST(CAST(load_percent AS DECIMAL(12,2)) AS VARCHAR) END",
      *(f"CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR)" for c in (
-         "load_percent", "ambient_temperature_c", "oil_temperature_c", "winding_temperature_c", "oil_level_percent",
+         "ambient_temperature_c", "oil_temperature_c", "winding_temperature_c", "oil_level_percent",
          "current_a", "voltage_kv")), "state"])
 
 

@@ -11,9 +11,10 @@ Mapping (restated in SQL for the DuckDB oracle in ``plans.oracle``):
   version 2 when ``l_suppkey % 50 = 0``; instant = month of ``l_shipdate`` +
   ``l_linenumber`` hours; received = ``l_shipdate`` + ``l_orderkey`` seconds;
   sensor values from quantity / discount / tax / price / line number, two decimals; a few
-  rows carry broken JSON, a zoneless timestamp, a foreign topic or a
-  lower-case state so that every contract rule sees input.
-* design registry from ``part``; some rows deliberately invalid.
+  rows carry broken JSON, a zoneless or future timestamp, a foreign topic, a
+  lower-case state, a missing field or one reading out of range, so that
+  every contract rule sees input.
+* design registry from ``part``; for every design rule some rows break it.
 * events from ``events``.
 """
 from __future__ import annotations
@@ -34,6 +35,16 @@ ZONELESS_TS_MOD = 307
 FOREIGN_TOPIC_MOD = 101
 LOWER_STATE_MOD = 401
 ODD_SEVERITY_MOD = 53  # on user_id
+NO_LOAD_MOD = 397        # the field is missing from the message
+FUTURE_MOD = 443
+# one reading outside its range: modulus on l_orderkey -> column, value
+ODD_READINGS = ((409, "ambient_temperature_c", 60.5), (419, "oil_level_percent", 120.0), (421, "current_a", -1.0),
+                (431, "voltage_kv", 0.0), (433, "oil_temperature_c", 160.0), (439, "winding_temperature_c", 210.0))
+# one field that breaks a design rule: modulus on p_partkey -> column, value
+ODD_DESIGNS = ((103, "rated_power_mva", 0.0), (107, "frequency_hz", 55), (109, "vector_group", "XX0"),
+               (113, "impedance_percent", 45.0), (127, "cooling_type", "AN"), (131, "commissioning_year", 1950),
+               (137, "no_load_loss_kw", -1.0), (139, "total_mass_t", 0.0), (149, "transformer_id", "UNIT-1"),
+               (151, "transformer_id", ""))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +65,7 @@ def telemetry_columns(lineitem: DataFrame) -> DataFrame:
     l = lineitem
     ship = l.l_shipdate.cast("timestamp")  # wall time read as UTC instant
     ts = F.timestamp_seconds(F.unix_seconds(F.date_trunc("month", ship)) + l.l_linenumber * 3600)
-    return l.select(
+    rows = l.select(
         unit_id("l_partkey").alias("transformer_id"),
         F.when(l.l_suppkey % 50 == 0, F.lit(2)).otherwise(F.lit(1)).alias("schema_version"),
         ts.alias("ts"),
@@ -70,12 +81,16 @@ def telemetry_columns(lineitem: DataFrame) -> DataFrame:
          .otherwise("CRITICAL").alias("state"),
         l.l_orderkey, l.l_suppkey,
     )
+    for mod, column, value in ODD_READINGS:
+        rows = rows.withColumn(column, F.when(F.col("l_orderkey") % mod == 0, F.lit(value)).otherwise(F.col(column)))
+    return rows.withColumn("load_percent", F.when(F.col("l_orderkey") % NO_LOAD_MOD != 0, F.col("load_percent")))
 
 
 def telemetry_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message envelopes ``(topic, payload, received_at)`` from ``lineitem``."""
     t = telemetry_columns(table(spark, sf_dir, "lineitem"))
-    ts_text = F.when(t.l_orderkey % ZONELESS_TS_MOD == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) \
+    ts_text = F.when(t.l_orderkey % FUTURE_MOD == 0, F.lit("2999-01-01T00:00:00Z")) \
+               .when(t.l_orderkey % ZONELESS_TS_MOD == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) \
                .otherwise(to_rfc3339("ts"))
     state = F.when(t.l_orderkey % LOWER_STATE_MOD == 0, F.lower("state")).otherwise(F.col("state"))
     body = F.to_json(F.struct(
@@ -91,7 +106,7 @@ def telemetry_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed design records from ``part`` (about 2 % deliberately invalid)."""
+    """Typed design records from ``part`` (each design rule is broken by some)."""
     p = table(spark, sf_dir, "part")
     i = p.p_partkey % 5 + 1
     hv = F.element_at(F.array(*[F.lit(v) for v in HV_LEVELS]), i.cast("int"))
@@ -103,8 +118,8 @@ def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     application = (F.when(p.p_type == "ECONOMY", "distribution").when(p.p_type == "STANDARD", "transmission")
                    .when(p.p_type == "SMALL", "industrial").when(p.p_type == "LARGE", "generation")
                    .otherwise("renewable"))
-    return p.select(
-        unit_id("p_partkey").alias("transformer_id"),
+    rows = p.select(
+        "p_partkey", unit_id("p_partkey").alias("transformer_id"),
         power.alias("rated_power_mva"),
         F.when(swap, lv).otherwise(hv).alias("hv_voltage_kv"),
         F.when(swap, hv).otherwise(lv).alias("lv_voltage_kv"),
@@ -122,6 +137,9 @@ def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _r2(F.lit(1.5) + p.p_size * 0.05).alias("width_m"),
         _r2(F.lit(2.6) + p.p_size * 0.04).alias("height_m"),
     )
+    for mod, column, value in ODD_DESIGNS:
+        rows = rows.withColumn(column, F.when(F.col("p_partkey") % mod == 0, F.lit(value)).otherwise(F.col(column)))
+    return rows.drop("p_partkey")
 
 
 def operational_events(spark: SparkSession, sf_dir: str) -> DataFrame:
