@@ -8,10 +8,11 @@ documents agree on a slot with exactly their weighted Jaccard similarity.  Proce
 stop at the largest value still in the signature, so the work per document is near its number of shingles.
 
 Signatures are cut into bands.  Documents that share a band are candidates: within a bucket each is compared with
-the bucket's first one (a star, not all pairs), pairs are verified on their whole shingle multisets, and verified
-links give classes.  A star can miss a link between two others, so buckets that still hold several classes are worked through
-exactly: their documents are joined on prefixes of their rarest shingles, in which any two documents of the wanted
-similarity must meet, and only pairs from different classes are compared.
+the bucket's centre (a star, not all pairs), pairs are verified on their whole shingle multisets, and verified links
+give classes.  The centre is the member with most company over all its buckets, which in a large group is the text
+that the others are copies of.  A star can miss a link between two others, so buckets that still hold several classes
+are worked through exactly: their documents are joined on prefixes of their rarest shingles, in which any two
+documents of the wanted similarity must meet early enough, and only pairs from different classes are compared.
 
 Identical texts are one node from the start and cost nothing more.  Cases: a null text counts as empty; texts
 without words are alike only when identical; repeated rows share a class; an empty table gives an empty result;
@@ -105,7 +106,9 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndar
         # ``many`` points of every live process at once, each later than the one before
         at = seed[:, None] + (np.arange(drawn + 1, drawn + 1 + many, dtype=np.uint64) * _STEP)[None, :]
         first, second = mix(at), mix(at ^ _M2)
-        times = time[:, None] + np.cumsum(-np.log(_uniform(first)), axis=1) / (width * slots)[:, None]
+        times = -np.log(_uniform(first)) / (width * slots)[:, None]
+        times[:, 0] += time
+        times = np.cumsum(times, axis=1)  # added one by one, so the same whatever is drawn at once
         slot = (second & np.uint64(0xFFFFFFFF)) % np.uint64(slots)
         place = np.ceil(((second >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0 ** -32 * width[:, None])
         ok = place <= room[:, None]
@@ -120,7 +123,8 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndar
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    bits = np.ascontiguousarray(sig).view(np.uint64)
+    # the last bits are left out: a logarithm may round differently on another machine
+    bits = np.ascontiguousarray(sig).view(np.uint64) >> np.uint64(16)
     out = np.zeros((len(sig), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * _STEP
     for r in range(rows):
         out = mix(out + bits[:, r:bands * rows:rows])
@@ -227,18 +231,24 @@ def _cross_pairs(buckets: DataFrame, classes: DataFrame, texts: DataFrame, simil
                 el = _elements(shingles(text))
                 often = frequency[(el & mask).astype(np.int64)]
                 order = np.lexsort((el, often))
-                keep = len(el) - math.ceil(similarity * len(el) - 1e-9) + 1
-                rows += [(node, cls, len(el), t) for t in el[order[:keep]][often[order[:keep]] > 1].view(np.int64).tolist()]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["node", "class", "n", "token"])
+                order = order[:len(el) - math.ceil(similarity * len(el) - 1e-9) + 1]
+                # an element of a single document meets nothing
+                rows += [(node, cls, len(el), at, t) for at, (t, n) in
+                         enumerate(zip(el[order].view(np.int64).tolist(), often[order].tolist())) if n > 1]
+            cols = list(zip(*rows)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["node", "class", "n", "at", "token"])
 
     prefix = stored(rest.select("node", "class", "text").mapInArrow(
-        prefixes, "node long, class long, n long, token long"), "prefixes")
+        prefixes, "node long, class long, n long, at long, token long"), "prefixes")
     several = prefix.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
         .where("low <> high").select("token")
     open_tokens = stored(prefix.join(several, "token"), "open-prefixes")
-    x, y = (open_tokens.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "class", "n")]) for s in "ab")
-    fits = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9)
+    x, y = (open_tokens.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "class", "n", "at")]) for s in "ab")
+    # similar documents share at least this many elements, so after the first one they share there must be
+    # enough left behind it in both lists
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-9)
+    fits = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9) \
+        & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= needed)
     return x.join(y, "token").where((F.col("class_a") < F.col("class_b")) & fits) \
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -252,11 +262,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         .select(F.monotonically_increasing_id().alias("node"), "text_key", "rep", "copies", "s.n_shingles", "s.bands"),
         "nodes")
     rows_of = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    firsts = rows_of.groupBy("band", "key").agg(F.min("node").alias("first"), F.max("node").alias("other")) \
-        .where("first <> other").select("band", "key", "first")
-    buckets = stored(rows_of.join(firsts, ["band", "key"]), "buckets")
+    shared = rows_of.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    buckets = stored(rows_of.join(shared, ["band", "key"]), "buckets")
+    company = buckets.groupBy("node").agg(F.sum("size").alias("company"))
+    centres = buckets.join(company, "node").groupBy("band", "key").agg(
+        F.max(F.struct("company", "node"))["node"].alias("first"))
     fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9
-    star = buckets.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"),
+    star = buckets.join(centres, ["band", "key"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"),
                                                  F.col("n_shingles").alias("n_a")).distinct() \
         .join(nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")), "b").where(fits).select("a", "b")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "text_key", "rep"), "node")
