@@ -55,18 +55,6 @@ class PieceCounts(dict):
             self[piece] = n
         return n
 
-    def fill(self, pieces: list[str]) -> None:
-        """Count what is missing in one call of the library."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self and p not in self._older and len(p) <= 64]
-        if len(new) > 8:
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                for p, e in zip(part, self._model.encode_batch_fast(part, add_special_tokens=False)):
-                    if len(self) >= self._limit:
-                        self._older = dict(self)
-                        self.clear()
-                    self[p] = len(e)
-
 
 _COUNTERS: dict[str, PieceCounts] = {}
 
@@ -81,23 +69,21 @@ def counter_for(vocab_json: str) -> PieceCounts:
 class TokenTree:
     """Buckets of pre-tokens as leaves; each inner node sums the characters and tokens below it."""
 
-    def __init__(self, text: str, lens: list[int], counts: list[int], counter: PieceCounts):
+    def __init__(self, text: str, lens: np.ndarray, counts: np.ndarray, counter: PieceCounts):
         self.counter = counter
         self._load(text, lens, counts)
 
-    def _load(self, text: str, lens: list[int], counts: list[int]) -> None:
-        self.lens = [lens[i:i + BUCKET] for i in range(0, len(lens), BUCKET)] or [[]]
-        self.counts = [counts[i:i + BUCKET] for i in range(0, len(counts), BUCKET)] or [[]]
-        self.texts, at = [], 0
-        for part in self.lens:
-            end = at + sum(part)
-            self.texts.append(text[at:end])
-            at = end
-        self.width = 1 << (len(self.lens) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
-        for b in range(len(self.lens)):
-            self.chars[self.width + b] = len(self.texts[b])
-            self.tokens[self.width + b] = sum(self.counts[b])
+    def _load(self, text: str, lens: np.ndarray, counts: np.ndarray) -> None:
+        self._text, self._lens, self._counts = text, np.asarray(lens, "<u4"), np.asarray(counts, "<u4")
+        edges = np.arange(0, max(len(self._lens), 1), BUCKET)
+        chars = np.add.reduceat(self._lens, edges, dtype=np.int64) if len(lens) else np.zeros(1, np.int64)
+        tokens = np.add.reduceat(self._counts, edges, dtype=np.int64) if len(lens) else np.zeros(1, np.int64)
+        self.buckets = len(edges)
+        self._starts = [0, *np.cumsum(chars).tolist()]
+        self._own: dict[int, tuple[str, list[int], list[int]]] = {}  # buckets that edits have changed
+        self.width = 1 << (self.buckets - 1).bit_length()
+        room = [0] * (self.width - self.buckets)
+        self.chars, self.tokens = [0] * self.width + chars.tolist() + room, [0] * self.width + tokens.tolist() + room
         for node in range(self.width - 1, 0, -1):
             self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
             self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
@@ -106,8 +92,15 @@ class TokenTree:
     def n_tokens(self) -> int:
         return self.tokens[1]
 
+    def _bucket(self, b: int) -> tuple[str, list[int], list[int]]:
+        own = self._own.get(b)
+        if own is None:
+            part = slice(b * BUCKET, (b + 1) * BUCKET)
+            own = self._text[self._starts[b]:self._starts[b + 1]], self._lens[part].tolist(), self._counts[part].tolist()
+        return own
+
     def _set(self, bucket: int, text: str, lens: list[int], counts: list[int]) -> None:
-        self.texts[bucket], self.lens[bucket], self.counts[bucket] = text, lens, counts
+        self._own[bucket] = text, lens, counts
         node = self.width + bucket
         d_chars, d_tokens = len(text) - self.chars[node], sum(counts) - self.tokens[node]
         while node:
@@ -130,61 +123,68 @@ class TokenTree:
         total = self.chars[1]
         pos = min(max(pos, 0), total)
         stop = min(pos + max(n_del, 0), total)
-        first, base = self._find(max(pos - CONTEXT, 0))
+        near = max(pos - CONTEXT, 0)
+        first, base = self._find(near)
+        text, lens, counts = self._bucket(first)
         kept, start = 0, base
-        for n in self.lens[first]:
-            if start + n > max(pos - CONTEXT, 0):
+        for n in lens:
+            if start + n > near:
                 break
             start += n
             kept += 1
-        last, last_base = self._find(stop)
-        delta = len(ins) - (stop - pos)
-        edit_end = pos - start + len(ins)
-        old_text = self.texts[first][start - base:] + "".join(self.texts[first + 1:last + 1])
+        last, end = first, base + len(text)
+        old_text, olds, old_counts = text[start - base:], lens[kept:], counts[kept:]
+        delta, edit_end = len(ins) - (stop - pos), pos - start + len(ins)
         while True:
-            at_end = last + 1 >= len(self.texts) or last_base + len(self.texts[last]) >= total
-            window = old_text[:pos - start] + ins + old_text[stop - start:]
-            pieces = self.counter.split(window)
-            cuts, at = {0}, 0
-            olds = self.lens[first][kept:] + [n for part in self.lens[first + 1:last + 1] for n in part]
-            for n in olds:
-                at += n
-                cuts.add(at)
-            at, used, found = 0, 0, not pieces and at_end
-            for piece in pieces:
-                at += len(piece)
-                used += 1
-                if at >= edit_end and (at - delta) in cuts and (at_end or at <= len(window) - CONTEXT):
-                    found = True
+            at_end = end >= total
+            if end >= stop:
+                window = old_text[:pos - start] + ins + old_text[stop - start:]
+                pieces = self.counter.split(window)
+                cuts, at = {0}, 0
+                for n in olds:
+                    at += n
+                    cuts.add(at)
+                at, used, found = 0, 0, not pieces and at_end
+                for piece in pieces:
+                    at += len(piece)
+                    used += 1
+                    if at >= edit_end and (at - delta) in cuts and (at_end or at <= len(window) - CONTEXT):
+                        found = True
+                        break
+                if found:
                     break
-            if found:
-                break
-            last_base += len(self.texts[last])
             last += 1
-            old_text += self.texts[last]
+            more = self._bucket(last)
+            old_text, olds, old_counts = old_text + more[0], olds + more[1], old_counts + more[2]
+            end += len(more[0])
         pieces = pieces[:used]
         old_at, gone = at - delta, 0
         while gone < len(olds) and old_at > 0:
             old_at -= olds[gone]
             gone += 1
-        new_counts = list(map(self.counter.__getitem__, pieces))
-        old_counts = self.counts[first][kept:] + [n for part in self.counts[first + 1:last + 1] for n in part]
-        lens = self.lens[first][:kept] + list(map(len, pieces)) + olds[gone:]
-        counts = self.counts[first][:kept] + new_counts + old_counts[gone:]
-        text = self.texts[first][:start - base] + window
+        lens = lens[:kept] + list(map(len, pieces)) + olds[gone:]
+        counts = counts[:kept] + list(map(self.counter.__getitem__, pieces)) + old_counts[gone:]
         for b in range(first + 1, last + 1):
             self._set(b, "", [], [])
-        self._set(first, text, lens, counts)
+        self._set(first, text[:start - base] + window, lens, counts)
         if len(lens) > 8 * BUCKET:
             self._load(*self.state())
         return len(pieces)
 
-    def state(self) -> tuple[str, list[int], list[int]]:
-        return "".join(self.texts), [n for part in self.lens for n in part], [n for part in self.counts for n in part]
-
-
-def _packed(values: list[int]) -> bytes:
-    return np.array(values, "<u4").tobytes()
+    def state(self) -> tuple[str, np.ndarray, np.ndarray]:
+        """The text and, per pre-token, length and token count."""
+        texts, lens, counts, done = [], [], [], 0
+        for b in [*sorted(self._own), self.buckets]:
+            texts.append(self._text[self._starts[done]:self._starts[b]])
+            lens.append(self._lens[done * BUCKET:b * BUCKET])
+            counts.append(self._counts[done * BUCKET:b * BUCKET])
+            if b < self.buckets:
+                text, own_lens, own_counts = self._own[b]
+                texts.append(text)
+                lens.append(np.array(own_lens, "<u4"))
+                counts.append(np.array(own_counts, "<u4"))
+            done = b + 1
+        return "".join(texts), np.concatenate(lens), np.concatenate(counts)
 
 
 def token_trees(docs: DataFrame, vocab_path: str) -> DataFrame:
@@ -204,11 +204,10 @@ def token_trees(docs: DataFrame, vocab_path: str) -> DataFrame:
             lens, counts, totals = [], [], []
             for text in batch["text"].to_pylist():
                 pieces = counter.split(text)
-                counter.fill(pieces)
-                n = list(map(counter.__getitem__, pieces))
-                lens.append(_packed(list(map(len, pieces))))
-                counts.append(_packed(n))
-                totals.append(sum(n))
+                n = np.fromiter(map(counter.__getitem__, pieces), "<u4", len(pieces))
+                lens.append(np.fromiter(map(len, pieces), "<u4", len(pieces)).tobytes())
+                counts.append(n.tobytes())
+                totals.append(int(n.sum()))
             arrays = [batch["doc_id"], batch["text"], pa.array(lens, pa.binary()), pa.array(counts, pa.binary()),
                       pa.array(totals, pa.int64())]
             names = ["doc_id", "text", "lens", "counts", "n_tokens"]
@@ -234,7 +233,7 @@ def apply_edits(trees: DataFrame, vocab_path: str) -> DataFrame:
             rows = []
             for doc_id, text, lens, counts, edits in zip(*(batch[c].to_pylist() for c in
                                                            ("doc_id", "text", "lens", "counts", "edits"))):
-                tree = TokenTree(text, np.frombuffer(lens, "<u4").tolist(), np.frombuffer(counts, "<u4").tolist(), counter)
+                tree = TokenTree(text, np.frombuffer(lens, "<u4"), np.frombuffer(counts, "<u4"), counter)
                 before, again, done = tree.n_tokens, 0, 0
                 for e in edits or ():
                     if e is not None:
@@ -242,7 +241,7 @@ def apply_edits(trees: DataFrame, vocab_path: str) -> DataFrame:
                         again += tree.edit(pos, e["n_del"] or 0, e["ins"] or "")
                         done += 1
                 new_text, new_lens, new_counts = tree.state()
-                rows.append((doc_id, new_text, _packed(new_lens), _packed(new_counts), tree.n_tokens, before, done,
+                rows.append((doc_id, new_text, new_lens.tobytes(), new_counts.tobytes(), tree.n_tokens, before, done,
                              len(new_lens), again))
             types = [pa.int64(), pa.string(), pa.binary(), pa.binary()] + [pa.int64()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*rows) if rows else [[]] * 9, types)],
