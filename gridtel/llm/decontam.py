@@ -71,10 +71,12 @@ class Automaton:
             for w in item_windows:
                 key = "".join(self._char(word) for word in w)
                 owners.setdefault(key, []).append(item)
-        self.trie = ahocorasick.Automaton()
+        trie = ahocorasick.Automaton()
         for key, items in owners.items():
-            self.trie.add_word(key, (len(key), tuple(dict.fromkeys(items))))
-        self.trie.make_automaton()
+            trie.add_word(key, (len(key), tuple(dict.fromkeys(items))))
+        if owners:
+            trie.make_automaton()
+        self.matches = trie.iter if owners else lambda coded: ()  # without windows nothing matches
 
     def _char(self, word: bytes) -> str:
         if word not in self.chars:
@@ -88,7 +90,7 @@ class Automaton:
         coded = "".join([get(w, OTHER) for w in words])
         ranges: list[tuple[int, int]] = []
         items: set[str] = set()
-        for end, (length, owners) in self.trie.iter(coded):
+        for end, (length, owners) in self.matches(coded):
             ranges.append((end + 1 - length, end + 1))
             items.update(owners)
         return united(ranges), sorted(items)

@@ -109,8 +109,10 @@ def postings(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
         for q, w, key in words:
             rows.append((w, t, template["label"], template["base"], q, weight[w] / total, int(w in rare), int(key),
                          sum(k for _, _, k in words), needed, words[0][0]))
-    return spark.createDataFrame(rows, "word string, template int, label string, base boolean, position int, share double, "
-                                       "anchor int, is_key int, key_words int, needed int, head int")
+    values = ", ".join(f"('{w}', {t}, '{label}', {str(base).lower()}, {q}, {share!r}D, {a}, {k}, {n_key}, {needed}, {head})"
+                       for w, t, label, base, q, share, a, k, n_key, needed, head in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS p(word, template, label, base, position, share, anchor, is_key, "
+                     "key_words, needed, head)")
 
 
 def alignments(indexed: DataFrame, weight: dict[str, float]) -> DataFrame:
