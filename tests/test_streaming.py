@@ -130,7 +130,11 @@ def test_other_read_errors_are_raised(spark, scratch):
 def test_a_batch_of_one_day_is_written_by_several_tasks(spark, scratch):
     from gridtel.streaming import ingest as stream
     df = spark.range(2000).selectExpr("id", "date'2026-01-01' as event_date")
-    stream.write_partitions(df, scratch + "/t", "run", 0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if the batch were large
+    try:
+        stream.write_partitions(df, scratch + "/t", "run", 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(spark.read.parquet(scratch + "/t").inputFiles()) > 4
 
 
