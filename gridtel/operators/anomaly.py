@@ -89,7 +89,7 @@ def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.I
     # 4 x sample rows whatever the input's size.
     n = x.count()
     frac = min(1.0, 4.0 * sample / max(n, 1))
-    limit = int(frac * (2 ** 63 - 1))
+    limit = min(int(frac * 2.0 ** 63), 2 ** 63 - 1)
     own = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
 
     def draw(h, tree):
