@@ -110,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     slot[[r["cell"] for r in kept]] = np.arange(len(kept))
     owners, found, y = [], [], []
     for r in _kept_cells(rows, slot):
-        f = slot[np.asarray(r["cells"], np.int64)] if len(r["cells"]) else np.zeros(0, np.int32)
+        f = np.frombuffer(r["kept"], "<i4")
         found.append(f)
         owners.append(np.full(len(f), len(y), np.int32))
         y.append(r["toxic"])
@@ -118,17 +118,18 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     return Model(slot, coefficient * scale, bias)
 
 
-def _kept_cells(rows: DataFrame, slot: np.ndarray):
-    """The sampled rows with their kept n-grams only, one partition at a time."""
+def _kept_cells(rows: DataFrame, slot: np.ndarray) -> list:
+    """The sampled rows with their kept features, packed; as bounded as the sample."""
     shared = rows.sparkSession.sparkContext.broadcast(slot)
 
     def run(batches):
-        table = shared.value
         for batch in batches:
-            cells = [[c for c in row if table[c] >= 0] for row in batch["cells"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(cells, pa.list_(pa.int32()))], ["toxic", "cells"])
+            cells = batch["cells"]
+            flat, ends = shared.value[cells.flatten().to_numpy()], cells.offsets.to_numpy()
+            packed = [(f := flat[a:b])[f >= 0].astype("<i4").tobytes() for a, b in zip(ends - ends[0], (ends - ends[0])[1:])]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(packed, pa.binary())], ["toxic", "kept"])
 
-    return rows.mapInArrow(run, "toxic int, cells array<int>").toLocalIterator()
+    return rows.mapInArrow(run, "toxic int, kept binary").collect()
 
 
 def logistic(row: np.ndarray, feature: np.ndarray, y: np.ndarray, scale: np.ndarray, n: int, steps: int = 150):
