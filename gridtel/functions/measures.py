@@ -22,12 +22,12 @@ READING_SCALE = 4
 
 def round_half_up(x, n: int) -> Column:
     """round(x, n) half away from zero on the decimal value, as DOUBLE."""
-    return F.round(_c(x).cast("decimal(38,15)"), n).cast("double")
+    return F.round(_c(x).cast("decimal(28,9)"), n).cast("double")
 
 
 def round_half_even(x, n: int) -> Column:
     """Banker's rounding (Python ``round``) on the decimal value, as DOUBLE."""
-    return F.bround(_c(x).cast("decimal(38,15)"), n).cast("double")
+    return F.bround(_c(x).cast("decimal(28,9)"), n).cast("double")
 
 
 def scaled_sum(x, scale: int = 3) -> Column:

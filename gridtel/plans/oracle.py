@@ -12,12 +12,12 @@ def r2(e: str) -> str:
 
 def rhu(e: str, n: int) -> str:
     """Half-away-from-zero rounding through DECIMAL, as DOUBLE."""
-    return f"CAST(round(CAST({e} AS DECIMAL(28,15)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST({e} AS DECIMAL(28,9)), {n}) AS DOUBLE)"
 
 
 def rhe(e: str, n: int) -> str:
     """Half-even rounding through DECIMAL, as DOUBLE."""
-    return f"CAST(round_even(CAST({e} AS DECIMAL(28,15)), {n}) AS DOUBLE)"
+    return f"CAST(round_even(CAST({e} AS DECIMAL(28,9)), {n}) AS DOUBLE)"
 
 
 def xavg(e: str) -> str:
