@@ -27,8 +27,8 @@ from .common import documents, small_batches
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ENCODED = "doc_id long, n_tokens long, ids binary"
 DECODED = "doc_id long, n_tokens long, ids binary, text string"
-CACHE_PIECES = 400_000   # pieces kept per generation of a worker's cache
-CACHE_PAIRS = 1_000_000  # tested token pairs kept
+CACHE_PIECES = 250_000  # pieces kept per generation of a worker's cache
+CACHE_PAIRS = 400_000   # tested token pairs kept
 NEVER = 1 << 40
 
 
@@ -107,9 +107,8 @@ class PrefixEncoder:
             t = vocab[a + b]
             if self.parts[t] is None:
                 self.birth[t], self.parts[t] = r, (vocab[a], vocab[b])
-        # edges[t]: (symbol, rank of the merge that absorbs it) from the token down to a byte
-        self.right_edge = [self._edge(t, 1) for t in range(size)]
-        self.left_edge = [self._edge(t, 0) for t in range(size)]
+        # token -> (symbol, rank of the merge that absorbs it) from the token down to a byte, by side
+        self._edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
         self._pairs: dict[int, bool] = {}
         trie = ahocorasick.Automaton()
         self._whole: dict[str, int] = {}
@@ -119,6 +118,8 @@ class PrefixEncoder:
                 key = self.token_bytes[t].decode("latin-1")
                 trie.add_word(key, (t, len(key)))
         trie.make_automaton()
+        for side in self._edges:  # filled for every token by now; the pairs in use come back
+            side.clear()
         self._suffixes = trie.iter
         self._splitter = PieceSplitter(vocab_json)
         self.cache = _PieceCache(self, cache_pieces)
@@ -129,13 +130,17 @@ class PrefixEncoder:
             self._special_split = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")")
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
-        out, absorbed = [], NEVER
-        while True:
-            out.append((token, absorbed))
-            if self.parts[token] is None:
-                return out
-            absorbed = self.birth[token]
-            token = self.parts[token][side]
+        known = self._edges[side].get(token)
+        if known is None:
+            known, symbol, absorbed = [], token, NEVER
+            while True:
+                known.append((symbol, absorbed))
+                if self.parts[symbol] is None:
+                    break
+                absorbed = self.birth[symbol]
+                symbol = self.parts[symbol][side]
+            self._edges[side][token] = known
+        return known
 
     def _reachable(self, token: int) -> bool:
         """Whether the token's own bytes encode to it: its two halves meet, and nothing crosses before they do."""
@@ -146,8 +151,9 @@ class PrefixEncoder:
 
     def _crosses(self, left: int, right: int, before: int) -> bool:
         rank = self.rank
-        for s, s_end in self.right_edge[left]:
-            for u, u_end in self.left_edge[right]:
+        right_edge = self._edge(right, 0)
+        for s, s_end in self._edge(left, 1):
+            for u, u_end in right_edge:
                 r = rank.get((s << 20) | u)
                 # equal ranks: merges run from the left, so the left token's own merge comes first
                 if r is not None and r < before and r < s_end and r <= u_end:
@@ -266,6 +272,23 @@ def encode(docs: DataFrame, vocab_path: str) -> DataFrame:
     return documents(docs).mapInArrow(run, ENCODED)
 
 
+def round_trip(docs: DataFrame, vocab_path: str) -> DataFrame:
+    """``encode`` and ``decode`` of every whole text in one pass: (doc_id, n_tokens, ids, text decoded from the ids)."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(vocabulary(vocab_path))
+
+    def run(batches):
+        enc = encoder_for(shared.value)
+        for batch in batches:
+            packed = [enc.encode_packed(t) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
+                 pa.array([enc.decode(p) for p in packed], pa.string())], ["doc_id", "n_tokens", "ids", "text"])
+
+    return documents(docs).mapInArrow(run, DECODED)
+
+
 def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
     """``encode``'s rows with the text their ids stand for."""
     spark = encoded.sparkSession

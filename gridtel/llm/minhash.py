@@ -34,7 +34,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4   # a pair of similarity 0.8 misses every band with probability 3e-6
 SKETCH_BITS = 20      # counters that order shingles by frequency; any order is right, a good one is fast
-WORDS_KEPT = 300_000  # hashed words kept by a worker
+WORDS_KEPT = 200_000  # hashed words kept by a worker
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 

@@ -74,8 +74,7 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the text decoded from them."""
-    path = byte_bpe_path()
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_path())
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -30,7 +30,7 @@ EDITED = TREES + ", n_tokens_before long, n_edits long, n_pretokens long, n_reen
 EDIT_TYPE = "array<struct<pos:long,n_del:long,ins:string>>"
 BUCKET = 64             # pre-tokens in a leaf of the tree
 CONTEXT = 3             # characters before an edit that may change their pre-token
-CACHE_PIECES = 400_000  # counted pre-tokens kept per generation of a worker's cache
+CACHE_PIECES = 300_000  # counted pre-tokens kept per generation of a worker's cache
 
 
 class PieceCounts(dict):
