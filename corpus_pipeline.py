@@ -41,8 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token count, and digests of the ids and of the text decoded from them."""
     apply_conf(spark)
-    path = byte_bpe_path()
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.round_trip(docs, byte_bpe_path())
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
