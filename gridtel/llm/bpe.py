@@ -27,8 +27,8 @@ from .common import documents, small_batches
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ENCODED = "doc_id long, n_tokens long, ids binary"
 DECODED = "doc_id long, n_tokens long, ids binary, text string"
-CACHE_PIECES = 250_000  # pieces kept per generation of a worker's cache
-CACHE_PAIRS = 400_000   # tested token pairs kept
+CACHE_PIECES = 150_000  # pieces kept per generation of a worker's cache
+CACHE_PAIRS = 250_000   # tested token pairs kept
 NEVER = 1 << 40
 
 

@@ -34,7 +34,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4   # a pair of similarity 0.8 misses every band with probability 3e-6
 SKETCH_BITS = 20      # counters that order shingles by frequency; any order is right, a good one is fast
-WORDS_KEPT = 200_000  # hashed words kept by a worker
+WORDS_KEPT = 100_000  # hashed words kept by a worker
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -143,7 +143,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_key, n_shingles, bands) per document; no bands for a text without words."""
-    small_batches(docs.sparkSession, 512)
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -255,7 +255,7 @@ def _cross_pairs(buckets: DataFrame, classes: DataFrame, texts: DataFrame, simil
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, text_key, class_id (smallest doc_id of its class), class_size, kept."""
-    small_batches(docs.sparkSession, 512)
+    small_batches(docs.sparkSession)
     signs = stored(signed(docs, bands, rows), "signatures")
     nodes = stored(signs.groupBy("text_key").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max(F.struct("n_shingles", "bands")).alias("s"))
