@@ -92,6 +92,8 @@ class RecordParser:
         self._held += chunk
         while True:
             if self._need is None:
+                while self._held.startswith(b"\r\n"):  # nothing else may stand between records
+                    del self._held[:2]
                 end = self._held.find(b"\r\n\r\n")
                 if end < 0:
                     return
@@ -121,6 +123,8 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> Data
     """Records of all archives below ``path``; payload lengths and digests are taken from the payloads themselves.
 
     Every file is one ordered stream of chunks (gzip is not split), parsed as it arrives: memory holds one record.
+    Every chunk is given its separator back, also a file's last one that had none: a payload that ends in CRLF makes
+    the separator match two bytes early, and the spare line breaks behind the last record are skipped by the parser.
     """
     small_batches(spark)
     chunks = spark.read.option("lineSep", SEPARATOR).text(path).select("value")

@@ -67,5 +67,12 @@ def test_parser_takes_any_chunks():
         assert [b for _, b in out] == [block] * 3
 
 
+def test_last_record_ends_in_a_line_break(spark):
+    for n in (1, 2, 3):
+        rows = [(1, "u", "a" + "\r\n" * n)]
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        assert [tuple(r) for r in W.round_trip(pages).collect()] == expected(rows)
+
+
 def test_empty(spark):
     assert W.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
