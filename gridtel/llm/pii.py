@@ -4,8 +4,8 @@
 at sign) with the words around it.  Rule spans are the seeds.  A pattern is a word to the left of an identifier
 together with the identifier's shape, or the two words to its left alone.  Spark scores the graph of patterns and
 instances in rounds: a pattern is worth the smoothed mean of its instances' scores, an instance the noisy-or of
-its patterns (seeds stay at 1).  Patterns that reach ``CONFIDENCE`` on at least ``SUPPORT`` different seeds discover
-the tokens beside them, as kind ``context``; what they discover takes part in the next round.
+its patterns (seeds stay at 1).  Patterns that reach ``CONFIDENCE`` on at least ``SUPPORT`` different instances, seeds
+or discovered with ``CONFIDENCE`` in the round before, discover the tokens beside them, as kind ``context``.
 
 Cases: a null text counts as empty; repeated rows are read each on their own; with no seeds nothing is discovered;
 an empty table gives an empty result; other columns are ignored.
@@ -28,7 +28,7 @@ FINDINGS = (f"doc_id long, base array<{SPAN}>, "
             "tokens array<struct<start:long,end:long,instance:string,seed:int,patterns:array<string>>>")
 ROUNDS = 3
 CONFIDENCE = 0.8
-SUPPORT = 5       # different seed instances that a pattern needs
+SUPPORT = 5       # different instances, seeds or discovered with CONFIDENCE, that a pattern needs
 SMOOTHING = 2.0   # instances of no worth that every pattern starts with
 
 # The rules' patterns.  A run of digits is tried from its start only, which is where a match must begin.
@@ -42,6 +42,7 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 TOKEN = re.compile(r"\S+")
 MARK = re.compile(r"[0-9@]")
 EDGES = ".,;:!?()[]{}<>\"'"
+LONG_SHAPE, LONG_WORD = 24, 40  # from here on a hash of the whole stands behind a shape's start, a word's end
 
 
 def luhn(digits: str) -> bool:
@@ -88,30 +89,58 @@ def rule_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def shape(token: str) -> str:
-    """Digits as 9, letters as a, runs squeezed; everything else as it is."""
+    """Digits as 9, letters as a, runs squeezed; everything else as it is; a long one as its start and a hash of all."""
     out = []
     for c in token:
         s = "9" if c.isdigit() else "a" if c.isalpha() else c
         if not out or out[-1] != s:
             out.append(s)
-    return "".join(out[:24])
+    if len(out) <= LONG_SHAPE:
+        return "".join(out)
+    return "".join(out[:LONG_SHAPE]) + "#" + hashlib.blake2b("".join(out).encode(), digest_size=12).hexdigest()
 
 
-def _word(text: str, end: int) -> tuple[str, int]:
-    """The whitespace-delimited word that ends before ``end``, lower-cased without edge marks, and its start."""
-    while end > 0 and text[end - 1].isspace():
-        end -= 1
-    start = end
-    while start > 0 and end - start < 40 and not text[start - 1].isspace():
-        start -= 1
-    return text[start:end].strip(EDGES).lower(), start
+class _WordBefore:
+    """The whitespace-delimited word that ends before a place, lower-cased without edge marks, and its start.
 
+    A long word is its end and a hash of all of it, carried on from the last place, so that ascending places in one
+    very long word stay linear.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.start, self.done, self.hash = text, 0, -1, None
 
-def lexical_patterns(text: str, start: int, instance: str) -> list[str]:
-    left, at = _word(text, start)
+    def __call__(self, end: int) -> tuple[str, int]:
+        text = self.text
+        while end > 0 and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start > 0 and end - start < LONG_WORD and not text[start - 1].isspace():
+            start -= 1
+        if start == 0 or text[start - 1].isspace():
+            return text[start:end].strip(EDGES).lower(), start
+        tail = end
+        while end > start and text[end - 1] in EDGES:
+            end -= 1
+        known = self.done if 0 <= self.done <= end else 0
+        place = min(start, end)
+        while place > known and not text[place - 1].isspace():
+            place -= 1
+        if place > known or known == 0 or text[known - 1].isspace():
+            self.start = self.done = place
+            while self.done < end and text[self.done] in EDGES:
+                self.done += 1
+            self.hash = hashlib.blake2b(digest_size=12)
+        self.hash.update(text[self.done:end].casefold().encode("utf-8", "surrogatepass"))
+        self.done = max(end, self.done)
+        return f"{text[start:tail].strip(EDGES).lower()}#{self.hash.hexdigest()}", self.start
+
+
+def lexical_patterns(left_of: _WordBefore, before_of: _WordBefore, start: int, instance: str) -> list[str]:
+    left, at = left_of(start)
     if not left:
         return []
-    before, _ = _word(text, at)
+    before, _ = before_of(at)
     out = [f"w|{left}|{shape(instance)}"]
     if before:
         out.append(f"ww|{before}|{left}")
@@ -121,9 +150,10 @@ def lexical_patterns(text: str, start: int, instance: str) -> list[str]:
 def identifier_tokens(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """Rule spans as seeds, and other tokens of 5 or more characters with a digit or an at sign as candidates."""
     out = []
+    words = _WordBefore(text), _WordBefore(text)
     for _, a, b in spans:
         instance = text[a:b].lower()
-        out.append({"start": a, "end": b, "instance": instance, "seed": 1, "patterns": lexical_patterns(text, a, instance)})
+        out.append({"start": a, "end": b, "instance": instance, "seed": 1, "patterns": lexical_patterns(*words, a, instance)})
     taken = united([(a, b) for _, a, b in spans])
     done = 0
     for mark in MARK.finditer(text):
@@ -140,7 +170,7 @@ def identifier_tokens(text: str, spans: list[tuple[str, int, int]]) -> list[dict
             b -= 1
         if b - a >= 5 and not touches(taken, a, b):
             instance = text[a:b].lower()
-            patterns = lexical_patterns(text, a, instance)
+            patterns = lexical_patterns(*words, a, instance)
             if patterns:
                 out.append({"start": a, "end": b, "instance": instance, "seed": 0, "patterns": patterns})
     return out
@@ -175,9 +205,10 @@ def pattern_scores(edges: DataFrame, rounds: int = ROUNDS, confidence: float = C
     trusted = None
     for _ in range(rounds):
         on_pattern = graph.join(scores, "instance").groupBy("pattern").agg(
-            F.sum("score").alias("worth"), F.count("*").alias("n"), F.sum("seed").alias("seeds"))
-        trusted = stored(on_pattern.select("pattern", "seeds", (F.col("worth") / (F.col("n") + SMOOTHING)).alias("confidence"))
-                         .where((F.col("seeds") >= support) & (F.col("confidence") >= confidence)), "pii-patterns")
+            F.sum("score").alias("worth"), F.count("*").alias("n"),
+            F.sum((F.col("score") >= confidence).cast("long")).alias("support"))
+        trusted = stored(on_pattern.select("pattern", "support", (F.col("worth") / (F.col("n") + SMOOTHING)).alias("confidence"))
+                         .where((F.col("support") >= support) & (F.col("confidence") >= confidence)), "pii-patterns")
         scores = graph.join(trusted, "pattern", "left").groupBy("instance").agg(
             F.when(F.max("seed") > 0, F.lit(1.0)).otherwise(
                 1 - F.exp(F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999999)))))).alias("score"))

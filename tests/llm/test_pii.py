@@ -75,6 +75,30 @@ def test_scores_by_hand(spark):
     assert set(got) == {"good"} and abs(got["good"] - (18 + first) / (19 + P.SMOOTHING)) < 1e-9
 
 
+def test_discovered_instances_support_other_patterns(spark):
+    edges = [("good", f"s{i}", 1) for i in range(60)] + [("good", f"n{i}", 0) for i in range(10)]
+    edges += [("next", f"n{i}", 0) for i in range(10)] + [("next", f"s{i}", 1) for i in range(4)] + [("next", "last", 0)]
+    got = {r["pattern"] for r in P.pattern_scores(
+        spark.createDataFrame(edges, "pattern string, instance string, seed int"), confidence=0.75).collect()}
+    assert got == {"good", "next"}
+
+
+def test_long_shapes_and_words_stay_apart():
+    a, b = "1a" * 20 + "-x", "1a" * 20 + "_x"
+    assert P.shape(a) != P.shape(b) and P.shape(a) == P.shape("22bb" * 20 + "-yy")
+    end = "k" * 60
+    words = [P._WordBefore(f"{start}{end}: 12345")(len(start) + 62) for start in ("one", "two", "(ONE")]
+    assert words[0] == words[2] != words[1] and words[0][1] == 0
+    text = "x " + "ab1," * 40 + " z"
+    carried, ends = P._WordBefore(text), range(60, 160, 7)
+    assert [carried(e) for e in ends] == [P._WordBefore(text)(e) for e in ends] and carried(150)[1] == 2
+
+
+def test_many_places_in_one_word_stay_linear():
+    text = "a@b.c," * 30_000
+    assert len(P.identifier_tokens(text, P.rule_spans(text))) >= 30_000
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.digests(P.scan(docs)).count() == 0
