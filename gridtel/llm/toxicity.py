@@ -8,7 +8,8 @@ Training rows are a sample of at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` ot
 a hash of doc_id, from rows whose crc32(doc_id) mod 5 is not 0.  Scores use the text alone.
 
 Cases: a null text counts as empty and is scored like any text without known n-grams; a doc_id with several labels
-is toxic if one of them says so; null labels do not count; with no rows of one of the labels every score is the
+is toxic if one of them says so; null labels do not count; of rows that repeat a
+doc_id the largest text trains; with no rows of one of the labels every score is the
 share of toxic rows (0 without any); repeated rows are scored each on their own; an empty table gives an empty
 result; other columns are ignored, or kept by ``drop_toxic``.
 """
@@ -87,8 +88,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_row
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))],
                                              ["toxic", "cells"])
 
-    # copies of a training text would only repeat it
-    rows = documents(docs).join(F.broadcast(sample), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
+    # one text per sampled id, taken before the shuffle, however many rows repeat it
+    rows = documents(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id") \
+        .agg(F.max("toxic").cast("int").alias("toxic"), F.max("text").alias("text")).select("toxic", "text")
     return stored(rows.mapInArrow(run, "toxic int, cells array<int>"), "toxicity-training")
 
 

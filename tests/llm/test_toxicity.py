@@ -57,6 +57,16 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert np.array_equal(a.weight, b.weight) and a.bias == b.bias
 
 
+def test_repeated_rows_of_a_document_train_once(spark):
+    docs, labels = corpus()
+    once, many = (spark.createDataFrame(x, "doc_id long, text string, score string")
+                  for x in (docs, docs + [docs[1]] * 300 + [(1, None, "x")]))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert T.training_rows(many, lab, 3000, 6000).count() == T.training_rows(once, lab, 3000, 6000).count()
+    a, b = T.train(once, lab), T.train(many, lab)
+    assert np.allclose(a.weight, b.weight) and np.isclose(a.bias, b.bias)
+
+
 def test_one_label_only_and_empty(spark):
     d = spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
