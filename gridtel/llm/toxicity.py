@@ -1,10 +1,11 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Texts (ASCII letters lower-cased) are read as the set of their hashed character n-grams.  On the training rows
-Spark counts in how many toxic and other texts each n-gram occurs; its log-count ratio is the scale of that feature.
-The features with the strongest ratios are kept, and a logistic regression is fitted on presence times ratio.
+Texts (ASCII letters lower-cased) are read as the set of their hashed character n-grams.  On all labelled
+rows outside the held-out fold Spark counts in how many toxic and other texts each n-gram occurs; its log-count ratio
+is the scale of that feature.  The features with the strongest ratios are kept, and a logistic regression is fitted on
+presence times ratio; a kept n-gram that no row of the fit holds takes the mean coefficient of the others.
 
-Training rows are a sample of at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other labelled documents, the first by
+Rows of the fit are a sample of at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other labelled documents, the first by
 a hash of doc_id, from rows whose crc32(doc_id) mod 5 is not 0.  Scores use the text alone.
 
 Cases: a null text counts as empty and is scored like any text without known n-grams; a doc_id with several labels
@@ -29,7 +30,7 @@ BITS = 20
 TOXIC_ROWS = 3000
 CLEAN_ROWS = 6000
 FEATURES = 20_000
-MIN_ROWS = 4       # training texts that a kept n-gram occurs in
+MIN_ROWS = 4       # labelled texts that a kept n-gram occurs in
 PENALTY = 1.0
 FOLDS = 5
 
@@ -73,11 +74,43 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
 
 
+def judged_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled documents outside the held-out fold."""
+    return labels.where("doc_id is not null and toxic is not null") \
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out())
+
+
+def cell_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cell, toxic, n): labelled texts, one per doc_id, that hold a cell, and the toxic ones of them; cell -1 is all.
+
+    Tasks add up their own texts first, so at most one row per cell and task is shuffled.
+    """
+    small_batches(docs.sparkSession)
+    texts = documents(docs).where(F.col("doc_id").isNotNull() & ~held_out()).join(judged_ids(labels), "doc_id") \
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text")).select("toxic", "text")
+
+    def run(batches):
+        counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # the last cell counts every text
+        for batch in batches:
+            for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
+                cells = np.append(np.unique(grams(text)), 1 << BITS)
+                counts[0, cells] += 1
+                if toxic:
+                    counts[1, cells] += 1
+        found = np.flatnonzero(counts[0])
+        for i in range(0, len(found), 65536):
+            part = found[i:i + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(part == 1 << BITS, -1, part).astype(np.int32)),
+                                              pa.array(counts[1, part]), pa.array(counts[0, part])], ["cell", "toxic", "n"])
+
+    return stored(texts.mapInArrow(run, "cell int, toxic long, n long").groupBy("cell")
+                  .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "toxicity-cells")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
     """(toxic, cells) of the sampled training documents; the sampled ids are bounded by the two parameters."""
     small_batches(docs.sparkSession)
-    judged = labels.where("doc_id is not null and toxic is not null") \
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")).where(~held_out())
+    judged = judged_ids(labels)
     order = [F.xxhash64("doc_id"), "doc_id"]
     sample = judged.where("toxic = 1").orderBy(*order).limit(toxic_rows) \
         .unionAll(judged.where("toxic = 0").orderBy(*order).limit(clean_rows))
@@ -97,12 +130,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_row
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS,
           features: int = FEATURES) -> Model:
     rows = training_rows(docs, labels, toxic_rows, clean_rows)
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
+    cells = cell_counts(docs, labels)
+    every = cells.where("cell = -1").collect()
+    n_toxic, n_clean = (every[0]["toxic"], every[0]["n"] - every[0]["toxic"]) if every else (0, 0)
     if not n_toxic or not n_clean:
         return Model(np.zeros(0), np.zeros(0), 0.0, constant=float(bool(n_toxic)))
-    counts = rows.select("toxic", F.explode("cells").alias("cell")).groupBy("cell").agg(
-        F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where(F.col("n") >= MIN_ROWS)
+    counts = cells.where((F.col("cell") >= 0) & (F.col("n") >= MIN_ROWS))
     # smoothed share of toxic texts with the n-gram against the share of other texts with it
     ratio = F.log(((F.col("toxic") + 1) / (n_toxic + 2)) / ((F.col("n") - F.col("toxic") + 1) / (n_clean + 2)))
     kept = counts.select("cell", ratio.alias("ratio"), "n") \
@@ -117,6 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
         owners.append(np.full(len(f), len(y), np.int32))
         y.append(r["toxic"])
     coefficient, bias = logistic(np.concatenate(owners), np.concatenate(found), np.array(y, float), scale, len(y))
+    seen = np.isin(np.arange(len(kept)), np.concatenate(found))
+    if seen.any():
+        coefficient[~seen] = coefficient[seen].mean()
     return Model(slot, coefficient * scale, bias)
 
 

@@ -57,6 +57,24 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert np.array_equal(a.weight, b.weight) and a.bias == b.bias
 
 
+def test_wording_outside_the_sample_counts(spark):
+    docs, labels = corpus()
+    first = 10_000
+    docs += [(i, f"pathetic vermin number {i}", "x") for i in range(first, first + 60)]
+    labels += [(i, 1, 1) for i in range(first, first + 60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, score string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sampled = lab.where("toxic = 1").where(~T.held_out()).orderBy(T.F.xxhash64("doc_id"), "doc_id").limit(200)
+    chosen = [r["doc_id"] for r in sampled.collect()]
+    n = next(i for i, x in enumerate(chosen) if x >= first)  # the sample ends before the first of the new wording
+    model = T.train(d, lab, toxic_rows=max(n, 1) if n else 3)
+    known = model.slot[np.unique(T.grams("pathetic vermin"))]
+    assert (known >= 0).all() and (model.weight[known] > 0).all()
+    out = {r["doc_id"]: r["score"] for r in T.score(d, model).collect()}
+    assert all(out[i] >= 0.5 for i in range(first, first + 60))
+    assert all((out[i] >= 0.5) == (i % 3 == 0) for i in range(120))
+
+
 def test_repeated_rows_of_a_document_train_once(spark):
     docs, labels = corpus()
     once, many = (spark.createDataFrame(x, "doc_id long, text string, score string")
