@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, minhash, pii, secret_scan, token_counts, toxicity, warc
+from . import bpe, decontam, exact_dedup, fill_in_middle, licenses, minhash, pii, secret_scan, token_counts, toxicity, warc
 from .common import table
 
 
@@ -87,9 +87,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two ranks of its units and reordered, with the text rebuilt from the output."""
+    out = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_edit_token_counts, op2_secret_scan, op3_decontamination, op4_license_scan, op5_near_duplicates, op6_pii,
-    op7_exact_dedup, op8_warc_revisits, op9_bpe, op10_toxicity)}
+    op7_exact_dedup, op8_warc_revisits, op9_bpe, op10_toxicity,
+    op12_fill_in_middle)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -169,4 +177,19 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> original THEN original END AS refers_to
 FROM q""",
+    "op12_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+             CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+             CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS i, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS j,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(units[1:i], ''), '') AS pre, coalesce(array_to_string(units[i + 1:j], ''), '') AS mid,
+             coalesce(array_to_string(units[j + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""",
 }
