@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, fill_in_middle, licenses, minhash, pii, secret_scan, token_counts, toxicity, warc
+from . import bpe, decontam, exact_dedup, fill_in_middle, licenses, minhash, pii, quality_ranking, secret_scan, token_counts, toxicity, warc
 from .common import table
 
 
@@ -87,6 +87,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, ranked by preference pairs of the labels outside the held-out fold."""
+    return quality_ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two ranks of its units and reordered, with the text rebuilt from the output."""
     out = fill_in_middle.transform(table(spark, sf_dir, "documents"))
@@ -97,7 +102,7 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_edit_token_counts, op2_secret_scan, op3_decontamination, op4_license_scan, op5_near_duplicates, op6_pii,
     op7_exact_dedup, op8_warc_revisits, op9_bpe, op10_toxicity,
-    op12_fill_in_middle)}
+    op11_quality, op12_fill_in_middle)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
