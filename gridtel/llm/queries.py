@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, fill_in_middle, licenses, minhash, pii, quality_ranking, secret_scan, token_counts, toxicity, warc
+from . import (bpe, decontam, exact_dedup, fill_in_middle, licenses, minhash, pii, quality_ranking, secret_scan, token_counts,
+               toxicity, warc, word_runs)
 from .common import table
 
 
@@ -99,10 +100,17 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, by a grammar of its repeated stretches."""
+    return word_runs.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2("runs", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_edit_token_counts, op2_secret_scan, op3_decontamination, op4_license_scan, op5_near_duplicates, op6_pii,
     op7_exact_dedup, op8_warc_revisits, op9_bpe, op10_toxicity,
-    op11_quality, op12_fill_in_middle)}
+    op11_quality, op12_fill_in_middle, op13_word_runs)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
