@@ -1,37 +1,47 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Texts (ASCII letters lower-cased) are read as the set of their hashed character n-grams.  On all labelled
-rows outside the held-out fold Spark counts in how many toxic and other texts each n-gram occurs; its log-count ratio
-is the scale of that feature.  The features with the strongest ratios are kept, and a logistic regression is fitted on
-presence times ratio; a kept n-gram that no row of the fit holds takes the mean coefficient of the others.
+rows outside the held-out fold Spark counts in how many toxic and other texts each n-gram occurs.  The scale of a feature is
+its log-count ratio, shrunk by what chance explains: times max(0, 1 - E / G), where G is the likelihood-ratio statistic of
+its counts against the share of toxic texts and E = ln(texts) / 2, at least 4 (two standard errors): more texts ask
+for more evidence, and no n-gram is left out by a count of its own.  A logistic regression is fitted on presence times scale; an n-gram with a scale that no row of
+the fit holds takes the mean coefficient of the others.
+
+Only texts with a label are shuffled: Spark's runtime filter, a Bloom filter of at most ``FILTER_BITS`` bits over the labelled ids,
+drops the rest at the scan (beyond that size it lets more through, and the join behind it decides).  Tasks send their
+counts as packed blocks of cells.
 
 Rows of the fit are a sample of at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other labelled documents, the first by
 a hash of doc_id, from rows whose crc32(doc_id) mod 5 is not 0.  Scores use the text alone.
 
-Cases: a null text counts as empty and is scored like any text without known n-grams; a doc_id with several labels
+Cases: a null text counts as empty and is scored like any text without known n-grams; a null doc_id is held out and
+trains nothing; a doc_id with several labels
 is toxic if one of them says so; null labels do not count; of rows that repeat a
 doc_id the largest text trains; with no rows of one of the labels every score is the
-share of toxic rows (0 without any); repeated rows are scored each on their own; an empty table gives an empty
-result; other columns are ignored, or kept by ``drop_toxic``.
+share of toxic rows (0 without any); repeated rows are scored each on their own; a text of any length takes a few bytes
+a character in one task; an empty table gives an
+empty result; other columns are ignored, or kept by ``drop_toxic``.
 """
 from __future__ import annotations
 
+import zlib
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, small_batches, stored
 
 ORDERS = (4, 5, 6)
-BITS = 20
-TOXIC_ROWS = 3000
-CLEAN_ROWS = 6000
-FEATURES = 20_000
-MIN_ROWS = 4       # labelled texts that a kept n-gram occurs in
-PENALTY = 1.0
+BITS = 23
+BLOCK = 4096             # cells that travel together
+FILTER_BITS = 1 << 26
+TOXIC_ROWS = 2000
+CLEAN_ROWS = 4000
+PENALTY = 30.0
 FOLDS = 5
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0x9E3779B9], np.uint32)
@@ -54,8 +64,7 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    slot: np.ndarray      # cell -> feature or -1
-    weight: np.ndarray    # coefficient times log-count ratio, per feature
+    weight: np.ndarray    # per cell: coefficient times scale; float32
     bias: float
     constant: float | None = None
 
@@ -64,128 +73,232 @@ class Model:
             return np.full(len(texts), self.constant)
         out = np.empty(len(texts))
         for i, text in enumerate(texts):
-            found = self.slot[grams(text or "")]
-            found = np.unique(found[found >= 0])
-            out[i] = self.weight[found].sum() + self.bias
+            cells = grams(text or "")
+            cells = np.unique(cells[self.weight[cells] != 0])
+            out[i] = self.weight[cells].astype(np.float64).sum() + self.bias
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
 def held_out() -> F.Column:
-    return F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 0
 
 
 def judged_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic) of the labelled documents outside the held-out fold."""
+    """(doc_id, toxic as 0 or 1) of the labelled documents outside the held-out fold."""
     return labels.where("doc_id is not null and toxic is not null") \
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out())
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic")).where(~held_out())
+
+
+@contextmanager
+def runtime_filter(spark: SparkSession, ids: int):
+    """Let Spark drop rows by a Bloom filter of the smaller side's keys before they are shuffled, at any size."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    bits = min(FILTER_BITS, 1 << max(16 * ids, 1024).bit_length())
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1000000g",
+              "expectedNumItems": str(max(ids, 1)), "maxNumItems": str(max(ids, 1)), "numBits": str(bits), "maxNumBits": str(FILTER_BITS)}
+    before = {k: spark.conf.get(prefix + k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(prefix + k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(prefix + k, v)
+
+
+def labelled_texts(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """(doc_id, toxic, text), one row per judged id; rows that repeat an id are merged before and after their shuffle.
+
+    The condition on ``toxic`` always holds: Spark only builds a runtime filter from a side that has one.
+    """
+    return documents(docs).where(F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("text").alias("text")) \
+        .join(judged.where("toxic >= 0"), "doc_id").select("doc_id", "toxic", "text")
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """A block of counts in the smallest unsigned type that holds them, compressed."""
+    top = counts.max()
+    return zlib.compress(counts.astype("u1" if top < 256 else "<u2" if top < 65536 else "<u4" if top < 1 << 32 else "<u8").tobytes(), 1)
+
 
+def _counts(packed: bytes) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    return np.frombuffer(raw, f"<u{len(raw) // BLOCK}").astype(np.int64)
 
-def cell_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(cell, toxic, n): labelled texts, one per doc_id, that hold a cell, and the toxic ones of them; cell -1 is all.
 
-    Tasks add up their own texts first, so at most one row per cell and task is shuffled.
+def cell_counts(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """(block, n, toxic), packed: labelled texts, one per doc_id, that hold a cell, and the toxic ones of them.
+
+    The first count of block -1 stands for all texts.  A task adds up its own texts and sends at most one row per block;
+    the rows of a block are added where they arrive, one at a time.
     """
     small_batches(docs.sparkSession)
-    texts = documents(docs).where(F.col("doc_id").isNotNull() & ~held_out()).join(judged_ids(labels), "doc_id") \
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text")).select("toxic", "text")
 
-    def run(batches):
-        counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # the last cell counts every text
+    def add(batches):
+        counts, texts = np.zeros((2, 1 << BITS), np.uint32), np.zeros((2, BLOCK), np.uint32)
         for batch in batches:
             for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
-                cells = np.append(np.unique(grams(text)), 1 << BITS)
-                counts[0, cells] += 1
-                if toxic:
-                    counts[1, cells] += 1
-        found = np.flatnonzero(counts[0])
-        for i in range(0, len(found), 65536):
-            part = found[i:i + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(np.where(part == 1 << BITS, -1, part).astype(np.int32)),
-                                              pa.array(counts[1, part]), pa.array(counts[0, part])], ["cell", "toxic", "n"])
-
-    return stored(texts.mapInArrow(run, "cell int, toxic long, n long").groupBy("cell")
-                  .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "toxicity-cells")
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
-    """(toxic, cells) of the sampled training documents; the sampled ids are bounded by the two parameters."""
-    small_batches(docs.sparkSession)
-    judged = judged_ids(labels)
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    sample = judged.where("toxic = 1").orderBy(*order).limit(toxic_rows) \
-        .unionAll(judged.where("toxic = 0").orderBy(*order).limit(clean_rows))
+                cells = np.unique(grams(text))
+                for k in (0, 1) if toxic else (0,):
+                    counts[k, cells] += 1
+                    texts[k, 0] += 1
+        yield from rows([-1], [texts])
+        blocks = counts.reshape(2, -1, BLOCK)
+        used = np.flatnonzero(blocks[0].any(1))
+        for i in range(0, len(used), 256):
+            yield from rows(used[i:i + 256], [blocks[:, b] for b in used[i:i + 256]])
+
+    def rows(blocks, counts):
+        if len(blocks):
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32())] + [pa.array([_packed(c[k]) for c in counts], pa.binary())
+                                                                              for k in (0, 1)], ["block", "n", "toxic"])
+
+    def merge(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, n, toxic in zip(*(batch[c].to_pylist() for c in ("block", "n", "toxic"))):
+                part = np.stack([_counts(n), _counts(toxic)])
+                held[block] = held[block] + part if block in held else part
+        for block in sorted(held):
+            yield from rows([block], [held[block]])
+
+    schema = "block int, n binary, toxic binary"
+    with runtime_filter(docs.sparkSession, judged.count()):
+        return stored(labelled_texts(docs, judged).select("toxic", "text").mapInArrow(add, schema).repartition("block")
+                      .mapInArrow(merge, schema), "toxicity-cells")
+
+
+def scales(n: np.ndarray, toxic: np.ndarray, texts: int, toxic_texts: int) -> np.ndarray:
+    """Log-count ratios of cells, shrunk by the evidence that their counts give."""
+    if not 0 < toxic_texts < texts:
+        return np.zeros(len(n), np.float32)
+    share, clean = toxic_texts / texts, n - toxic
+    ratio = np.log((toxic + share) / toxic_texts) - np.log((clean + 1 - share) / (texts - toxic_texts))
+    evidence = np.zeros(len(n))
+    for seen, part in ((toxic, share), (clean, 1 - share)):
+        some = seen > 0
+        evidence[some] += 2 * seen[some] * np.log(seen[some] / (n[some] * part))
+    chance = max(4.0, np.log(texts) / 2)
+    return np.where(evidence > chance, ratio * (1 - chance / np.maximum(evidence, 1e-9)), 0.0).astype(np.float32)
+
+
+@dataclass
+class Known:
+    """Cells with a scale, in order, and their counts; and the two totals."""
+    cell: np.ndarray
+    n: np.ndarray
+    toxic: np.ndarray
+    texts: int
+    toxic_texts: int
+
+    def slots(self) -> np.ndarray:
+        """Cell -> its place among the known ones, or -1."""
+        out = np.full(1 << BITS, -1, np.int32)
+        out[self.cell] = np.arange(len(self.cell))
+        return out
+
+
+def known_cells(cells: DataFrame) -> Known:
+    """The cells that have a scale; none where one of the labels is missing."""
+    total = cells.where("block = -1").collect()
+    texts, toxic_texts = (int(_counts(total[0][c])[0]) for c in ("n", "toxic")) if total else (0, 0)
+    none = np.zeros(0, np.int64)
+    if toxic_texts in (0, texts):
+        return Known(none, none, none, texts, toxic_texts)
 
     def run(batches):
         for batch in batches:
-            cells = [np.unique(grams(t)).astype(np.int32) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))],
-                                             ["toxic", "cells"])
-
+            for block, *packed in zip(*(batch[c].to_pylist() for c in ("block", "n", "toxic"))):
+                n, toxic = map(_counts, packed)
+                at = np.flatnonzero(scales(n, toxic, texts, toxic_texts))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([zlib.compress(x.astype("<i8").tobytes(), 1)], pa.binary()) for x in (block * BLOCK + at, n[at], toxic[at])],
+                        ["cell", "n", "toxic"])
+
+    rows = cells.where("block >= 0").mapInArrow(run, "cell binary, n binary, toxic binary").collect()
+    found = [np.concatenate([none] + [np.frombuffer(zlib.decompress(r[c]), "<i8") for r in rows]) for c in ("cell", "n", "toxic")]
+    order = np.argsort(found[0])
+    return Known(*(x[order] for x in found), texts, toxic_texts)
+
+
+def training_rows(docs: DataFrame, judged: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
+    """(doc_id, toxic, text) of the sampled training documents; the sampled ids are bounded by the two parameters."""
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    sample = judged.where("toxic <> 0").orderBy(*order).limit(toxic_rows) \
+        .unionAll(judged.where("toxic = 0").orderBy(*order).limit(clean_rows))
     # one text per sampled id, taken before the shuffle, however many rows repeat it
-    rows = documents(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id") \
-        .agg(F.max("toxic").cast("int").alias("toxic"), F.max("text").alias("text")).select("toxic", "text")
-    return stored(rows.mapInArrow(run, "toxic int, cells array<int>"), "toxicity-training")
-
-
-def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS,
-          features: int = FEATURES) -> Model:
-    rows = training_rows(docs, labels, toxic_rows, clean_rows)
-    cells = cell_counts(docs, labels)
-    every = cells.where("cell = -1").collect()
-    n_toxic, n_clean = (every[0]["toxic"], every[0]["n"] - every[0]["toxic"]) if every else (0, 0)
-    if not n_toxic or not n_clean:
-        return Model(np.zeros(0), np.zeros(0), 0.0, constant=float(bool(n_toxic)))
-    counts = cells.where((F.col("cell") >= 0) & (F.col("n") >= MIN_ROWS))
-    # smoothed share of toxic texts with the n-gram against the share of other texts with it
-    ratio = F.log(((F.col("toxic") + 1) / (n_toxic + 2)) / ((F.col("n") - F.col("toxic") + 1) / (n_clean + 2)))
-    kept = counts.select("cell", ratio.alias("ratio"), "n") \
-        .orderBy(F.desc(F.abs("ratio") * F.sqrt("n")), "cell").limit(features).collect()
-    slot = np.full(1 << BITS, -1, np.int32)
-    scale = np.array([r["ratio"] for r in kept])
-    slot[[r["cell"] for r in kept]] = np.arange(len(kept))
-    owners, found, y = [], [], []
-    for r in _kept_cells(rows, slot):
-        f = np.frombuffer(r["kept"], "<i4")
-        found.append(f)
-        owners.append(np.full(len(f), len(y), np.int32))
-        y.append(r["toxic"])
-    coefficient, bias = logistic(np.concatenate(owners), np.concatenate(found), np.array(y, float), scale, len(y))
-    seen = np.isin(np.arange(len(kept)), np.concatenate(found))
+    return documents(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id") \
+        .agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
+    judged = stored(judged_ids(labels), "toxicity-judged")
+    known = known_cells(cell_counts(docs, judged))
+    weight = np.zeros(1 << BITS, np.float32)
+    if known.toxic_texts in (0, known.texts):
+        return Model(weight, 0.0, constant=float(known.toxic_texts > 0))
+    rows = _features(training_rows(docs, judged, toxic_rows, clean_rows), known)
+    scale = scales(known.n, known.toxic, known.texts, known.toxic_texts)
+    found, value = ([np.frombuffer(r[c], kind) for r in rows] for c, kind in (("slot", "<u4"), ("value", "<f4")))
+    coefficient, bias = logistic(found, value, np.array([r["toxic"] for r in rows], float), len(scale))
+    seen = np.zeros(len(scale), bool)
+    for f in found:
+        seen[f] = True
     if seen.any():
         coefficient[~seen] = coefficient[seen].mean()
-    return Model(slot, coefficient * scale, bias)
+    weight[known.cell] = coefficient * scale
+    return Model(weight, bias)
 
 
-def _kept_cells(rows: DataFrame, slot: np.ndarray) -> list:
-    """The sampled rows with their kept features, packed; as bounded as the sample."""
-    shared = rows.sparkSession.sparkContext.broadcast(slot)
+def _features(rows: DataFrame, known: Known) -> list:
+    """The sampled rows, by doc_id, with the slots of their known cells and the scales of these, packed; as bounded as the sample.
+
+    A row's own text is taken out of the counts behind its scales, as the texts to be scored are not in them either.
+    """
+    small_batches(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast((known.slots(), known))
 
     def run(batches):
+        slots, k = shared.value
         for batch in batches:
-            cells = batch["cells"]
-            flat, ends = shared.value[cells.flatten().to_numpy()], cells.offsets.to_numpy()
-            packed = [(f := flat[a:b])[f >= 0].astype("<i4").tobytes() for a, b in zip(ends - ends[0], (ends - ends[0])[1:])]
-            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(packed, pa.binary())], ["toxic", "kept"])
+            found, values = [], []
+            for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
+                f = slots[grams(text)]
+                f = np.unique(f[f >= 0])
+                found.append(f.astype("<u4").tobytes())
+                values.append(scales(k.n[f] - 1, k.toxic[f] - toxic, k.texts - 1, k.toxic_texts - toxic).astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(found, pa.binary()), pa.array(values, pa.binary())],
+                                             ["doc_id", "toxic", "slot", "value"])
 
-    return rows.mapInArrow(run, "toxic int, kept binary").collect()
+    return sorted(rows.mapInArrow(run, "doc_id long, toxic int, slot binary, value binary").collect(), key=lambda r: r["doc_id"])
 
 
-def logistic(row: np.ndarray, feature: np.ndarray, y: np.ndarray, scale: np.ndarray, n: int, steps: int = 150):
-    """L2-penalized logistic regression on features of value ``scale``; both labels weigh the same in total.
+def logistic(found: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, n_features: int, steps: int = 150):
+    """L2-penalized logistic regression of ``y`` (0 or 1); both labels weigh the same in total.
 
-    Gradient descent with momentum on the mean loss; the step is bounded by the largest row's squared norm.
+    ``found`` lists each row's features, ``values`` their values.  Gradient descent with momentum on the mean loss; the
+    step is bounded by the largest rows' squared norm.
     """
-    value = scale[feature]
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n
-    norm = np.bincount(row, value * value, n)
-    step = 4.0 / (np.percentile(norm, 95) + 1)
-    w, b = np.zeros(len(scale)), 0.0
-    v_w, v_b = np.zeros(len(scale)), 0.0
+    n, sizes = len(found), np.array([len(f) for f in found])
+    weight = np.where(y == 1, 0.5 / max(y.mean(), 1 / n), 0.5 / max(1 - y.mean(), 1 / n)) / n
+    feature, value, some = np.concatenate(found), np.concatenate(values), sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[some]
+
+    def per_row(x):
+        out = np.zeros(n)
+        if some.any():
+            out[some] = np.add.reduceat(x, starts)
+        return out
+
+    step = 4.0 / (np.percentile(per_row(value.astype(np.float64) ** 2), 95) + 1)
+    w, b = np.zeros(n_features), 0.0
+    v_w, v_b = np.zeros(n_features), 0.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[feature] * value, n) + b, -40, 40)))
+        p = 1 / (1 + np.exp(-np.clip(per_row(w[feature] * value) + b, -40, 40)))
         g = weight * (p - y)
-        v_w = 0.9 * v_w - step * (np.bincount(feature, g[row] * value, len(scale)) + PENALTY / n * w)
-        v_b = 0.9 * v_b - step * g.sum()
+        v_w = 0.95 * v_w - step * (np.bincount(feature, np.repeat(g, sizes) * value, n_features) + PENALTY / n * w)
+        v_b = 0.95 * v_b - step * g.sum()
         w, b = w + v_w, b + v_b
     return w, b
 

@@ -32,6 +32,7 @@ def test_stages(spark):
     left = {r["doc_id"] for r in kept.collect()}
     all_ids = {r["doc_id"] for r in docs.collect()}
     assert len(all_ids - left - toxic) <= 0.03 * len(all_ids)
+    assert len(toxic & all_ids - left) >= 0.7 * len(toxic & all_ids)   # ten toxic texts to learn from
 
     exact = steps["exact_dedup"](spark, kept, SF).cache()
     want = {}
@@ -57,3 +58,12 @@ def test_stages(spark):
         assert got["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
     assert not out
     assert C.run(spark, SF).count() == clean.count()
+
+
+def test_toxic_documents_go(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    left = {r["doc_id"] for r in dict(C.STAGES)["toxicity"](spark, docs, sf).select("doc_id").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    toxic, clean = ({i for i, t in labels.items() if t == which} for which in (1, 0))
+    assert len(toxic - left) >= 0.93 * len(toxic) and len(clean & left) >= 0.98 * len(clean)
