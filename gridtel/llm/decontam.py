@@ -8,8 +8,9 @@ once.  Word positions map back to character offsets of the original text.
 The benchmark is sent to the executors in blocks of at most ``block_windows`` windows: its size is checked, and a
 larger one is scanned in several passes whose hits are united per document.
 
-Cases: null texts have no words; items with a null id or no words have no windows; rows repeating an item id count
-as one item; repeated documents are judged each on their own; an empty benchmark leaves every document clean;
+Cases: null texts have no words; items without words have no windows; words inside the windows of an item with a null
+id are hit, but there is no id to count or list; rows repeating an item id count as one item; repeated documents are
+judged each on their own; a text of any length is one row, read once; an empty benchmark leaves every document clean;
 empty tables give an empty result; other columns are ignored.
 """
 from __future__ import annotations
@@ -44,7 +45,7 @@ def windows(words: list[bytes], size: int = WINDOW) -> list[tuple[bytes, ...]]:
 
 def blocks(benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> Iterator[list]:
     """Blocks of (item id as text, windows), each with at most ``block_windows`` windows; one block in memory at a time."""
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()) \
+    items = benchmark.where(F.col("text").isNotNull()) \
         .select(F.col("item_id").cast("string").alias("item_id"), "text")
     block, held = [], 0
     for row in items.toLocalIterator():
@@ -66,7 +67,7 @@ class Automaton:
     def __init__(self, block: list):
         import ahocorasick
         self.chars: dict[bytes, str] = {}
-        owners: dict[str, list[str]] = {}
+        owners: dict[str, list[str | None]] = {}
         for item, item_windows in block:
             for w in item_windows:
                 key = "".join(self._char(word) for word in w)
@@ -89,11 +90,11 @@ class Automaton:
         get = self.chars.get
         coded = "".join([get(w, OTHER) for w in words])
         ranges: list[tuple[int, int]] = []
-        items: set[str] = set()
+        items: set[str | None] = set()
         for end, (length, owners) in self.matches(coded):
             ranges.append((end + 1 - length, end + 1))
             items.update(owners)
-        return united(ranges), sorted(items)
+        return united(ranges), sorted(items - {None})
 
 
 _AUTOMATA: dict[str, Automaton] = {}
@@ -167,12 +168,14 @@ def contaminated() -> F.Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """One row per document: its words, hit words, the items found, their digest, and the verdict."""
-    found = annotate(documents(docs), benchmark, ["doc_id"], offsets=False, **options)
+    """One row per document: its words, hit words, the items found, their digest, the verdict, and the hit passages as
+    ``start:end`` code points of the original text, comma-joined."""
+    found = annotate(documents(docs), benchmark, ["doc_id"], **options)
     return found.select("doc_id", F.col(N_WORDS).alias("n_words"), n_hit().alias("n_hit"),
                         F.size(ITEMS).cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", ITEMS), 256).alias("items_sha256"),
-                        contaminated().alias("contaminated"))
+                        contaminated().alias("contaminated"),
+                        F.array_join(F.transform(HITS, lambda h: F.concat_ws(":", h["start"], h["end"])), ",").alias("passages"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -1,20 +1,22 @@
 """Licence scan by a positional index of rare licence words, in DataFrame functions only.
 
 One pass over the texts keeps, per document, the positions of licence words (the index).  Their document
-frequencies over the whole corpus give each word's IDF.  The highest-IDF words of a template are its anchors; all
-of a file's anchor words are looked up, so no phrase can be missed.  Every (word position - template position) is an alignment of
-the file with a template; alignments on which at least two anchors agree are candidates, the template's key phrase
-must stand there word for word, and the score is the IDF-weighted share of the template's words found in place.
+frequencies over the whole corpus give each word's IDF.  The highest-IDF words of a template are its anchors, and only
+a file's anchor words are looked up in the postings.  Every (word position - template position) is an alignment of
+the file with a template; alignments on which at least two anchors agree are candidates.  Only these are verified
+against the places of all licence words in their file: the template's key phrase must stand there word for word, and the score
+is the IDF-weighted share of the template's words found in place.
 
 Base phrases are templates whose every word is mandatory.  Their places are counted; a label of the other templates
 needs a score of ``ACCEPT`` as well.  A document's score is the best one over its candidates whose key phrase stands.
 
 Cases: a null text counts as empty; repeated rows are scanned each on their own; a document without licence words
-has no labels and score 0; an empty table gives an empty result; other columns are ignored.
+has no labels and score 0; a text of any length is one row with the places of its licence words; an empty table gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +82,8 @@ def vocabulary() -> list[str]:
 
 def index(docs: DataFrame) -> DataFrame:
     """Per document a row number, its words and the places of licence words in it."""
-    # U+212A is the one character beyond ASCII that lower() turns into an ASCII letter; any other one keeps the words
-    lowered = F.lower(F.replace(F.col("text"), F.lit("K"), F.lit("Å")))
+    # lower() would also change letters beyond ASCII, U+212A even into an ASCII one
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     words = documents(docs).select("doc_id", F.regexp_extract_all(lowered, F.lit(WORD_PATTERN), F.lit(0)).alias("words"))
     placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
                       lambda h: h["word"].isin(vocabulary()))
@@ -98,35 +100,59 @@ def idf(indexed: DataFrame) -> dict[str, float]:
     return {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary()}
 
 
-def postings(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
-    """The index of the templates: word -> template, position, weight and role."""
-    rows = []
+def weighted_templates(weight: dict[str, float]) -> list[dict]:
+    """Templates with each word's share of the weight and whether it is an anchor."""
+    out = []
     for t, template in enumerate(templates()):
         words = template["words"]
         rare = set(sorted({w for _, w, _ in words}, key=lambda w: (-weight[w], w))[:ANCHORS])
         total = sum(weight[w] for _, w, _ in words)
-        needed = min(2, sum(w in rare for _, w, _ in words))
-        for q, w, key in words:
-            rows.append((w, t, template["label"], template["base"], q, weight[w] / total, int(w in rare), int(key),
-                         sum(k for _, _, k in words), needed, words[0][0]))
-    values = ", ".join(f"('{w}', {t}, '{label}', {str(base).lower()}, {q}, {share!r}D, {a}, {k}, {n_key}, {needed}, {head})"
-                       for w, t, label, base, q, share, a, k, n_key, needed, head in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS p(word, template, label, base, position, share, anchor, is_key, "
-                     "key_words, needed, head)")
+        out.append({**template, "template": t, "head": words[0][0], "needed": min(2, sum(w in rare for _, w, _ in words)),
+                    "words": [(q, w, k, w in rare, weight[w] / total) for q, w, k in words]})
+    return out
 
 
-def alignments(indexed: DataFrame, weight: dict[str, float]) -> DataFrame:
-    """Candidate places of templates: row, template, label, first word, score; the key phrase stands in all of them."""
-    places = indexed.where(F.size("places") > 0).select("row", F.explode("places").alias("p")) \
+def postings(spark: SparkSession, weighted: list[dict]) -> DataFrame:
+    """The index of the templates: anchor word -> template and position."""
+    values = ", ".join(f"('{w}', {t['template']}, {q}, {t['needed']})"
+                       for t in weighted for q, w, _, anchor, _ in t["words"] if anchor)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS p(word, template, position, needed)")
+
+
+def template_table(spark: SparkSession, weighted: list[dict]) -> DataFrame:
+    """Per template its label, role and words by position, for the verification."""
+    values = ", ".join(
+        f"({t['template']}, '{t['label']}', {str(t['base']).lower()}, {t['head']}, array(" +
+        ", ".join(f"named_struct('position', {q}, 'word', '{w}', 'share', {share!r}D, 'key', {str(key).lower()})"
+                  for q, w, key, _, share in t["words"]) + "))" for t in weighted)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(template, label, base, head, wording)")
+
+
+def candidates(indexed: DataFrame, weighted: list[dict]) -> DataFrame:
+    """(row, origins): per document the (template, origin) alignments on which enough anchor words agree."""
+    rare = sorted({w for t in weighted for _, w, _, anchor, _ in t["words"] if anchor})
+    places = indexed.select("row", F.explode(F.filter("places", lambda h: h["word"].isin(rare))).alias("p")) \
         .select("row", F.col("p.word").alias("word"), F.col("p.at").alias("at"))
-    # the postings are as many rows as the templates have words: a fixed size
-    lined_up = places.join(F.broadcast(postings(indexed.sparkSession, weight)), "word") \
+    # the postings are as many rows as the templates have anchors: a fixed size
+    return places.join(F.broadcast(postings(indexed.sparkSession, weighted)), "word") \
         .groupBy("row", "template", (F.col("at") - F.col("position")).alias("origin")) \
-        .agg(F.first("label").alias("label"), F.first("base").alias("base"), F.sum("share").alias("score"),
-             F.sum("anchor").alias("anchors"), F.sum("is_key").alias("keys"), F.first("key_words").alias("key_words"),
-             F.first("needed").alias("needed"), F.first("head").alias("head"))
-    return lined_up.where((F.col("keys") == F.col("key_words")) & (F.col("anchors") >= F.col("needed"))) \
-        .select("row", "template", "label", "base", (F.col("origin") + F.col("head")).alias("first_word"), "score")
+        .agg(F.count(F.lit(1)).alias("anchors"), F.first("needed").alias("needed")) \
+        .where(F.col("anchors") >= F.col("needed")).select("row", "template", "origin")
+
+
+def alignments(indexed: DataFrame, weight: dict[str, float]) -> DataFrame:
+    """Verified places of templates: row, template, label, first word, score; the key phrase stands in all of them."""
+    weighted = weighted_templates(weight)
+    spark = indexed.sparkSession
+    found = F.filter("wording", lambda w: F.element_at("at", w["position"] + F.col("origin")) == w["word"])
+    keys = F.size(F.filter("wording", lambda w: w["key"]))
+    # places as a map: one lookup per template word; the templates are a fixed number of rows
+    where = indexed.select("row", F.map_from_entries(F.transform("places", lambda h: F.struct(h["at"], h["word"]))).alias("at"))
+    return candidates(indexed, weighted).join(where, "row").join(F.broadcast(template_table(spark, weighted)), "template") \
+        .select("row", "template", "label", "base", "origin", "head", keys.alias("keys"), found.alias("found")) \
+        .where(F.size(F.filter("found", lambda w: w["key"])) == F.col("keys")) \
+        .select("row", "template", "label", "base", (F.col("origin") + F.col("head")).alias("first_word"),
+                F.aggregate("found", F.lit(0.0), lambda total, w: total + w["share"]).alias("score"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -113,12 +113,13 @@ QUERIES = {f.__name__: f for f in (
     op11_quality, op12_fill_in_middle, op13_word_runs)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD_CLASS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"  # any case: a word keeps its place when A-Z are lower-cased
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
 def _decontamination_sql() -> str:
     return f"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+WITH d AS (SELECT doc_id, text, row_number() OVER () AS r, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
 bw AS (SELECT item_id, least(len(w), 13) AS k, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i, w FROM b WHERE len(w) > 0),
 win AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM bw),
@@ -126,13 +127,23 @@ sizes AS (SELECT DISTINCT k FROM win),
 starts AS (SELECT r, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, sizes WHERE len(w) >= k),
 grams AS (SELECT r, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM starts),
 hits AS (SELECT grams.r, grams.k, grams.i, win.item_id FROM grams JOIN win USING (k, g)),
-covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+places AS (SELECT DISTINCT r, unnest(range(i, i + k)) AS p FROM hits),
+covered AS (SELECT r, count(*) AS n_hit FROM places GROUP BY r),
+pieces AS (SELECT r, unnest(z) AS piece, unnest(range(1, len(z) + 1)) AS o FROM (
+    SELECT r, regexp_extract_all(text, '{_WORD_CLASS}+|[^{_WORD_CLASS[1:-1]}]+') AS z FROM d SEMI JOIN covered USING (r))),
+spots AS (SELECT r, sum(length(piece)) OVER w - length(piece) AS a, sum(length(piece)) OVER w AS b,
+                 regexp_matches(piece, '^{_WORD_CLASS}') AS is_word, count(*) FILTER (is_word) OVER w AS p
+          FROM pieces WINDOW w AS (PARTITION BY r ORDER BY o)),
+joined AS (SELECT r, min(a) AS a, max(b) AS b FROM (
+    SELECT r, a, b, p - row_number() OVER (PARTITION BY r ORDER BY p) AS island FROM spots JOIN places USING (r, p) WHERE is_word)
+    GROUP BY r, island),
+passages AS (SELECT r, string_agg(a || ':' || b, ',' ORDER BY a) AS passages FROM joined GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)"""
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(passages, '') AS passages
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r) LEFT JOIN passages USING (r)"""
 
 
 def _license_sql() -> str:

@@ -19,16 +19,20 @@ def brute(text, items, size=13):
     w, hit, found = words(text), set(), set()
     for item, t in items:
         x = words(t)
-        if item is None or not x:
+        if not x:
             continue
         k = min(size, len(x))
         for wnd in {tuple(x[i:i + k]) for i in range(len(x) - k + 1)}:
             for i in range(len(w) - k + 1):
                 if tuple(w[i:i + k]) == wnd:
                     hit.update(range(i, i + k))
-                    found.add(str(item))
+                    if item is not None:
+                        found.add(str(item))
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-    return len(w), len(hit), len(found), digest, len(hit) > 0 and 20 * len(hit) >= len(w)
+    at = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
+    ends = [i for i in sorted(hit) if i + 1 not in hit]
+    passages = ",".join(f"{at[a][0]}:{at[b][1]}" for a, b in zip([i for i in sorted(hit) if i - 1 not in hit], ends))
+    return len(w), len(hit), len(found), digest, len(hit) > 0 and 20 * len(hit) >= len(w), passages
 
 
 def case(seed=7):
@@ -54,6 +58,20 @@ def test_against_brute_force(spark, block_windows):
     assert sorted(out, key=str) == sorted([(i, *brute(t, items)) for i, t in docs], key=str)
 
 
+def test_items_without_an_id_hit_words(spark):
+    d = spark.createDataFrame([(1, "alpha beta gamma delta")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, "beta gamma"), (7, "nowhere")], "item_id long, text string")
+    got = D.contamination(d, b).collect()[0]
+    assert (got.n_hit, got.n_items, got.contaminated, got.passages) == (2, 0, True, "6:16")
+
+
+def test_a_very_long_text(spark):
+    b = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    text = "gamma " * 200_000 + "alpha beta"
+    got = D.contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), b).collect()[0]
+    assert (got.n_words, got.n_hit, got.contaminated, got.passages) == (200_002, 2, False, "1200000:1200010")
+
+
 def test_offsets_map_to_the_original(spark):
     b = spark.createDataFrame([(1, "alpha BETA gamma")], "item_id long, text string")
     text = "É! Alpha, beta\ngamma; rest"

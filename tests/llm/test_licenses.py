@@ -28,7 +28,7 @@ def test_base_places(spark):
 
 
 def test_notices(spark):
-    texts = [n for _, n, _ in L.NOTICES] + ["plain prose of any kind"] * 30
+    texts = [n.upper() if i % 2 else n for i, (_, n, _) in enumerate(L.NOTICES)] + ["plain prose of any kind"] * 30
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = {r["doc_id"]: r for r in L.scan(docs).collect()}
     for i, (label, _, _) in enumerate(L.NOTICES):
@@ -36,6 +36,12 @@ def test_notices(spark):
     assert out[len(texts) - 1]["labels"] == "" and out[len(texts) - 1]["score"] == 0
 
 
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "MIT licence " * 100_000 + "MIT License"), (2, "mit license " * 20_000)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in L.scan(docs).collect()}
+    assert (out[1]["n_base"], out[1]["first_word"]) == (1, 200_000) and (out[2]["n_base"], out[2]["last_word"]) == (20_000, 39_998)
+
+
 def test_no_python_in_the_plan_and_empty_table(spark, capsys):
     docs = spark.sql("SELECT 1L AS doc_id, 'cc by' AS text")
     L.scan(docs).explain("formatted")
