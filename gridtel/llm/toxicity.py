@@ -42,6 +42,7 @@ FILTER_BITS = 1 << 26
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 4000
 PENALTY = 30.0
+PART_ROWS = 500     # rows of the fit that are worked on together
 FOLDS = 5
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0x9E3779B9], np.uint32)
@@ -238,67 +239,74 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     weight = np.zeros(1 << BITS, np.float32)
     if known.toxic_texts in (0, known.texts):
         return Model(weight, 0.0, constant=float(known.toxic_texts > 0))
-    rows = _features(training_rows(docs, judged, toxic_rows, clean_rows), known)
+    rows = _known_slots(training_rows(docs, judged, toxic_rows, clean_rows), known)
     scale = scales(known.n, known.toxic, known.texts, known.toxic_texts)
-    found, value = ([np.frombuffer(r[c], kind) for r in rows] for c, kind in (("slot", "<u4"), ("value", "<f4")))
-    coefficient, bias = logistic(found, value, np.array([r["toxic"] for r in rows], float), len(scale))
+    y = np.array([r["toxic"] for r in rows], float)
+
+    def parts():
+        """Consecutive rows with their slots and values; a row's own text is taken out of the counts behind its values."""
+        for i in range(0, len(rows), PART_ROWS):
+            found = [np.frombuffer(r["slot"], "<i4") for r in rows[i:i + PART_ROWS]]
+            own = [scales(known.n[f] - 1, known.toxic[f] - t, known.texts - 1, known.toxic_texts - t)
+                   for f, t in zip(found, y[i:i + PART_ROWS].astype(np.int64))]
+            yield np.concatenate(found), np.concatenate(own), np.array([len(f) for f in found])
+
+    parts = list(parts())
+    del rows
+    coefficient, bias = logistic(parts, y, len(scale))
     seen = np.zeros(len(scale), bool)
-    for f in found:
-        seen[f] = True
+    for feature, _, _ in parts:
+        seen[feature] = True
     if seen.any():
         coefficient[~seen] = coefficient[seen].mean()
     weight[known.cell] = coefficient * scale
     return Model(weight, bias)
 
 
-def _features(rows: DataFrame, known: Known) -> list:
-    """The sampled rows, by doc_id, with the slots of their known cells and the scales of these, packed; as bounded as the sample.
-
-    A row's own text is taken out of the counts behind its scales, as the texts to be scored are not in them either.
-    """
+def _known_slots(rows: DataFrame, known: Known) -> list:
+    """The sampled rows, by doc_id, with the slots of their known cells, packed; as bounded as the sample."""
     small_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast((known.slots(), known))
+    shared = rows.sparkSession.sparkContext.broadcast(known.slots())
 
     def run(batches):
-        slots, k = shared.value
         for batch in batches:
-            found, values = [], []
-            for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
-                f = slots[grams(text)]
-                f = np.unique(f[f >= 0])
-                found.append(f.astype("<u4").tobytes())
-                values.append(scales(k.n[f] - 1, k.toxic[f] - toxic, k.texts - 1, k.toxic_texts - toxic).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(found, pa.binary()), pa.array(values, pa.binary())],
-                                             ["doc_id", "toxic", "slot", "value"])
+            found = [shared.value[grams(text)] for text in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["toxic"], pa.array([np.unique(f[f >= 0]).astype("<i4").tobytes() for f in found], pa.binary())],
+                ["doc_id", "toxic", "slot"])
 
-    return sorted(rows.mapInArrow(run, "doc_id long, toxic int, slot binary, value binary").collect(), key=lambda r: r["doc_id"])
+    return sorted(rows.mapInArrow(run, "doc_id long, toxic int, slot binary").collect(), key=lambda r: r["doc_id"])
 
 
-def logistic(found: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, n_features: int, steps: int = 150):
+def logistic(parts: list[tuple], y: np.ndarray, n_features: int, steps: int = 150):
     """L2-penalized logistic regression of ``y`` (0 or 1); both labels weigh the same in total.
 
-    ``found`` lists each row's features, ``values`` their values.  Gradient descent with momentum on the mean loss; the
-    step is bounded by the largest rows' squared norm.
+    ``parts`` lists consecutive rows: their features one after the other, the values of these, and how many each row
+    has.  Gradient descent with momentum on the mean loss; the step is bounded by the largest rows' squared norm.
     """
-    n, sizes = len(found), np.array([len(f) for f in found])
+    n = len(y)
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1 / n), 0.5 / max(1 - y.mean(), 1 / n)) / n
-    feature, value, some = np.concatenate(found), np.concatenate(values), sizes > 0
-    starts = (np.cumsum(sizes) - sizes)[some]
+    ends = np.cumsum([len(sizes) for _, _, sizes in parts])
+    bounds = [slice(b - len(sizes), b) for b, (_, _, sizes) in zip(ends.tolist(), parts)]
 
-    def per_row(x):
-        out = np.zeros(n)
+    def per_row(x, sizes):
+        out, some = np.zeros(len(sizes)), sizes > 0
         if some.any():
-            out[some] = np.add.reduceat(x, starts)
+            out[some] = np.add.reduceat(x, (np.cumsum(sizes) - sizes)[some])
         return out
 
-    step = 4.0 / (np.percentile(per_row(value.astype(np.float64) ** 2), 95) + 1)
+    norm = np.concatenate([per_row(value.astype(np.float64) ** 2, sizes) for _, value, sizes in parts])
+    step = 4.0 / (np.percentile(norm, 95) + 1)
     w, b = np.zeros(n_features), 0.0
     v_w, v_b = np.zeros(n_features), 0.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(per_row(w[feature] * value) + b, -40, 40)))
-        g = weight * (p - y)
-        v_w = 0.95 * v_w - step * (np.bincount(feature, np.repeat(g, sizes) * value, n_features) + PENALTY / n * w)
-        v_b = 0.95 * v_b - step * g.sum()
+        gradient, total = PENALTY / n * w, 0.0
+        for rows, (feature, value, sizes) in zip(bounds, parts):
+            p = 1 / (1 + np.exp(-np.clip(per_row(w[feature] * value, sizes) + b, -40, 40)))
+            g = weight[rows] * (p - y[rows])
+            gradient += np.bincount(feature, np.repeat(g, sizes) * value, n_features)
+            total += g.sum()
+        v_w, v_b = 0.95 * v_w - step * gradient, 0.95 * v_b - step * total
         w, b = w + v_w, b + v_b
     return w, b
 
