@@ -33,7 +33,11 @@ def raw_records(first: DataFrame, source: str = "mqtt", extra=()) -> DataFrame:
 
 def measurements(first: DataFrame, extra=()) -> DataFrame:
     """S5 + U2 + P7: first row per (unit, instant), state recomputed."""
-    m = keep_first(first, ["transformer_id", "ts"], FIRST_ORDER)
-    return m.select("transformer_id", "ts", "load_percent", "ambient_temperature_c", "oil_temperature_c",
-                    "winding_temperature_c", "oil_level_percent", "current_a", "voltage_kv",
-                    classify_state().alias("state"), F.col("received_at").alias("ingested_at"), *extra)
+    return as_measurements(keep_first(first, ["transformer_id", "ts"], FIRST_ORDER), extra)
+
+
+def as_measurements(rows: DataFrame, extra=()) -> DataFrame:
+    """Accepted rows in the columns of the measurement table, state recomputed."""
+    return rows.select("transformer_id", "ts", "load_percent", "ambient_temperature_c", "oil_temperature_c",
+                       "winding_temperature_c", "oil_level_percent", "current_a", "voltage_kv",
+                       classify_state().alias("state"), F.col("received_at").alias("ingested_at"), *extra)

@@ -769,8 +769,8 @@ def q_replay(spark, sf_dir):
 
 @register("stream_ingest", P("SELECT * FROM meas"))
 def q_stream_ingest(spark, sf_dir):
-    """Envelope files landed year by year in receive order, each landing ingested by a
-    bounded run of the same Structured Streaming query, then a redelivery; equals the batch measurements."""
+    """Envelope files landed year by year in receive order, then a redelivery, ingested by one run of the
+    Structured Streaming query, a landing per micro-batch; equals the batch measurements."""
     from ..streaming import ingest as stream
     L = Layers(spark, sf_dir)
     landing, out = _scratch(spark, "landing"), _scratch(spark, "bronze")
@@ -782,10 +782,10 @@ def q_stream_ingest(spark, sf_dir):
     landings = [received.eqNullSafe(F.lit(y)) | (received.isNull() if i == 0 else F.lit(False)) for i, y in enumerate(years)]
     landings.append(F.xxhash64("payload") % 20 == 0)  # delivered again
     for i, rows in enumerate(landings):
-        env.filter(rows).write.json(f"{landing}/{i:04d}")
-        # all files of a landing are one micro-batch, so the first delivery in it is decided by receive time
-        stream.start_ingest(spark, landing + "/*", ids, out, checkpoint=out + "-checkpoint",
-                            max_files_per_trigger=1_000_000).awaitTermination()
+        # a landing is one file, so a micro-batch holds it whole and its first delivery is decided by receive time
+        env.filter(rows).coalesce(1).write.json(f"{landing}/{i:04d}")
+    stream.start_ingest(spark, landing + "/*", ids, out, checkpoint=out + "-checkpoint", max_files_per_trigger=1,
+                        buckets=4, slice_seconds=86_400).awaitTermination()
     env.unpersist()
     ids.unpersist()
     return stream.read_tables(spark, out)["measurements"].drop(*stream.PARTS)

@@ -129,13 +129,16 @@ def test_other_read_errors_are_raised(spark, scratch):
 
 def test_a_batch_of_one_day_is_written_by_several_tasks(spark, scratch):
     from gridtel.streaming import ingest as stream
-    df = spark.range(2000).selectExpr("id", "date'2026-01-01' as event_date")
+    df = spark.range(2000).selectExpr("id", "date'2026-01-01' as event_date") \
+        .unionByName(spark.range(10).selectExpr("id", "date'2026-01-02' as event_date"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if the batch were large
     try:
-        stream.write_partitions(df, scratch + "/t", "run", 0)
+        stream.write_partitions(df, scratch + "/t", "run", 0, rows_per_file=100)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(spark.read.parquet(scratch + "/t").inputFiles()) > 4
+    files = spark.read.parquet(scratch + "/t").inputFiles()
+    assert sum("2026-01-01" in f for f in files) > 4 and sum("2026-01-02" in f for f in files) == 1
+    assert spark.read.parquet(scratch + "/t").count() == 2010
 
 
 def test_mistyped_replay_lines(spark, scratch):
@@ -168,3 +171,97 @@ def test_backfill_twice_stores_once(spark, scratch):
     tables = stream.read_tables(spark, scratch + "/out")
     assert tables["raw"].count() == L.raw.count() and tables["measurements"].count() == L.measurements.count()
     assert runs[0] == {"transformers": L.registry.count(), "raw": L.raw.count(), "measurements": L.measurements.count()}
+
+
+def _land(spark, landing, name, rows):
+    """One landing file of (unit, timestamp, load, receive time) messages."""
+    messages = [(f"transformers/{u}/telemetry", _line(transformer_id=u, timestamp=ts, load_percent=load), at) for u, ts, load, at in rows]
+    spark.createDataFrame(messages, "topic string, payload string, received_at string").coalesce(1).write.json(f"{landing}/{name}")
+
+
+def _counters(spark, out):
+    from gridtel.streaming import ingest as stream
+    return [r.asDict() for r in stream.read_tables(spark, out)["counters"].orderBy("run_id", "batch_id").collect()]
+
+
+UNITS = "transformer_id string"
+
+
+def test_redelivery_is_dropped_without_reading_bronze(spark, scratch, monkeypatch):
+    from gridtel.streaming import ingest as stream
+
+    def no_lookup(*a):
+        raise AssertionError("bronze was read")
+    monkeypatch.setattr(stream, "unseen", no_lookup)
+    ids = spark.createDataFrame([("TR-00001",), ("TR-00002",)], UNITS)
+    landing, out, ck = scratch + "/landing", scratch + "/bronze", scratch + "/ck"
+    first = [("TR-00001", f"2026-01-01T00:00:{i:02d}Z", 10.0 + i, "2026-01-01 00:01:00") for i in range(20)]
+    again = [(u, ts, 99.0, "2026-01-01 00:02:00") for u, ts, _, _ in first]
+    new = [("TR-00002", "2026-01-01T00:00:05Z", 30.0, "2026-01-01 00:02:00"), ("TR-00001", "2026-01-01T00:00:03+00:00", 40.0, "2026-01-01 00:02:00"),
+           ("TR-00009", "2026-01-01T00:00:05Z", 30.0, "2026-01-01 00:02:00"), ("TR-00002", "2026-01-01T00:00:05Z", 20.0, "2026-01-01 00:01:30")]
+    for name, rows in (("1", first), ("2", again + new), ("3", first)):   # every start finds the state of the one before
+        _land(spark, landing, name, rows)
+        stream.start_ingest(spark, landing + "/*", ids, out, checkpoint=ck, buckets=2).awaitTermination()
+    got = [(c["received"], c["accepted"], c["rejected"], c["stored"], c["duplicates"], c["looked_up"]) for c in _counters(spark, out)]
+    assert got == [(20, 20, 0, 20, 0, 0), (24, 23, 1, 2, 21, 0), (20, 20, 0, 0, 20, 0)]
+    tables = stream.read_tables(spark, out)
+    assert tables["raw"].count() == 22 and tables["measurements"].count() == 21
+    loads = {(r.transformer_id, r.ts.second): r.load_percent for r in tables["measurements"].collect()}
+    assert loads[("TR-00001", 3)] == 13.0 and loads[("TR-00002", 5)] == 20.0   # first by receive time
+
+
+def test_expired_state_falls_back_on_bronze(spark, scratch):
+    import time
+
+    from gridtel.streaming import ingest as stream
+    ids = spark.createDataFrame([("TR-00001",)], UNITS)
+    landing, out, ck = scratch + "/landing", scratch + "/bronze", scratch + "/ck"
+    early = [("TR-00001", "2026-01-01T00:00:01Z", 10.0, "2026-01-01 00:01:00"), ("TR-00001", "2026-01-01T00:00:02Z", 11.0, "2026-01-01 00:01:00")]
+    other = [("TR-00001", "2026-03-01T00:00:01Z", 12.0, "2026-03-01 00:01:00")]
+    late = early + [("TR-00001", "2026-01-01T00:00:03Z", 13.0, "2026-03-02 00:00:00"), ("TR-00001", "2026-01-01T00:00:02+00:00", 14.0, "2026-03-02 00:00:00")]
+    for name, rows in (("1", early), ("2", other), ("3", late), ("4", late)):
+        _land(spark, landing, name, rows)
+        stream.start_ingest(spark, landing + "/*", ids, out, checkpoint=ck, buckets=1, slice_seconds=86_400, horizon_ms=1).awaitTermination()
+        time.sleep(0.1)
+    got = [(c["stored"], c["duplicates"], c["looked_up"]) for c in _counters(spark, out)]
+    assert got[0] == (2, 0, 0) and got[1] == (1, 0, 0) and got[2] == (2, 2, 4) and got[3][:2] == (0, 4)
+    tables = stream.read_tables(spark, out)
+    assert tables["raw"].count() == 5 and tables["measurements"].count() == 4
+
+
+def test_registry_files_in_name_and_line_order(spark, scratch):
+    import os
+
+    from gridtel.plans.catalog import ADAPTER_ID_PATTERN
+    from gridtel.streaming.backfill import backfill
+    L = Layers(spark, SF)
+    row = L.registry.limit(1).toPandas()
+    os.makedirs(scratch + "/csv")
+
+    def put(name, impedances):
+        import pandas as pd
+        pd.concat([row.assign(impedance_percent=i) for i in impedances]).to_csv(f"{scratch}/csv/{name}", index=False)
+    put("part-0.csv", [9.0])                       # small, so Spark packs it behind the large one
+    put("part-1.csv", [5.0] * 199 + [6.5])
+    empty = spark.createDataFrame([(_line(transformer_id=row.transformer_id[0]),)], "value string")
+    empty.coalesce(1).write.text(scratch + "/dump")
+    registry, _ = backfill(spark, scratch + "/csv", scratch + "/dump", scratch + "/out", ADAPTER_ID_PATTERN)
+    assert [r.impedance_percent for r in registry.collect()] == [6.5]
+
+
+def test_undated_raw_records_are_stored_once(spark, scratch):
+    import json
+
+    from gridtel.plans.catalog import ADAPTER_ID_PATTERN
+    from gridtel.sources import files
+    from gridtel.streaming import ingest as stream
+    from gridtel.streaming.backfill import backfill
+    files.export_registry(Layers(spark, SF).registry, scratch + "/csv", "csv")
+    unit = Layers(spark, SF).registry.first().transformer_id
+    record = {"id": f"{unit}@yesterday", "transformer_id": unit, "schema_version": 1, "topic": "t", "source": "mqtt",
+              "received_at": "2026-01-01T00:00:00Z", "payload": {"timestamp": "yesterday"}}
+    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.text(scratch + "/dump1")
+    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.text(scratch + "/dump2")
+    for dump in ("/dump1", "/dump2"):
+        backfill(spark, scratch + "/csv", scratch + dump, scratch + "/out", ADAPTER_ID_PATTERN)
+    assert stream.read_tables(spark, scratch + "/out")["raw"].count() == 1
