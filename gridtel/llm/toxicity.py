@@ -39,8 +39,8 @@ ORDERS = (4, 5, 6)
 BITS = 23
 BLOCK = 4096             # cells that travel together
 FILTER_BITS = 1 << 26
-TOXIC_ROWS = 2000
-CLEAN_ROWS = 4000
+TOXIC_ROWS = 1500
+CLEAN_ROWS = 3000
 PENALTY = 30.0
 PART_ROWS = 500     # rows of the fit that are worked on together
 FOLDS = 5
@@ -65,18 +65,25 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    weight: np.ndarray    # per cell: coefficient times scale; float32
+    cell: np.ndarray      # cells with a weight, in order
+    weight: np.ndarray    # of these: coefficient times scale; float32
     bias: float
     constant: float | None = None
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def dense(self) -> np.ndarray:
+        """The weight of every cell; built where texts are scored, so that only the known cells travel."""
+        out = np.zeros(1 << BITS, np.float32)
+        out[self.cell] = self.weight
+        return out
+
+    def scores(self, texts: list[str | None], dense: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
         out = np.empty(len(texts))
         for i, text in enumerate(texts):
             cells = grams(text or "")
-            cells = np.unique(cells[self.weight[cells] != 0])
-            out[i] = self.weight[cells].astype(np.float64).sum() + self.bias
+            cells = np.unique(cells[dense[cells] != 0])
+            out[i] = dense[cells].astype(np.float64).sum() + self.bias
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
@@ -192,12 +199,6 @@ class Known:
     texts: int
     toxic_texts: int
 
-    def slots(self) -> np.ndarray:
-        """Cell -> its place among the known ones, or -1."""
-        out = np.full(1 << BITS, -1, np.int32)
-        out[self.cell] = np.arange(len(self.cell))
-        return out
-
 
 def known_cells(cells: DataFrame) -> Known:
     """The cells that have a scale; none where one of the labels is missing."""
@@ -236,9 +237,8 @@ def training_rows(docs: DataFrame, judged: DataFrame, toxic_rows: int, clean_row
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     judged = stored(judged_ids(labels), "toxicity-judged")
     known = known_cells(cell_counts(docs, judged))
-    weight = np.zeros(1 << BITS, np.float32)
     if known.toxic_texts in (0, known.texts):
-        return Model(weight, 0.0, constant=float(known.toxic_texts > 0))
+        return Model(known.cell, np.zeros(0, np.float32), 0.0, constant=float(known.toxic_texts > 0))
     rows = _known_slots(training_rows(docs, judged, toxic_rows, clean_rows), known)
     scale = scales(known.n, known.toxic, known.texts, known.toxic_texts)
     y = np.array([r["toxic"] for r in rows], float)
@@ -259,18 +259,19 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
         seen[feature] = True
     if seen.any():
         coefficient[~seen] = coefficient[seen].mean()
-    weight[known.cell] = coefficient * scale
-    return Model(weight, bias)
+    return Model(known.cell, (coefficient * scale).astype(np.float32), bias)
 
 
 def _known_slots(rows: DataFrame, known: Known) -> list:
     """The sampled rows, by doc_id, with the slots of their known cells, packed; as bounded as the sample."""
     small_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(known.slots())
+    shared = rows.sparkSession.sparkContext.broadcast(known.cell)
 
     def run(batches):
+        slots = np.full(1 << BITS, -1, np.int32)
+        slots[shared.value] = np.arange(len(shared.value))
         for batch in batches:
-            found = [shared.value[grams(text)] for text in batch["text"].to_pylist()]
+            found = [slots[grams(text)] for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["toxic"], pa.array([np.unique(f[f >= 0]).astype("<i4").tobytes() for f in found], pa.binary())],
                 ["doc_id", "toxic", "slot"])
@@ -317,9 +318,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        dense = shared.value.dense()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(shared.value.scores(batch["text"].to_pylist()), pa.float64())], ["doc_id", "score"])
+            scores = shared.value.scores(batch["text"].to_pylist(), dense)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return documents(docs).mapInArrow(run, "doc_id long, score double")
 
@@ -331,7 +333,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        dense = shared.value.dense()
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.scores(batch["text"].to_pylist()) < threshold, pa.bool_()))
+            yield batch.filter(pa.array(shared.value.scores(batch["text"].to_pylist(), dense) < threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -59,8 +59,9 @@ def test_counts_and_scores_against_brute_force(spark):
         got_toxic.update({r["block"] * T.BLOCK + k: int(b[k]) for k in np.flatnonzero(b)})
     assert got_n == n and got_toxic == toxic
     model = T.train(d, lab)
+    dense = model.dense()
     for r in T.score(d, model).collect():
-        z = [model.bias + sum(float(model.weight[c]) for c in {int(c) for c in T.grams(t or "")}) for i, t, _ in docs if i == r["doc_id"]]
+        z = [model.bias + sum(float(dense[c]) for c in {int(c) for c in T.grams(t or "")}) for i, t, _ in docs if i == r["doc_id"]]
         assert any(abs(r["score"] - 1 / (1 + np.exp(-x))) < 1e-9 for x in z)
 
 
@@ -108,7 +109,7 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string, score string")
     flipped = [(i, q, t if i is None or t is None or zlib.crc32(str(i).encode()) % 5 else 1 - t) for i, q, t in labels]
     a, b = (T.train(d, spark.createDataFrame(x, "doc_id long, quality int, toxic int")) for x in (labels, flipped))
-    assert np.array_equal(a.weight, b.weight) and a.bias == b.bias
+    assert np.array_equal(a.dense(), b.dense()) and a.bias == b.bias
 
 
 def test_wording_outside_the_sample_counts(spark):
@@ -122,7 +123,7 @@ def test_wording_outside_the_sample_counts(spark):
     chosen = [r["doc_id"] for r in sampled.collect()]
     n = next(i for i, x in enumerate(chosen) if x >= first)  # the sample ends before the first of the new wording
     model = T.train(d, lab, toxic_rows=max(n, 1) if n else 3)
-    assert (model.weight[T.grams("pathetic vermin")] > 0).all()
+    assert (model.dense()[T.grams("pathetic vermin")] > 0).all()
     out = {r["doc_id"]: r["score"] for r in T.score(d, model).collect()}
     assert all(out[i] >= 0.5 for i in range(first, first + 60))
     assert all((out[i] >= 0.5) == (i % 3 == 0) for i in range(120))
@@ -136,7 +137,7 @@ def test_repeated_rows_of_a_document_train_once(spark):
     judged = T.judged_ids(lab)
     assert T.training_rows(many, judged, 3000, 6000).count() == T.training_rows(once, judged, 3000, 6000).count()
     a, b = T.train(once, lab), T.train(many, lab)
-    assert np.allclose(a.weight, b.weight) and np.isclose(a.bias, b.bias)
+    assert np.allclose(a.dense(), b.dense()) and np.isclose(a.bias, b.bias)
 
 
 def test_one_label_only_and_empty(spark):
