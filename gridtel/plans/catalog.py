@@ -561,13 +561,24 @@ def _dq_tables(L: Layers) -> dict[str, DataFrame]:
             "dim_sensor": L.dim_sensor, "fact_transformer_measurement": L.fact}
 
 
+DQ_LAYERS = ("registry", "stg", "int", "dim_time", "dim_transformer", "dim_location", "fact")
+
+
+def _dq_stored(spark, sf_dir) -> dict[str, DataFrame]:
+    """The tables to check, each stored once so that a check pass reads files, not the whole build behind them."""
+    L = Layers(spark, sf_dir)
+    if not L.stored:
+        L.persist_to(_scratch(spark, "dq-layers"), DQ_LAYERS)
+    return _dq_tables(L)
+
+
 @register("orphan_facts", P("""
-SELECT f.transformer_key, f.time_key FROM fact f
-LEFT JOIN dim_transformer d ON d.transformer_key = f.transformer_key WHERE d.transformer_key IS NULL"""))
+SELECT transformer_key, time_key FROM fact
+WHERE transformer_key NOT IN (SELECT transformer_id FROM reg WHERE commissioning_year >= 1995)"""))
 def q_orphan_facts(spark, sf_dir):
-    """Facts without a design dimension row."""
+    """Facts without a design dimension row, once the designs from before 1995 have left the dimension."""
     L = Layers(spark, sf_dir)
-    return quality.orphan_facts(L.fact, L.dim_transformer)
+    return quality.orphan_facts(L.fact, L.dim_transformer.where("commissioning_year >= 1995"))
 
 
 # Predicates and value sets written out for the oracle, apart from the checks' own.
@@ -583,12 +594,15 @@ DQ_VALUES = {"state": "'CRITICAL', 'NORMAL', 'WARNING'", "state_recomputed": "'C
              "quality_flag": "'complete', 'incomplete'", "country": "'Brazil'"}
 
 
+DQ_SQL_TABLES = {"stg_telemetry": "stg", "int_telemetry": "int_tel", "transformers": "reg", "dim_time": "dim_time",
+                 "dim_transformer": "dim_transformer", "dim_location": "dim_location",
+                 "fact_transformer_measurement": "fact",
+                 "dim_sensor": "(VALUES ('load'),('ambient'),('oil_temperature'),('winding_temperature'),"
+                                  "('oil_level'),('current'),('voltage')) AS s(sensor_name)"}
+
+
 def _dq_sql() -> str:
-    tables = {"stg_telemetry": "stg", "int_telemetry": "int_tel", "transformers": "reg", "dim_time": "dim_time",
-              "dim_transformer": "dim_transformer", "dim_location": "dim_location",
-              "fact_transformer_measurement": "fact",
-              "dim_sensor": "(VALUES ('load'),('ambient'),('oil_temperature'),('winding_temperature'),"
-                            "('oil_level'),('current'),('voltage')) AS s(sensor_name)"}
+    tables = DQ_SQL_TABLES
     rows = []
     for c in quality.CHECKS:
         t = tables[c.table]
@@ -618,7 +632,7 @@ def _dq_sql() -> str:
 @register("dq_summary", _dq_sql())
 def q_dq_summary(spark, sf_dir):
     """The 45 data checks (20 silver, 25 gold) with failure counts."""
-    return quality.summary(_dq_tables(Layers(spark, sf_dir)))
+    return quality.summary(_dq_stored(spark, sf_dir))
 
 
 # --- similarity (K1-K4, L4, P12) ----------------------------------------------------------------
@@ -812,9 +826,40 @@ def q_similar_all(spark, sf_dir):
     return knn.similar_all(Layers(spark, sf_dir).registry, 5)
 
 
-@register("dq_failing_rows", P("""
+@register("dq_state_mismatch", P("""
 SELECT id, transformer_id, ts, state, state_recomputed FROM int_tel WHERE state IS DISTINCT FROM state_recomputed"""))
-def q_dq_failing_rows(spark, sf_dir):
-    """The failing rows a check stores — payload state differing from the recomputed state."""
+def q_dq_state_mismatch(spark, sf_dir):
+    """The failing rows of one check — payload state differing from the recomputed state."""
     check = next(c for c in quality.CHECKS if c.name == "assert_int_state_matches_recomputed")
     return quality.failing_rows(check, _dq_tables(Layers(spark, sf_dir)))
+
+
+def _dq_failures_sql() -> str:
+    """Failing keys of every check, each by a statement of its own."""
+    identity = {"stg_telemetry": "id", "int_telemetry": "id", "fact_transformer_measurement": "transformer_key || '|' || time_key"}
+    rows = []
+    for c in quality.CHECKS:
+        t = DQ_SQL_TABLES[c.table]
+        key, where, having = f"CAST({c.column} AS VARCHAR)", "true", "HAVING count(*) > 0"
+        if c.kind in ("not_null", "expr"):
+            key = identity.get(c.table, "'NULL'")  # elsewhere only the key itself is checked
+            where = f"{c.column} IS NULL" if c.kind == "not_null" else DQ_PREDICATES[c.name]
+        elif c.kind == "unique":
+            where, having = f"{c.column} IS NOT NULL", "HAVING count(*) > 1"
+        elif c.kind == "unique_key":
+            key, having = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in c.columns), "HAVING count(*) > 1"
+        elif c.kind == "accepted_values":
+            where = f"{c.column} NOT IN ({DQ_VALUES[c.column]})"
+        else:
+            where = f"NOT EXISTS (SELECT 1 FROM {DQ_SQL_TABLES[c.parent]} pa WHERE pa.{c.parent_column} = ch.{c.column})" + \
+                (f" AND {c.column} IS NOT NULL" if c.kind == "relationships" else "")
+        source = t if t.startswith("(") else f"{t} ch"
+        rows.append(f"SELECT '{c.name}' AS check_name, '{c.layer}' AS layer, coalesce({key}, 'NULL') AS failing_key, count(*) AS n "
+                    f"FROM {source} WHERE {where} GROUP BY ALL {having}")
+    return P("\nUNION ALL ".join(rows))
+
+
+@register("dq_failing_rows", _dq_failures_sql())
+def q_dq_failing_rows(spark, sf_dir):
+    """What the failure store keeps of all 45 checks: the failing keys and how many rows have each."""
+    return quality.failures(_dq_stored(spark, sf_dir)).drop("row")

@@ -33,6 +33,7 @@ class Layers:
         self.now = now
         self.source = source
         base = _MATERIALIZED.get(sf_dir)
+        self.stored = bool(base)
         if base:
             for name in MATERIALIZED_LAYERS:
                 self.__dict__[name] = spark.read.parquet(f"{base}/{name}")
