@@ -6,21 +6,17 @@ transitions, M6 first-order thermal lag.
 
 Skew: transitions (M12) and the lag model (M6) are ordered per unit.  A
 unit may hold a third of all rows, so neither runs as one window or one
-pandas group per unit.  Rows are cut into (unit, time bucket) pieces; each
-piece is processed on its own and only a small per-bucket summary crosses
-bucket boundaries.
+pandas group per unit.  Transitions cut rows into (unit, time bucket) pieces;
+the lag model (``lag``) into pieces of about equal row count.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import params as P
 from ..functions.measures import (cooling_rise, exact_avg, hv_current, loaded_voltage, loss_ratio,
                                   round_half_up, top_oil_steady, winding_steady)
-from .segments import map_sorted_segments
+from .lag import thermal_lag  # noqa: F401 - M6 is one of the virtual sensors
 
 DESIGN_COLS = ("transformer_id", "rated_power_mva", "hv_voltage_kv", "cooling_type",
                "no_load_loss_kw", "load_loss_kw")
@@ -101,122 +97,3 @@ def state_transitions(df: DataFrame, key: str = "transformer_id", ts: str = "ts"
     out = out.filter(F.col("previous_state").isNotNull() & (F.col("previous_state") != F.col("state")))
     sev = F.when(F.col("state") == "NORMAL", F.lit("INFO")).otherwise(F.col("state"))
     return out.select(key, ts, "previous_state", "state", sev.alias("severity"))
-
-
-# --- M6 thermal lag -----------------------------------------------------------------------------
-
-LAG_SCHEMA = ("transformer_id string, ts timestamp, ambient_temperature_c double, load_percent double, "
-              "model_oil_c double, model_winding_c double")
-ROW_ORDER = ("ts", "load_percent", "ambient_temperature_c")
-
-
-def _coefficients(pdf: pd.DataFrame):
-    """Per row: oil y' = ao*y + bo ; winding w' = aw*w + (1-aw)*(y' + g)."""
-    t = pdf["ts"].astype("int64").to_numpy() / 1e9 if pdf["ts"].dtype.kind == "M" else \
-        pd.to_datetime(pdf["ts"]).astype("int64").to_numpy() / 1e9
-    seg = pdf["_seg_start"].to_numpy()
-    prev_ts = pd.to_datetime(pdf["_prev_ts"]).astype("int64").to_numpy() / 1e9
-    prev_ok = pdf["_prev_ts"].notna().to_numpy()
-    prev = np.empty_like(t)
-    prev[1:] = t[:-1]
-    prev[seg] = np.where(prev_ok[seg], prev_ts[seg], t[seg])
-    dt = np.maximum(t - prev, 0.0)
-    k = pdf["load_percent"].to_numpy() / 100.0
-    amb = pdf["ambient_temperature_c"].to_numpy()
-    r = pdf["loss_ratio"].to_numpy()
-    rise = pdf["oil_rise_c"].to_numpy()
-    grad = pdf["winding_grad_c"].to_numpy()
-    kp = np.maximum(k, 0.0)
-    oil_t = np.where(k <= 0, amb, amb + rise * ((1 + r * kp * kp) / (1 + r)) ** 0.8)
-    g = np.where(k <= 0, 0.0, grad * kp ** 1.6)
-    ao = np.exp(-dt / P.OIL_TIME_CONSTANT_S)
-    aw = np.exp(-dt / P.WINDING_TIME_CONSTANT_S)
-    return ao, (1 - ao) * oil_t, aw, g
-
-
-def _piece_maps(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One affine map per (unit, bucket): y_end = A y0 + B ; w_end = C w0 + D y0 + E."""
-    ao, bo, aw, g = _coefficients(pdf)
-    seg = pdf["_seg_start"].to_numpy()
-    n = len(ao)
-    ends = np.append(np.flatnonzero(seg)[1:] - 1, n - 1)
-    out = np.zeros((len(ends), 5))
-    j = 0
-    A = B = C = D = E = 0.0
-    for i in range(n):
-        if seg[i]:
-            A, B, C, D, E = 1.0, 0.0, 1.0, 0.0, 0.0
-        A, B = ao[i] * A, ao[i] * B + bo[i]
-        C, D, E = aw[i] * C, aw[i] * D + (1 - aw[i]) * A, aw[i] * E + (1 - aw[i]) * (B + g[i])
-        if i == ends[j]:
-            out[j] = (A, B, C, D, E)
-            j += 1
-    first = np.flatnonzero(seg)
-    return pd.DataFrame({"transformer_id": pdf["transformer_id"].to_numpy()[first],
-                         "_b": pdf["_b"].to_numpy()[first],
-                         "A": out[:, 0], "B": out[:, 1], "C": out[:, 2], "D": out[:, 3], "E": out[:, 4],
-                         "_first_amb": pdf["_first_amb"].to_numpy()[first]})
-
-
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per unit, in bucket order: the state entering each bucket."""
-    seg = pdf["_seg_start"].to_numpy()
-    A, B, C, D, E = (pdf[c].to_numpy() for c in "ABCDE")
-    amb = pdf["_first_amb"].to_numpy()
-    y0s = np.empty(len(pdf))
-    w0s = np.empty(len(pdf))
-    y = w = 0.0
-    for i in range(len(pdf)):
-        if seg[i]:
-            y = w = float(amb[i])
-        y0s[i], w0s[i] = y, w
-        y, w = A[i] * y + B[i], C[i] * w + D[i] * y0s[i] + E[i]
-    return pd.DataFrame({"transformer_id": pdf["transformer_id"], "_b": pdf["_b"], "_y0": y0s, "_w0": w0s})
-
-
-def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    ao, bo, aw, g = _coefficients(pdf)
-    seg = pdf["_seg_start"].to_numpy()
-    y0, w0 = pdf["_y0"].to_numpy(), pdf["_w0"].to_numpy()
-    ys = np.empty(len(ao))
-    ws = np.empty(len(ao))
-    y = w = 0.0
-    for i in range(len(ao)):
-        if seg[i]:
-            y, w = float(y0[i]), float(w0[i])
-        y = ao[i] * y + bo[i]
-        w = aw[i] * w + (1 - aw[i]) * (y + g[i])
-        ys[i], ws[i] = y, w
-    return pd.DataFrame({"transformer_id": pdf["transformer_id"], "ts": pdf["ts"],
-                         "ambient_temperature_c": pdf["ambient_temperature_c"],
-                         "load_percent": pdf["load_percent"], "model_oil_c": np.round(ys, 6),
-                         "model_winding_c": np.round(ws, 6)})
-
-
-def thermal_lag(measurements: DataFrame, registry: DataFrame, bucket: str = "day") -> DataFrame:
-    """M6: modelled top-oil and winding temperature per reading (first-order lags).
-
-    The state starts at the first reading's ambient temperature and moves
-    toward the steady targets with tau_oil = 90 min and tau_winding = 7 min
-    over the real gaps between readings.  Each step is affine in the state,
-    so a (unit, bucket) piece composes into one affine map; maps are chained
-    per unit over buckets (one row per bucket), then every piece replays its
-    rows from its carried-in state.  All three passes run as sorted-segment
-    ``mapInPandas`` jobs (many pieces per Arrow batch).
-    """
-    j = with_design(measurements, registry).select(
-        "transformer_id", "ts", "ambient_temperature_c", "load_percent", "loss_ratio", "oil_rise_c",
-        "winding_grad_c").withColumn("_b", F.date_trunc(bucket, "ts"))
-    bounds = j.groupBy("transformer_id", "_b").agg(
-        F.max("ts").alias("_last_ts"),
-        F.min_by("ambient_temperature_c", F.struct(*ROW_ORDER)).alias("_first_amb"))
-    w_b = Window.partitionBy("transformer_id").orderBy("_b")
-    bounds = bounds.withColumn("_prev_ts", F.lag("_last_ts").over(w_b)).drop("_last_ts")
-    pieces = j.join(bounds, ["transformer_id", "_b"])
-    keys = ["transformer_id", "_b"]
-    maps = map_sorted_segments(pieces, keys, ROW_ORDER, _piece_maps,
-                               "transformer_id string, _b timestamp, A double, B double, C double, D double, "
-                               "E double, _first_amb double")
-    starts = map_sorted_segments(maps, ["transformer_id"], ["_b"], _chain,
-                                 "transformer_id string, _b timestamp, _y0 double, _w0 double")
-    return map_sorted_segments(pieces.join(starts, keys), keys, ROW_ORDER, _replay, LAG_SCHEMA)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params as PARAMS
 from ..functions.timefmt import to_rfc3339
-from ..operators import analytics, contract, quality, registry, similarity
+from ..operators import analytics, contract, lag, quality, registry, similarity
 from ..operators.dedup import duplicate_keys, keep_latest
 from . import oracle as O
 from .layers import ADAPTER_ID_PATTERN, Layers
@@ -725,11 +725,14 @@ lag_run AS (
   FROM lag_run p JOIN lag_c c ON c.transformer_id = p.transformer_id AND c.rn = p.rn + 1)"""
 
 
-@register("thermal_lag", P("""
+LAG_SQL = P("""
 SELECT c.transformer_id, c.ts, c.ambient_temperature_c, c.load_percent, round(p.oil, 6) AS model_oil_c,
        round(p.winding, 6) AS model_winding_c
 FROM lag_run p JOIN lag_c c ON c.transformer_id = p.transformer_id AND c.rn = p.rn""",
-                           (REG_PHYS, LAG_STEPS)).replace("WITH ", "WITH RECURSIVE ", 1))
+            (REG_PHYS, LAG_STEPS)).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("thermal_lag", LAG_SQL)
 def q_thermal_lag(spark, sf_dir):
     """M6: modelled top-oil / winding temperatures with first-order thermal lags."""
     from ..operators import thermal
@@ -737,6 +740,25 @@ def q_thermal_lag(spark, sf_dir):
     return thermal.thermal_lag(L.measurements, L.registry)
 
 
+@register("thermal_lag_stream", LAG_SQL)
+def q_thermal_lag_stream(spark, sf_dir):
+    """M6 on a stream: measurements landed in three stretches of time, the model's state kept per unit between them."""
+    from ..streaming import lag_stream
+    L = Layers(spark, sf_dir)
+    landing, out = _scratch(spark, "lag-landing"), _scratch(spark, "lag-out")
+    rows = L.measurements.select("transformer_id", "ts", "ambient_temperature_c", "load_percent").persist()
+    span = rows.agg(F.min(F.year("ts")), F.max(F.year("ts"))).first()
+    third = max((span[1] - span[0]) // 3, 1) if span[0] is not None else 1
+    part = F.least(F.floor((F.year("ts") - F.lit(span[0] or 0)) / F.lit(third)), F.lit(2))
+    for i in range(3):
+        # one file is one micro-batch
+        rows.where(part == i).coalesce(1).write.parquet(f"{landing}/{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing + "/*")
+    lag_stream.start(spark, stream, L.registry, out, out + "-checkpoint").awaitTermination()
+    rows.unpersist()
+    return spark.read.schema(lag.LAG_SCHEMA).parquet(out)
+
+
 # --- anomaly (K6-K10, A17) ----------------------------------------------------------------------
 @register("anomalies")
 def q_anomalies(spark, sf_dir):

@@ -40,12 +40,12 @@ def brute_lag(m: pd.DataFrame, reg: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["transformer_id", "ts", "oil", "winding"])
 
 
-@pytest.mark.parametrize("bucket", ["day", "year"])
-def test_lag_matches_sequential(spark, layers, bucket):
+@pytest.mark.parametrize("pieces", [None, 1, 40])
+def test_lag_matches_sequential(spark, layers, pieces):
     m = layers.measurements.toPandas()
     reg = layers.registry.toPandas()
     exp = brute_lag(m, reg).set_index(["transformer_id", "ts"]).sort_index()
-    got = thermal.thermal_lag(layers.measurements, layers.registry, bucket).toPandas() \
+    got = thermal.thermal_lag(layers.measurements, layers.registry, pieces).toPandas() \
                  .set_index(["transformer_id", "ts"]).sort_index()
     assert len(got) == len(exp)
     assert np.allclose(got["model_oil_c"].to_numpy(), exp["oil"].to_numpy(), atol=1e-4)
@@ -71,10 +71,41 @@ def test_lag_with_tiny_arrow_batches(spark, layers):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        got = thermal.thermal_lag(layers.measurements, layers.registry, "year").toPandas() \
+        got = thermal.thermal_lag(layers.measurements, layers.registry, 3).toPandas() \
                      .set_index(["transformer_id", "ts"]).sort_index()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert len(got) == len(exp)
     assert np.allclose(got["model_oil_c"].to_numpy(), exp["oil"].to_numpy(), atol=1e-4)
     assert np.allclose(got["model_winding_c"].to_numpy(), exp["winding"].to_numpy(), atol=1e-4)
+
+
+def test_scan_against_a_loop():
+    from gridtel.operators.lag import scan
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 3, 64, 1000):
+        a, b = rng.uniform(0, 1, n), rng.normal(0, 50, n)
+        a[rng.uniform(size=n) < 0.1] = 0.0
+        want, y = [], 0.0
+        for i in range(n):
+            y = a[i] * y + b[i]
+            want.append(y)
+        assert np.allclose(scan(a, b), want, rtol=1e-12, atol=1e-9)
+
+
+def test_a_hot_unit_of_one_day_spreads_over_pieces(spark, layers):
+    """A unit whose rows all lie in one day is cut by row count, and the chained pieces equal one sequential run."""
+    from gridtel.operators import lag
+    unit = layers.registry.first().transformer_id
+    hot = spark.range(3000).selectExpr(f"'{unit}' AS transformer_id", "timestamp'2026-01-01' + make_dt_interval(0, 0, 0, id * 20) AS ts",
+                                       "10D + id % 17 AS ambient_temperature_c", "double(id % 140) AS load_percent")
+    rows = lag.pieces_of(hot, layers.registry, 8)
+    sizes = [r["count"] for r in rows.groupBy("piece").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 900
+    exp = brute_lag(hot.toPandas(), layers.registry.toPandas())
+    got = thermal.thermal_lag(hot, layers.registry, 8).orderBy("ts").toPandas()
+    assert np.allclose(got["model_oil_c"], exp["oil"], atol=1e-5) and np.allclose(got["model_winding_c"], exp["winding"], atol=1e-5)
+
+
+def test_lag_without_rows(spark, layers):
+    assert thermal.thermal_lag(layers.measurements.limit(0), layers.registry).count() == 0
