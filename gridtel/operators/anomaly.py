@@ -1,10 +1,9 @@
 """Isolation-Forest anomaly scoring over telemetry.
 
-Fit: a pool of at most ``trees x sample`` rows is chosen by a seeded hash
-of the row key (a hash-threshold filter, then a small top-N); the bounded
-pool goes to 16 ``applyInPandas`` groups, each growing its share of the
-trees; every tree draws ``sample`` pool rows without replacement from a
-generator seeded by (seed, tree) (random feature, uniform split between the
+Fit: every tree draws its ``sample`` rows without replacement from *all* rows, those with the smallest hash of (row key,
+seed, tree).  Only rows below a hash threshold that leaves each tree about four
+times its sample are handed on, so a tree's ``applyInPandas`` group stays that
+small at any input size; it grows the tree there (random feature, uniform split between the
 node's min and max, height limit ceil(log2 sample)).  The node table (at most
 trees x (2 x sample - 1) rows) is the only data brought to the driver; it
 goes to the executors as a broadcast variable.

@@ -161,6 +161,7 @@ INT = f"""int_tel AS (
 
 LOC_IDX = "CAST(CAST(('0x' || substr(md5(transformer_id), 1, 8)) AS UBIGINT) % 10 AS INTEGER)"
 
+# The lists of cities and vector groups in these statements are fixed values.
 GOLD = f"""fact AS (
   SELECT ts AS time_key, transformer_id AS transformer_key, transformer_id AS location_key,
          load_percent, ambient_temperature_c, oil_temperature_c, winding_temperature_c, oil_level_percent,

@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # operators on whole texts lower it for their own run; every query starts from this
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.ui.enabled": "false",
     # checkpoint files go when their DataFrame does
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
