@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_names():
     import __spark_entry__ as E
     assert [n for n, _ in C.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "bpe"]
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} <= set(range(1, 14))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
