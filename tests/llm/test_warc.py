@@ -3,6 +3,10 @@ import glob
 import gzip
 import hashlib
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from gridtel.llm import warc as W
 from gridtel.llm.common import scratch
 
@@ -42,7 +46,7 @@ def test_files_are_warc(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(1)
     path = scratch(spark, "warc-test")
     W.write_archive(W.records(pages), path)
-    data = gzip.open(glob.glob(path.removeprefix("file:") + "/*.gz")[0]).read()
+    data = b"".join(gzip.open(f).read() for f in glob.glob(path.removeprefix("file:") + "/*.gz"))
     n = 0
     while data:
         head, _, rest = data.partition(b"\r\n\r\n")
@@ -76,3 +80,48 @@ def test_last_record_ends_in_a_line_break(spark):
 
 def test_empty(spark):
     assert W.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_a_full_bitmap_changes_nothing(spark):
+    """One word of bits for thousands of revisits: nearly every response shares a bit with one and goes the exact way."""
+    rows = [(i, "u", LONG if i % 3 == 0 else f"{LONG} {i % 7000}") for i in range(20_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    heads = W.page_headers(pages).drop("payload")
+    again = W.revisits(heads)
+    bits = W.bitmap(again, W.WORD)
+    assert bits.count() == 1
+    plain = W.marked(heads, bits, W.WORD).where("hit").join(again.select("page_id"), "page_id", "left_anti").count()
+    assert plain > 1000
+    path = scratch(spark, "warc-test")
+    W.write_archive(W.records(pages, bits=W.WORD), path)
+    got = W.resolve(W.read_archive(spark, path).drop("payload")).collect()
+    seen, want = {}, set()
+    for page, _, html in rows:
+        first = seen.setdefault(html, page)
+        want.add((page, len(html), hashlib.sha256(html.encode()).hexdigest(), "response" if first == page else "revisit",
+                  None if first == page else first))
+    assert len(got) == len(rows) and set(map(tuple, got)) == want
+
+
+def test_one_page_ten_thousand_times(spark):
+    pages = spark.range(10_000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit(LONG).alias("html"))
+    out = W.round_trip(pages)
+    assert sorted((r["record_type"], r["n"], r["size"]) for r in out.groupBy("record_type").agg(
+        F.count("*").alias("n"), F.max("payload_bytes").alias("size")).collect()) == [("response", 1, 207), ("revisit", 9999, 207)]
+    assert out.where("refers_to = 0").count() == 9999
+
+
+def test_revisits_leave_their_payloads_behind(spark):
+    """No exchange of the writing plan carries payloads when no page shares a bit with a revisit."""
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    plan = W.records(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "LeftAnti" not in plan
+
+
+def test_a_revisit_without_its_response_is_an_error(spark):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    path = scratch(spark, "warc-test")
+    W.write_archive(W.records(pages), path)
+    parsed = W.read_archive(spark, path).drop("payload")
+    with pytest.raises(PySparkException, match="no response for the revisit"):
+        W.resolve(parsed.where("record_type = 'revisit'")).collect()
