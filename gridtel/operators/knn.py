@@ -1,7 +1,13 @@
 """Exact top-k similar designs for every unit, without all pairs.
 
 Scaled space: the standard scaler fitted on all units (notebook semantics),
-score = 1 / (1 + d) rounded half-even to 4 dp, ties by id.
+score = 1 / (1 + d) rounded half-even to 4 dp, ties by id.  With ``refit``
+the scaler is fitted anew for every target on the other units, as
+``similarity.similar_one`` does for one: mean and deviation of each target
+follow from the total n, sum and sum of squares less its own values, so no
+pass per target is needed.  The tree stays in the common space; a target sees
+it stretched by (common deviation / own deviation) in every dimension, and
+boxes stay boxes, so its distance to a box is exact.
 
 1. Identical designs collapse into one point per distinct feature vector
    with its unit count and its ``k + 1`` smallest ids (a salted two-level
@@ -13,7 +19,9 @@ score = 1 / (1 + d) rounded half-even to 4 dp, ties by id.
    every level are kept.  Lineage is cut after each level.
 3. Radius: inside its own leaf each point finds the distance covering
    ``k + 1`` units (itself included), widened to the largest distance that
-   still rounds to the same 4-dp score, so rounding ties are never lost.
+   still rounds to the same 4-dp score, so rounding ties are never lost.  In a
+   leaf with fewer units it is the distance to the farthest corner of the
+   smallest enclosing box with enough of them.
 4. Search: (point, node) pairs descend the tree from the root; a node is
    kept while the box's minimum distance is within the radius.  Surviving
    leaves give the only candidate pairs; the exact top ``k + 1`` units per
@@ -26,13 +34,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.measures import round_half_even
+from ..functions.measures import READING_SCALE, round_half_even
 from ..session import cut_lineage
-from .similarity import design_features, mean_std, wide_moments
+from .similarity import design_features, fixed, mean_std, scaled_distance, wide_moments
 
 EPS = 1e-9
 
@@ -53,14 +61,35 @@ def scaled_points(registry: DataFrame, features: Sequence[str] = P.DESIGN_FEATUR
     return j.select("transformer_id", *features, *cols)
 
 
-def _sqdist(a: str, b: str, zs: Sequence[str]):
+def _squares(gaps: Sequence[Column], refit: bool, of: str = "") -> Column:
+    """Sum of squared gaps per dimension; with ``refit`` in the scale of the target ``of`` (its ``w{i}``)."""
     acc = None
-    for z in zs:
-        d = F.col(f"{a}.{z}") - F.col(f"{b}.{z}")
-        acc = d * d if acc is None else acc + d * d
+    for i, g in enumerate(gaps):
+        g = g * F.col(f"{of}w{i}") if refit else g
+        acc = g * g if acc is None else acc + g * g
     return acc
 
 
+def _sqdist(a: str, b: str, zs: Sequence[str], refit: bool = False) -> Column:
+    return _squares([F.col(f"{a}.{z}") - F.col(f"{b}.{z}") for z in zs], refit, f"{a}.")
+
+
+def own_scalers(points: DataFrame, moments: DataFrame, features: Sequence[str], scale: int = READING_SCALE) -> DataFrame:
+    """``m{i}``, ``s{i}``: the scaler fitted on all units but one with the point's design; ``w{i}``: common / own deviation.
+
+    ``moments`` is one row (``wide_moments`` over all units).  With a single unit there are no others: the scaler is then
+    mean 0 and deviation 1, and no pair uses it.
+    """
+    j = points.withColumn("_k", F.lit(0)).join(F.broadcast(moments.withColumn("_k", F.lit(0))), "_k")
+    cols = []
+    for i, f in enumerate(features):
+        x, s1, s2 = fixed(f, scale), F.col(f"s1_{f}"), F.col(f"s2_{f}")
+        mean, std = mean_std(F.greatest(F.col("n") - 1, F.lit(1)), s1 - x, s2 - x * x, scale)
+        common = mean_std(F.col("n"), s1, s2, scale)[1]
+        cols += [mean.alias(f"m{i}"), std.alias(f"s{i}"), (common / std).alias(f"w{i}")]
+    return j.select(*[F.col(c) for c in points.columns], *cols)
+
+
 def distinct_points(units: DataFrame, features: Sequence[str], k: int, salt: int = 64) -> DataFrame:
     """One row per distinct design: ``vid``, coordinates, unit count, k+1 smallest ids."""
     zs = _z(features)
@@ -119,39 +148,56 @@ def build_tree(points: DataFrame, zs: Sequence[str], leaf_size: int, max_levels:
     return cut_lineage(leaf_df), cut_lineage(box_df)
 
 
-def similar_all(registry: DataFrame, k: int = 5, features: Sequence[str] = P.DESIGN_FEATURES,
-                leaf_size: int = 128) -> DataFrame:
-    """``target_id, rank, transformer_id, score`` — the exact top-k for every unit."""
-    zs = _z(features)
-    units = scaled_points(registry, features)
-    pts = distinct_points(units, features, k)
-    leaf_of, boxes = build_tree(pts, zs, max(leaf_size, 2 * (k + 1)))
-    p = pts.join(leaf_of, "vid").select("vid", "leaf", *zs, "cnt", "ids")
-    p = cut_lineage(p)
-    # 3. own-leaf radius covering k+1 units
+def search_radius(p: DataFrame, boxes: DataFrame, zs: Sequence[str], k: int, refit: bool = False) -> DataFrame:
+    """``vid, rad``: a distance within which every point (``p``: vid, leaf, coordinates, cnt) has ``k + 1`` units, itself included.
+
+    Infinite only when all points together are fewer than ``k + 1``.
+    """
     a, b = p.alias("a"), p.alias("b")
     own = (a.join(b, F.col("a.leaf") == F.col("b.leaf"))
            .select(F.col("a.vid").alias("vid"), F.col("b.cnt").alias("c"),
-                   F.sqrt(_sqdist("a", "b", zs)).alias("d")))
+                   F.sqrt(_sqdist("a", "b", zs, refit)).alias("d")))
     w = Window.partitionBy("vid").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = own.withColumn("cum", F.sum("c").over(w))
     r = own.filter(F.col("cum") >= k + 1).groupBy("vid").agg(F.min("d").alias("r"))
+    sparse = p.join(r, "vid", "left_anti")
+    # nodes are numbered 1, 2-3, 4-7, ...: the ancestors of a leaf are its number shifted right
+    up = sparse.withColumn("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(62)), lambda i: F.call_function(
+        "shiftright", F.col("leaf"), i)))).filter(F.col("node") > 0)
+    far = _squares([F.greatest(F.abs(F.col(z) - F.col(f"lo_{z}")), F.abs(F.col(f"hi_{z}") - F.col(z))) for z in zs], refit)
+    corner = up.join(boxes.filter(F.col("n") >= k + 1), "node").groupBy("vid").agg(F.min(F.sqrt(far)).alias("r"))
+    r = r.unionByName(corner)
     s_k = round_half_even(F.lit(1.0) / (F.lit(1.0) + F.col("r")), 4)
     lo_score = s_k - F.lit(0.00005)
     wide = F.when(lo_score <= 0, F.lit(float("inf"))).otherwise(F.lit(1.0) / lo_score - F.lit(1.0))
-    radius = p.select("vid", *zs).join(r, "vid", "left").select(
-        "vid", *zs, F.coalesce(F.greatest(wide, F.col("r")) * (1 + EPS) + EPS, F.lit(float("inf"))).alias("rad"))
-    radius = cut_lineage(radius)
+    return p.select("vid").join(r, "vid", "left").select(
+        "vid", F.coalesce(F.greatest(wide, F.col("r")) * (1 + EPS) + EPS, F.lit(float("inf"))).alias("rad"))
+
+
+def similar_all(registry: DataFrame, k: int = 5, features: Sequence[str] = P.DESIGN_FEATURES,
+                leaf_size: int = 128, refit: bool = False) -> DataFrame:
+    """``target_id, rank, transformer_id, score`` — the exact top-k for every unit.
+
+    ``refit``: the scaler of every target is fitted on the other units (as ``similar_one``), else once on all.
+    """
+    zs = _z(features)
+    units = scaled_points(registry, features)
+    pts = distinct_points(units, features, k)
+    leaf_of, boxes = build_tree(pts, zs, max(leaf_size, 2 * (k + 1)))
+    own = [f"{c}{i}" for i in range(len(features)) for c in "msw"] if refit else []
+    raw = list(features) if refit else []
+    p = own_scalers(pts, wide_moments(design_features(registry, features), features), features) if refit else pts
+    p = p.join(leaf_of, "vid").select("vid", "leaf", *zs, "cnt", "ids", *raw, *own)
+    p = cut_lineage(p)
+    # 3. radius covering k+1 units
+    radius = cut_lineage(p.select("vid", *zs, *raw, *own).join(search_radius(p, boxes, zs, k, refit), "vid"))
     # 4. descend the tree
     bx = boxes
     frontier = radius.select("vid", F.lit(1).cast("long").alias("node"))
     found = []
     while True:
         f = frontier.join(bx, "node").join(radius, "vid")
-        gap = None
-        for z in zs:
-            g = F.greatest(F.lit(0.0), F.col(f"lo_{z}") - F.col(z), F.col(z) - F.col(f"hi_{z}"))
-            gap = g * g if gap is None else gap + g * g
+        gap = _squares([F.greatest(F.lit(0.0), F.col(f"lo_{z}") - F.col(z), F.col(z) - F.col(f"hi_{z}")) for z in zs], refit)
         f = f.filter(F.sqrt(gap) <= F.col("rad")).select("vid", "node", "is_leaf")
         f = cut_lineage(f)
         found.append(f.filter("is_leaf").select("vid", F.col("node").alias("leaf")))
@@ -165,9 +211,16 @@ def similar_all(registry: DataFrame, k: int = 5, features: Sequence[str] = P.DES
     # candidates: points of the visited leaves within the radius
     t = visit.join(radius, "vid").alias("t")
     c = p.alias("c")
+    if refit:
+        def per(prefix):
+            return {f: F.col(f"t.{prefix}{i}") for i, f in enumerate(features)}
+        dist = scaled_distance({f: F.col(f"t.{f}") for f in features}, {f: F.col(f"c.{f}") for f in features},
+                               per("m"), per("s"), features)
+    else:
+        dist = F.sqrt(_sqdist("t", "c", zs))
     cand = t.join(c, F.col("t.leaf") == F.col("c.leaf")).select(
         F.col("t.vid").alias("vid"), F.col("c.vid").alias("cvid"), F.col("c.ids").alias("ids"),
-        F.sqrt(_sqdist("t", "c", zs)).alias("d"), F.col("t.rad").alias("rad"))
+        dist.alias("d"), F.col("t.rad").alias("rad"))
     cand = cand.filter(F.col("d") <= F.col("rad"))
     per_unit = cand.select("vid", "d", F.explode("ids").alias("transformer_id"))
     per_unit = per_unit.withColumn("score", round_half_even(F.lit(1.0) / (F.lit(1.0) + F.col("d")), 4))

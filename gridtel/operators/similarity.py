@@ -25,7 +25,8 @@ def design_features(registry: DataFrame, features: Sequence[str] = P.DESIGN_FEAT
                            *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
 
 
-def _fixed(c: str, scale: int) -> Column:
+def fixed(c: str, scale: int) -> Column:
+    """A column as an exact whole number of ``10 ** -scale`` units."""
     return F.round(F.col(c) * float(10 ** scale)).cast("decimal(38,0)")
 
 
@@ -33,7 +34,7 @@ def wide_moments(feats: DataFrame, features: Sequence[str], scale: int = READING
     """One row: n and exact s1/s2 per feature."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in features:
-        x = _fixed(f, scale)
+        x = fixed(f, scale)
         aggs += [F.sum(x).alias(f"s1_{f}"), F.sum(x * x).alias(f"s2_{f}")]
     return feats.agg(*aggs)
 

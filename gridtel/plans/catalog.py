@@ -869,6 +869,13 @@ def q_similar_all(spark, sf_dir):
     return knn.similar_all(Layers(spark, sf_dir).registry, 5)
 
 
+@register("similar_all_refit", O.similar_refit_sql(5, PARAMS.DESIGN_FEATURES))
+def q_similar_all_refit(spark, sf_dir):
+    """K2/K5: exact top-5 for every unit, each target's scaler fitted on the other units."""
+    from ..operators import knn
+    return knn.similar_all(Layers(spark, sf_dir).registry, 5, refit=True)
+
+
 @register("dq_state_mismatch", P("""
 SELECT id, transformer_id, ts, state, state_recomputed FROM int_tel WHERE state IS DISTINCT FROM state_recomputed"""))
 def q_dq_state_mismatch(spark, sf_dir):

@@ -278,3 +278,26 @@ def similar_all_sql(k: int, features, scale: int = 4) -> str:
                {rhe(f'1e0 / (1e0 + sqrt({terms}))', 4)} AS score
         FROM zu a JOIN zu b ON a.transformer_id <> b.transformer_id))
 WHERE rank <= {k}""", extra)
+
+
+def similar_refit_sql(k: int, features, scale: int = 4) -> str:
+    """Exact top-k for every unit by brute force, the scaler fitted for every target on the other units."""
+    feat = ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0e0) AS {f}" for f in features)
+    exact = {f: f"CAST({f} AS DECIMAL(19,{scale}))" for f in features}
+    others = [f"CAST(sum({x}) OVER everyone - {x} AS DOUBLE) AS s1_{f}, CAST(sum({x} * {x}) OVER everyone - {x} * {x} AS DOUBLE) AS s2_{f}"
+              for f, x in exact.items()]
+    scaler = [f"s1_{f} / n AS mean_{f}, sqrt(greatest((s2_{f} - s1_{f} * s1_{f} / n) / n, 0e0)) AS dev_{f}" for f in features]
+    terms = []
+    for f in features:
+        sd = f"(CASE WHEN t.dev_{f} = 0 THEN 1e0 ELSE t.dev_{f} END)"
+        d = f"((t.{f} - t.mean_{f}) / {sd} - (c.{f} - t.mean_{f}) / {sd})"
+        terms.append(f"{d} * {d}")
+    extra = (f"units AS (SELECT transformer_id, {feat} FROM reg)",
+             f"""others AS (SELECT *, CAST(count(*) OVER everyone - 1 AS DOUBLE) AS n, {', '.join(others)}
+  FROM units WINDOW everyone AS ())""",
+             f"scaled AS (SELECT *, {', '.join(scaler)} FROM others)")
+    return pipeline_sql(f"""SELECT target_id, rank, transformer_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY score DESC, transformer_id) AS rank
+  FROM (SELECT t.transformer_id AS target_id, c.transformer_id, {rhe(f"1e0 / (1e0 + sqrt({' + '.join(terms)}))", 4)} AS score
+        FROM scaled t JOIN units c ON t.transformer_id <> c.transformer_id))
+WHERE rank <= {k}""", extra)

@@ -62,3 +62,74 @@ def test_hot_duplicate_design(spark):
     assert [r.transformer_id for r in rows] == ["TR-00002", "TR-90000", "TR-90001", "TR-90002", "TR-90003"]
     assert all(r.score == 1.0 for r in rows)
     assert res.count() == (reg.count() + 100) * 5
+
+
+def brute_refit(pdf, k, feats):
+    """Per target: fit on the others, score, sort — one plain pass for each."""
+    x = pdf[feats].fillna(0.0).to_numpy(dtype=float)
+    ids, out = pdf["transformer_id"].to_numpy(), {}
+    for i in range(len(x)):
+        rest = np.delete(x, i, axis=0)
+        mean, std = rest.mean(axis=0), rest.std(axis=0)
+        std[std < 1e-9] = 1.0
+        d = np.sqrt((((x[i] - mean) / std - (x - mean) / std) ** 2).sum(axis=1))
+        cand = sorted((-_score(d[j]), ids[j]) for j in range(len(x)) if j != i)
+        out[ids[i]] = [(c[1], -c[0]) for c in cand[:k]]
+    return out
+
+
+def _lists(df):
+    got = {}
+    for r in df.orderBy("target_id", "rank").collect():
+        got.setdefault(r.target_id, []).append((r.transformer_id, r.score))
+    return got
+
+
+@pytest.mark.parametrize("leaf", [16, 128])
+def test_refit_matches_brute_force(spark, leaf):
+    reg = Layers(spark, SF).registry
+    assert _lists(knn.similar_all(reg, 5, leaf_size=leaf, refit=True)) == brute_refit(reg.toPandas(), 5, list(P.DESIGN_FEATURES))
+
+
+def test_refit_agrees_with_one_target(spark):
+    from gridtel.operators.similarity import similar_one
+    reg = Layers(spark, SF).registry.cache()
+    got = _lists(knn.similar_all(reg, 5, leaf_size=16, refit=True))
+    for target in sorted(got)[::60]:
+        assert got[target] == [tuple(r) for r in similar_one(reg, target, 5).collect()]
+
+
+def test_refit_outlier_and_constant_feature(spark):
+    """One unit alone differs in a feature: without it the feature is constant (deviation 1); a feature all share too."""
+    feats = ["a", "b", "c"]
+    rows = [(f"TR-{i:03d}", float(i % 7), 10.0, 50.0) for i in range(60)] + [("TR-900", 3.0, 10.0, 52.0)]
+    df = spark.createDataFrame(rows, "transformer_id string, a double, b double, c double")
+    got = _lists(knn.similar_all(df, 4, feats, leaf_size=8, refit=True))
+    assert got == brute_refit(df.toPandas(), 4, feats)
+    assert got["TR-900"][0] == ("TR-003", 0.3333)
+    one = df.limit(1)
+    assert knn.similar_all(one, 4, feats, refit=True).count() == 0
+    assert knn.similar_all(df.limit(0), 4, feats, refit=True).count() == 0
+
+
+@pytest.mark.parametrize("refit", [False, True])
+def test_radii_are_finite(spark, refit):
+    """Points in leaves with fewer than k + 1 units take the smallest enclosing box that has enough."""
+    from pyspark.sql import functions as F
+    feats = ["a", "b"]
+    rows = [(f"TR-{i:04d}", 0.0, float(i) / 10) for i in range(200)] + [("TR-9000", 500.0, 0.0), ("TR-9001", 501.0, 7.0)]
+    df = spark.createDataFrame(rows, "transformer_id string, a double, b double")
+    units = knn.scaled_points(df, feats)
+    pts = knn.distinct_points(units, feats, 5)
+    leaf_of, boxes = knn.build_tree(pts, ["z0", "z1"], 12)
+    full = knn.own_scalers(pts, knn.wide_moments(knn.design_features(df, feats), feats), feats).join(leaf_of, "vid")
+    small = full.groupBy("leaf").agg(F.sum("cnt").alias("n")).filter("n < 6").count()
+    rad = knn.search_radius(full, boxes, ["z0", "z1"], 5, refit)
+    assert small > 0 and rad.count() == 202
+    x = full.join(rad, "vid").toPandas()
+    z = x[["z0", "z1"]].to_numpy()
+    w = x[["w0", "w1"]].to_numpy() if refit else np.ones_like(z)
+    for i in range(len(z)):
+        d = np.sqrt((((z[i] - z) * w[i]) ** 2).sum(axis=1))
+        assert (d <= x["rad"][i]).sum() >= 6
+    assert _lists(knn.similar_all(df, 5, feats, leaf_size=12, refit=True)) == brute_refit(df.toPandas(), 5, feats)
