@@ -1,9 +1,10 @@
 """Isolation-Forest anomaly scoring over telemetry.
 
-Fit: every tree draws its ``sample`` rows without replacement from *all* rows, those with the smallest hash of (row key,
-seed, tree).  Only rows below a hash threshold that leaves each tree about four
-times its sample are handed on, so a tree's ``applyInPandas`` group stays that
-small at any input size; it grows the tree there (random feature, uniform split between the
+Fit: every tree draws its ``sample`` rows without replacement from *all* rows.  A row joins every tree with a chance that
+leaves each tree about four times its sample; one hash per row skips straight to the first tree that it joins, and only
+the rows that join one are looked at further.  Of those a tree keeps the ``sample`` rows with the smallest hash, by a limited
+window that drops most of them before the shuffle, so no task ever holds more than ``sample`` rows of a tree and its
+window.  A tree grows from its kept rows, packed into one array (random feature, uniform split between the
 node's min and max, height limit ceil(log2 sample)).  The node table (at most
 trees x (2 x sample - 1) rows) is the only data brought to the driver; it
 goes to the executors as a broadcast variable.
@@ -17,10 +18,11 @@ below it.  Output keeps every input row.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,35 +79,51 @@ def _grow(tree: int, x: np.ndarray, seed: int, max_depth: int) -> list[tuple]:
     return [tuple(n) for n in nodes]
 
 
+def _uniform(h: Column) -> Column:
+    """A hash as a number in [0, 1)."""
+    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(2 ** 53))
+
+
+def tree_samples(rows: DataFrame, key: Column, cols: Sequence[str], n: int, trees: int, sample: int) -> DataFrame:
+    """``tree, _h, *cols``: for every tree ``sample`` of the ``n`` rows (all when there are fewer), uniformly and independently.
+
+    ``key`` is a row's hash; rows with equal keys are drawn together.
+    """
+    p = min(1.0, 4.0 * sample / max(n, 1))
+    drawn = rows.select(key.alias("_own"), *cols)
+    t_all = F.sequence(F.lit(0), F.lit(trees - 1))
+    if p < 1.0:
+        # the number of trees skipped before the first is geometric; later trees are drawn one by one
+        skipped = F.floor(F.log1p(-_uniform(F.xxhash64("_own", F.lit(-1)))) / F.lit(math.log1p(-p)))
+        drawn = drawn.withColumn("_first", skipped).filter(F.col("_first") < trees)
+        t_all = F.filter(t_all, lambda t: (t == F.col("_first")) | (
+            (t > F.col("_first")) & (_uniform(F.xxhash64(F.col("_own"), t)) < F.lit(p))))
+    drawn = drawn.select("_own", *cols, F.explode(t_all).alias("tree"))
+    drawn = drawn.select("tree", F.xxhash64("_own", "tree", F.lit(1)).alias("_h"), *cols)
+    smallest = Window.partitionBy("tree").orderBy("_h", *cols)
+    return drawn.withColumn("_r", F.row_number().over(smallest)).filter(F.col("_r") <= sample).drop("_r")
+
+
 def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.IFOREST_TREES,
         sample: int = P.IFOREST_SAMPLE, seed: int = P.IFOREST_SEED) -> tuple[pd.DataFrame, int]:
     """Grow the forest; returns (node table, effective sample size)."""
     x = feature_matrix(df, features)
     xcols = [f"_x{i}" for i in range(len(features))]
-    # Every tree draws ``sample`` of all rows without replacement: the rows with the
-    # smallest hash of (key, seed, tree).  Only rows below a hash threshold that leaves
-    # each tree about four times its sample are handed on, so a tree's group stays near
-    # 4 x sample rows whatever the input's size.
-    n = x.count()
-    frac = min(1.0, 4.0 * sample / max(n, 1))
-    limit = min(int(frac * 2.0 ** 63), 2 ** 63 - 1)
     own = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+    drawn = tree_samples(x, own, xcols, x.count(), trees, sample)
+    packed = drawn.groupBy("tree").agg(F.sort_array(F.collect_list(F.struct("_h", *xcols))).alias("s")).select(
+        "tree", F.flatten(F.transform("s", lambda r: F.array(*[r[c] for c in xcols]))).alias("x"))
+    names = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
 
-    def draw(h, tree):
-        return F.xxhash64(h, tree).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-
-    drawn = x.select(own.alias("_own"), *xcols).withColumn(
-        "tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(F.col("_own"), t) <= F.lit(limit))))
-    drawn = drawn.withColumn("_h", draw(F.col("_own"), F.col("tree")))
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        xs = pdf.sort_values(["_h", *xcols])[xcols].to_numpy(dtype=float)[:sample]
-        depth = int(math.ceil(math.log2(max(len(xs), 2))))
-        return pd.DataFrame(_grow(tree, xs, seed, depth),
-                            columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
+    def grow(it):
+        for pdf in it:
+            nodes = []
+            for tree, flat in zip(pdf["tree"], pdf["x"]):
+                xs = np.asarray(flat, dtype=float).reshape(-1, len(xcols))
+                nodes += _grow(int(tree), xs, seed, int(math.ceil(math.log2(max(len(xs), 2)))))
+            yield pd.DataFrame(nodes, columns=names)
 
-    nodes = drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    nodes = packed.mapInPandas(grow, NODE_SCHEMA).toPandas()
     psi = int(nodes.loc[nodes["node"] == 0, "size"].max()) if len(nodes) else 0
     return nodes.sort_values(["tree", "node"]).reset_index(drop=True), psi
 

@@ -40,3 +40,38 @@ def test_deterministic_and_empty(spark):
     b = anomaly.detect(df.repartition(3)).toPandas().sort_values("timestamp")["score"].to_numpy()
     assert np.array_equal(a, b)
     assert anomaly.detect(df.limit(0)).count() == 0
+
+
+def test_tree_samples_are_uniform(spark):
+    """Every tree has its whole sample; rows are drawn evenly; trees are independent of each other."""
+    from pyspark.sql import functions as F
+    n, trees, sample = 20_000, 100, 64
+    rows = spark.range(n).withColumn("v", F.col("id").cast("double"))
+    got = anomaly.tree_samples(rows, F.xxhash64("id", F.lit(7)), ["v"], n, trees, sample).toPandas()
+    assert (got.groupby("tree")["v"].nunique() == sample).all() and got["tree"].nunique() == trees
+    bins = np.bincount((got["v"].to_numpy() // 1000).astype(int), minlength=20)
+    expected = trees * sample / 20
+    assert ((bins - expected) ** 2 / expected).sum() < 43.8  # chi-square, 19 degrees, 0.999
+    by_tree = {t: set(g["v"]) for t, g in got.groupby("tree")}
+    shared = [len(by_tree[a] & by_tree[b]) for a in range(trees) for b in range(a)]
+    assert abs(np.mean(shared) - sample ** 2 / n) < 0.03  # standard error 0.0064
+
+
+def test_tree_samples_take_all_of_few_rows(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(10).withColumn("v", F.col("id").cast("double"))
+    got = anomaly.tree_samples(rows, F.xxhash64("id"), ["v"], 10, 5, 64)
+    assert sorted((r.tree, r["n"]) for r in got.groupBy("tree").agg(F.countDistinct("v").alias("n")).collect()) == [(t, 10) for t in range(5)]
+
+
+def test_tree_samples_are_limited_before_the_shuffle(spark):
+    """A hot tree never reaches one task whole: the window keeps ``sample`` rows per tree on both sides of the exchange."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+    buf = io.StringIO()
+    rows = spark.range(5000).withColumn("v", F.col("id").cast("double"))
+    with contextlib.redirect_stdout(buf):
+        anomaly.tree_samples(rows, F.xxhash64("id"), ["v"], 5000, 10, 64).explain()
+    assert buf.getvalue().count("WindowGroupLimit") == 2
