@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params as PARAMS
 from ..functions.timefmt import to_rfc3339
-from ..operators import analytics, contract, lag, quality, registry, similarity
+from ..operators import analytics, contract, lag, paging, quality, registry, similarity
 from ..operators.dedup import duplicate_keys, keep_latest
 from . import oracle as O
 from .layers import ADAPTER_ID_PATTERN, Layers
@@ -362,6 +362,19 @@ def q_telemetry_window(spark, sf_dir):
     return analytics.newest_first_page(m, 100)
 
 
+DEEP_OFFSET = 25_000
+
+
+@register("measurements_deep_page", P(f"""
+SELECT * FROM meas ORDER BY ts DESC, transformer_id LIMIT 100 OFFSET {DEEP_OFFSET}"""))
+def q_measurements_deep_page(spark, sf_dir):
+    """L2: a deep page of all measurements, newest first, from their stored ranges."""
+    m = Layers(spark, sf_dir).measurements
+    order, path = [("ts", False), ("transformer_id", True)], _scratch(spark, "measurement-ranges")
+    paging.sort_by_range(m, path, order)
+    return paging.page(spark, path, m.schema, order, 100, DEEP_OFFSET)
+
+
 @register("telemetry_window_count", P(f"""
 SELECT 'telemetry_window' AS what, count(*) AS n FROM meas WHERE transformer_id = '{LOOKUP_UNIT}'
   AND ts >= TIMESTAMP '{WINDOW[0]}' AND ts <= TIMESTAMP '{WINDOW[1]}'
