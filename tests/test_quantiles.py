@@ -50,3 +50,16 @@ def test_large_range_has_no_product_and_no_window(spark):
     finally:
         quantiles.cut_lineage = real
     assert not any(word in plan for plan in seen for word in ("CartesianProduct", "NestedLoop", "Window"))
+
+
+@pytest.mark.parametrize("small", [0, 1, 40, 1500, 100_000])
+def test_narrowing_and_picking_agree(spark, small):
+    """From narrowing to the last value up to one array for everything: the same quantiles, for groups of unequal size."""
+    rng = np.random.default_rng(3)
+    vals = {"wide": rng.normal(0, 5, 4000), "tied": np.repeat([1.0, 2.0, 3.0], 900), "few": np.array([5.0, 7.0]), "one": np.array([9.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, x in vals.items() for v in x], "g string, v double").repartition(4)
+    qs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    rows = exact_quantiles(df, ["g"], "v", qs, grid=16, accuracy=200, small=small).collect()
+    assert len(rows) == len(vals) * len(qs)
+    for r in rows:
+        assert r["quantile"] == pytest.approx(np.percentile(vals[r["g"]], 100 * r["q"]), abs=1e-9), (r["g"], r["q"])
