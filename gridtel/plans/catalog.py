@@ -362,7 +362,7 @@ def q_telemetry_window(spark, sf_dir):
     return analytics.newest_first_page(m, 100)
 
 
-DEEP_OFFSET = 25_000
+DEEP_OFFSET = 3_000
 
 
 @register("measurements_deep_page", P(f"""
