@@ -190,3 +190,17 @@ def detect(df: DataFrame, key_cols=("transformer_id", "ts"), contamination: floa
 def summary(result: DataFrame) -> DataFrame:
     """Points analysed and outliers found."""
     return result.agg(F.count(F.lit(1)).alias("points"), F.count_if("anomaly").alias("outliers"))
+
+
+def label_audit(result: DataFrame) -> DataFrame:
+    """K10/A17 per unit: points, scores outside [-1, 0] (or null), and rows on the wrong side of the one threshold.
+
+    A threshold separates the labels, so no anomalous row may score above the lowest normal one (scores are rounded, so
+    equal ones may carry either label).
+    """
+    lowest = result.filter(~F.col("anomaly")).agg(F.min("score").alias("_low"))
+    j = result.withColumn("_k", F.lit(0)).join(F.broadcast(lowest.withColumn("_k", F.lit(0))), "_k", "left")
+    valid = F.coalesce(F.col("score").between(-1.0, 0.0), F.lit(False))
+    wrong = F.col("anomaly").isNull() | (F.col("anomaly") & (F.col("score") > F.col("_low")))
+    return j.groupBy("transformer_id").agg(F.count(F.lit(1)).alias("points"), F.count_if(~valid).alias("bad_scores"),
+                                           F.count_if(wrong).alias("mislabelled"))

@@ -75,3 +75,11 @@ def test_tree_samples_are_limited_before_the_shuffle(spark):
     with contextlib.redirect_stdout(buf):
         anomaly.tree_samples(rows, F.xxhash64("id"), ["v"], 5000, 10, 64).explain()
     assert buf.getvalue().count("WindowGroupLimit") == 2
+
+
+def test_label_audit_counts_contradictions(spark):
+    rows = [("a", -0.7, True), ("a", -0.4, False), ("a", -0.3, True), ("b", -0.4, True), ("b", 0.5, False), ("b", None, False),
+            ("c", -0.2, None)]
+    got = anomaly.label_audit(spark.createDataFrame(rows, "transformer_id string, score double, anomaly boolean"))
+    assert sorted(map(tuple, got.collect())) == [("a", 3, 0, 1), ("b", 3, 2, 0), ("c", 1, 0, 1)]
+    assert anomaly.label_audit(anomaly.detect(fixture(spark), contamination=0.05)).collect() == [("TR-001", 200, 0, 0)]
