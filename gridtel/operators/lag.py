@@ -63,30 +63,60 @@ def targets(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return oil, np.where(k <= 0, 0.0, pdf["winding_grad_c"].to_numpy() * kp ** 1.6)
 
 
-def model(pdf: pd.DataFrame, enters: State | None) -> tuple[np.ndarray, np.ndarray, State]:
-    """Oil and winding after every row of sorted rows, and the state they leave; ``enters`` counts if its unit goes on."""
-    unit, t = pdf["transformer_id"].to_numpy(), seconds_of(pdf["ts"])
-    start = np.ones(len(t), bool)
+def begins(unit: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted rows is the first of its unit."""
+    start = np.ones(len(unit), bool)
     start[1:] = unit[1:] != unit[:-1]
+    return start
+
+
+def scan_units(a: np.ndarray, b: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``scan`` of every unit's rows: what is no number stays within its unit, as such units are taken one by one."""
+    begin = np.flatnonzero(start)
+    sizes = np.diff(np.append(begin, len(b)))
+    odd = np.logical_or.reduceat(~np.isfinite(b), begin)
+    plain = ~np.repeat(odd, sizes)
+    out = np.empty_like(b)
+    out[plain] = scan(a[plain], b[plain])
+    for i in np.flatnonzero(odd):
+        own = slice(begin[i], begin[i] + sizes[i])
+        out[own] = scan(a[own], b[own])
+    return out
+
+
+def follow_units(pdf: pd.DataFrame, t: np.ndarray, start: np.ndarray, entering: np.ndarray,
+                 by_unit: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Oil and winding after every row of sorted rows at the times ``t``, with ``by_unit`` by ``scan_units``.
+
+    ``entering`` has a row (seconds, oil, winding) per unit, in order of the units' first rows ``start``: the state that a
+    unit goes on from, or no numbers when it begins here.
+    """
+    goes_on = ~np.isnan(entering[:, 0])
     previous = np.append(t[:1], t[:-1])
-    if enters is not None and enters.unit == unit[0]:
-        start[0], previous[0] = False, enters.seconds
-    dt = np.where(start, 0.0, np.maximum(t - previous, 0.0))
+    previous[start] = np.where(goes_on, entering[:, 0], t[start])
+    dt = np.maximum(t - previous, 0.0)
     oil_target, rise = targets(pdf)
-    ambient = pdf["ambient_temperature_c"].to_numpy()
+    ambient = pdf["ambient_temperature_c"].to_numpy()[start]
 
-    def follow(tau, target, first):
+    def follow(tau, target, held):
         a = np.exp(-dt / tau)
         b = (1 - a) * target
-        b[start] += a[start] * ambient[start]
+        b[start] += a[start] * np.where(goes_on, held, ambient)
         a[start] = 0.0
-        if not start[0]:
-            b[0] += a[0] * first
-            a[0] = 0.0
-        return scan(a, b)
+        return scan_units(a, b, start) if by_unit else scan(a, b)
+
+    oil = follow(P.OIL_TIME_CONSTANT_S, oil_target, entering[:, 1])
+    return oil, follow(P.WINDING_TIME_CONSTANT_S, oil + rise, entering[:, 2])
+
 
-    oil = follow(P.OIL_TIME_CONSTANT_S, oil_target, enters.oil if enters else 0.0)
-    winding = follow(P.WINDING_TIME_CONSTANT_S, oil + rise, enters.winding if enters else 0.0)
+def model(pdf: pd.DataFrame, enters: State | None) -> tuple[np.ndarray, np.ndarray, State]:
+    """Oil and winding after every row of sorted rows, and the state they leave; ``enters`` counts if its unit goes on."""
+    unit, t = pdf["transformer_id"].to_numpy(), seconds_of(pdf["ts"])
+    start = begins(unit)
+    entering = np.full((start.sum(), 3), np.nan)
+    if enters is not None and enters.unit == unit[0]:
+        entering[0] = enters.seconds, enters.oil, enters.winding
+    oil, winding = follow_units(pdf, t, start, entering)
     return oil, winding, State(unit[-1], float(t[-1]), float(oil[-1]), float(winding[-1]))
 
 

@@ -66,3 +66,20 @@ def test_late_readings_move_nothing_back(spark, scratch, tables):
         run(spark, scratch, reg, spark.createDataFrame([], schema).schema)
     out = {r.ts.strftime("%H:%M"): r.model_oil_c for r in spark.read.parquet(scratch + "/out").collect()}
     assert out["09:00"] == out["11:00"] < out["11:30"] and len(out) == 4
+
+
+def test_one_call_per_bucket_models_many_units(spark, scratch, tables):
+    """Units share buckets: each task call works on all units of a bucket, and their states do not mix."""
+    m, reg, want = tables
+    for i, part in enumerate(landings(m)):
+        part.repartition(3, "transformer_id").write.parquet(f"{scratch}/landing/{i}")
+    rows = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 3).parquet(scratch + "/landing/*")
+    lag_stream.start(spark, rows, reg, scratch + "/out", scratch + "/ck", buckets=2).awaitTermination()
+    compare(spark.read.parquet(scratch + "/out"), want)
+    state = spark.read.format("statestore").option("path", scratch + "/ck").option("stateVarName", "last").load()
+    assert 0 < state.count() <= 2
+
+
+def test_no_number_stays_in_its_unit():
+    got = lag.scan_units(np.array([0.0, 0.5, 0.0, 0.5]), np.array([np.nan, 1.0, 2.0, 1.0]), np.array([True, False, True, False]))
+    assert np.isnan(got[:2]).all() and list(got[2:]) == [2.0, 2.0]
