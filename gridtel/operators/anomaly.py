@@ -9,7 +9,7 @@ node's min and max, height limit ceil(log2 sample)).  The node table (at most
 trees x (2 x sample - 1) rows) is the only data brought to the driver; it
 goes to the executors as a broadcast variable.
 
-Score: ``mapInPandas`` walks all trees for a whole Arrow batch at once;
+Score: all trees, as complete binary trees, are walked for a whole Arrow batch at once;
 score = -2^(-E[h(x)] / c(sample)) in [-1, 0], higher = more normal.  The
 anomaly threshold is the exact ``contamination`` quantile of all scores
 (distributed, see ``quantiles``); a row is anomalous when its score is
@@ -22,13 +22,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.measures import round_half_even
-from ..session import cut_lineage
+from ..session import stored
 from .quantiles import exact_quantiles
 
 EULER = 0.5772156649015329
@@ -128,48 +129,72 @@ def fit(df: DataFrame, key_cols, features=P.TELEMETRY_FEATURES, trees: int = P.I
     return nodes.sort_values(["tree", "node"]).reset_index(drop=True), psi
 
 
-def _path_lengths(xs: np.ndarray, arrays, trees: int) -> np.ndarray:
-    feat, thr, left, right, size, depth, offs = arrays
+def _heaps(nodes: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The forest as complete binary trees of equal height: features and thresholds of the inner places (trees x places,
+    children of p at 2p + 1 and 2p + 2), path lengths of the bottom places.
+
+    A leaf above the bottom hands its path length to all places below it, so which way a row takes there is no matter.
+    """
+    trees, height = int(nodes["tree"].nunique()), int(nodes["depth"].max()) if len(nodes) else 0
+    inner = 2 ** height - 1
+    feature = np.zeros((trees, inner), np.int64)
+    threshold = np.zeros((trees, inner))
+    length = np.zeros((trees, inner + 1))
+    reached = nodes["depth"].to_numpy() + c_factor(nodes["size"].to_numpy())
+    for t, (_, own) in enumerate(nodes.assign(_e=reached).groupby("tree", sort=True)):
+        own = own.sort_values("node")
+        place = np.zeros(len(own), np.int64)
+        for n, f, thr, left, right, depth, e in zip(*(own[c].tolist() for c in ("node", "feature", "threshold", "left", "right", "depth", "_e"))):
+            p = place[n]
+            if f >= 0:
+                feature[t, p], threshold[t, p] = f, thr
+                place[left], place[right] = 2 * p + 1, 2 * p + 2
+            else:
+                below = 2 ** (height - depth)
+                first = (p + 1) * below - 1 - inner
+                length[t, first:first + below] = e
+    return feature, threshold, length
+
+
+def _path_lengths(xs: np.ndarray, heaps) -> np.ndarray:
+    """Mean path length of every row over all trees; a value that is no number goes right, as it is below no threshold."""
+    feature, threshold, length = heaps
+    trees, inner = feature.shape
+    height = (inner + 1).bit_length() - 1
+    values, first = np.ascontiguousarray(xs).ravel(), np.arange(len(xs), dtype=np.int64) * xs.shape[1]
     total = np.zeros(len(xs))
-    rows = np.arange(len(xs))
     for t in range(trees):
-        node = np.full(len(xs), offs[t], dtype=np.int64)
-        while True:
-            f = feat[node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            fi = np.where(inner, f, 0)
-            go_left = xs[rows, fi] <= thr[node]
-            nxt = np.where(go_left, left[node], right[node]) + offs[t]
-            node = np.where(inner, nxt, node)
-        total += depth[node] + c_factor(size[node])
+        place = np.zeros(len(xs), np.int64)
+        for _ in range(height):
+            below = values.take(first + feature[t].take(place)) <= threshold[t].take(place)
+            place += place
+            place += 2
+            place -= below
+        total += length[t].take(place - inner)
     return total / trees
 
 
 def score(df: DataFrame, nodes: pd.DataFrame, psi: int, features=P.TELEMETRY_FEATURES) -> DataFrame:
     """K8: adds ``_raw_score`` (unrounded) to every row."""
     trees = int(nodes["tree"].nunique()) if len(nodes) else 0
-    offs = nodes.groupby("tree")["node"].size().cumsum().shift(fill_value=0).to_numpy()
-    arrays = (nodes["feature"].to_numpy(), nodes["threshold"].to_numpy(), nodes["left"].to_numpy(),
-              nodes["right"].to_numpy(), nodes["size"].to_numpy(), nodes["depth"].to_numpy(), offs)
     cpsi = float(c_factor([psi])[0]) if psi > 1 else 1.0
-    bc = df.sparkSession.sparkContext.broadcast(arrays)  # <= trees x (2 x sample - 1) nodes
+    bc = df.sparkSession.sparkContext.broadcast(_heaps(nodes))  # about trees x (4 x sample) places
     x = feature_matrix(df, features)
-    xcols = [f"_x{i}" for i in range(len(features))]
-    out_schema = T.StructType(x.schema.fields + [T.StructField("_raw_score", T.DoubleType(), True)])
+    names = df.columns
+    n_kept = len(names)
+    out_schema = T.StructType(df.schema.fields + [T.StructField("_raw_score", T.DoubleType(), True)])
 
     def run(it):
-        for pdf in it:
-            if len(pdf) == 0 or trees == 0:
-                pdf["_raw_score"] = pd.Series(dtype=float)
-                yield pdf
-                continue
-            e = _path_lengths(pdf[xcols].to_numpy(dtype=float), bc.value, trees)
-            pdf["_raw_score"] = -np.power(2.0, -e / cpsi)
-            yield pdf
+        for batch in it:
+            kept = batch.columns[:n_kept]
+            if batch.num_rows == 0 or trees == 0:
+                scores = pa.nulls(batch.num_rows, pa.float64())
+            else:
+                xs = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[n_kept:]])
+                scores = pa.array(-np.power(2.0, -_path_lengths(xs, bc.value) / cpsi), pa.float64())
+            yield pa.RecordBatch.from_arrays([*kept, scores], [*names, "_raw_score"])
 
-    return x.mapInPandas(run, out_schema).drop(*xcols)
+    return x.mapInArrow(run, out_schema)
 
 
 def detect(df: DataFrame, key_cols=("transformer_id", "ts"), contamination: float = P.IFOREST_CONTAMINATION,
@@ -177,9 +202,10 @@ def detect(df: DataFrame, key_cols=("transformer_id", "ts"), contamination: floa
            features=P.TELEMETRY_FEATURES) -> DataFrame:
     """``transformer_id, timestamp, anomaly, score`` for every input row."""
     key_cols = list(key_cols)
-    nodes, psi = fit(df, key_cols, features, trees, sample, seed)
-    # the threshold needs several passes over the scores: score once, keep the result
-    scored = cut_lineage(score(df.select(*key_cols, *features), nodes, psi, features))
+    # counting, drawing and scoring each read the rows, the threshold reads the scores several times: both are stored once
+    rows = stored(df.select(*key_cols, *features), "anomaly-rows")
+    nodes, psi = fit(rows, key_cols, features, trees, sample, seed)
+    scored = stored(score(rows, nodes, psi, features).select(*key_cols, "_raw_score"), "anomaly-scores")
     thr = exact_quantiles(scored, [], "_raw_score", [contamination]).select(F.col("quantile").alias("_thr"))
     j = scored.withColumn("_k", F.lit(0)).join(F.broadcast(thr.withColumn("_k", F.lit(0))), "_k", "left")
     return j.select(F.col(key_cols[0]).alias("transformer_id"), F.col(key_cols[1]).alias("timestamp"),

@@ -83,3 +83,38 @@ def test_label_audit_counts_contradictions(spark):
     got = anomaly.label_audit(spark.createDataFrame(rows, "transformer_id string, score double, anomaly boolean"))
     assert sorted(map(tuple, got.collect())) == [("a", 3, 0, 1), ("b", 3, 2, 0), ("c", 1, 0, 1)]
     assert anomaly.label_audit(anomaly.detect(fixture(spark), contamination=0.05)).collect() == [("TR-001", 200, 0, 0)]
+
+
+def test_complete_trees_give_the_path_lengths_of_the_node_table():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    names = [c.split()[0] for c in anomaly.NODE_SCHEMA.split(", ")]
+    nodes = pd.DataFrame([n for t in range(12) for n in anomaly._grow(t, rng.normal(size=(64 if t else 3, 4)).round(1), 5, 6)], columns=names)
+    xs = rng.normal(size=(300, 4)).round(1)
+    xs[7, 2] = np.nan
+
+    def walk(x):
+        total = 0.0
+        for _, own in nodes.groupby("tree"):
+            own = own.set_index("node")
+            at = 0
+            while own.feature[at] >= 0:
+                at = own.left[at] if x[own.feature[at]] <= own.threshold[at] else own.right[at]
+            total += own.depth[at] + anomaly.c_factor([own["size"][at]])[0]
+        return total / 12
+
+    assert np.array_equal(anomaly._path_lengths(xs, anomaly._heaps(nodes)), [walk(x) for x in xs])
+
+
+def test_rows_are_computed_once(spark):
+    """Counting, drawing and scoring read stored rows; what is behind the input runs once."""
+    df = fixture(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(it):
+        for pdf in it:
+            seen.add(len(pdf))
+            yield pdf
+
+    assert anomaly.detect(df.mapInPandas(count, df.schema)).count() == 200
+    assert seen.value == 200
