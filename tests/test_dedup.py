@@ -26,3 +26,24 @@ def test_nulls_never_win(spark):
     first = {r.k: r.v for r in keep_first(df, ["k"], ["t"]).collect()}
     latest = {r.k: r.v for r in keep_latest(df, ["k"], ["t"]).collect()}
     assert first == {"a": 2, "b": 4} and latest == {"a": 3, "b": 4}
+
+
+def test_measurements_shuffle_no_payload(spark):
+    """Measurements come from the accepted messages in one shuffle of their own columns, with the rows of the two steps."""
+    import contextlib
+    import io
+
+    from gridtel.operators import contract, ingest
+    from gridtel.plans.layers import Layers
+    L = Layers(spark, "/root/testdata/sf0.001")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        L.measurements.explain()
+    partial = [line for line in buf.getvalue().splitlines() if "partial_min(struct(" in line]
+    assert len(partial) == 1 and "payload" not in partial[0]
+    twice = spark.createDataFrame([("a", i, v) for i in range(3) for v in (None, 2.0, 1.0)], "k string, t int, v double")
+    assert keep_latest(twice, ["k"], ["t", "v"]).collect() == [("a", 2, 2.0)]
+    assert keep_first(twice, ["k"], ["t", "v"]).collect() == [("a", 0, 1.0)]
+    two_steps = ingest.measurements(ingest.first_accepted(L.validated))
+    assert sorted(map(str, L.measurements.collect())) == sorted(map(str, two_steps.collect()))
+    assert contract.accepted(L.validated).count() >= two_steps.count()
