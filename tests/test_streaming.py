@@ -265,3 +265,19 @@ def test_undated_raw_records_are_stored_once(spark, scratch):
     for dump in ("/dump1", "/dump2"):
         backfill(spark, scratch + "/csv", scratch + dump, scratch + "/out", ADAPTER_ID_PATTERN)
     assert stream.read_tables(spark, scratch + "/out")["raw"].count() == 1
+
+
+def test_bronze_dump_is_compressed(spark, scratch):
+    """Both kinds of line are kept in gzip files, and read back as they were."""
+    import glob
+
+    from gridtel.plans.layers import Layers
+    from gridtel.sources import files
+    L = Layers(spark, SF)
+    first = L.first.limit(50).cache()
+    from gridtel.operators import ingest
+    files.write_bronze_lines(ingest.raw_records(first), first, scratch + "/dump")
+    parts = glob.glob(scratch + "/dump/part-*")
+    assert parts and all(p.endswith(".gz") for p in parts)
+    got = files.read_bronze_lines(spark, scratch + "/dump")
+    assert got["raw"].count() == got["measurements"].count() == 50
