@@ -4,9 +4,12 @@ import io
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from gridtel.operators import silver
 from gridtel.plans import layers
+from gridtel.sources import adapter
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +50,19 @@ def test_dedup_is_an_aggregate(spark):
     p = plan(keep_first(df, ["k"], ["t"]))
     assert "Window" not in p
     assert p.count("HashAggregate") + p.count("ObjectHashAggregate") + p.count("SortAggregate") >= 2
+
+
+def test_staging_deals_its_rows_once(spark):
+    L = layers.Layers(spark, SF + "/")  # another name: nothing is stored for it
+    staged = L.stg
+    dealt = [line for line in plan(staged).splitlines() if "hashpartitioning(" in line and "_reg_id" not in line]
+    assert len(dealt) == 1 and "timestamp" in dealt[0]
+    again = silver.stg_telemetry(L.raw)  # from raw rows alone, by the payload's own text
+    assert sorted(staged.columns) == sorted(again.columns)
+    assert staged.count() > 0 and staged.exceptAll(again).isEmpty() and again.exceptAll(staged).isEmpty()
+
+
+def test_unit_ids_are_the_formatters(spark):
+    rows = spark.createDataFrame([(k,) for k in (0, 7, 99999, 100000, 2 ** 40, -5, None)], "k long")
+    odd = rows.where(adapter.unit_id("k") != F.format_string("TR-%05d", "k"))
+    assert odd.count() == 0 and rows.select(adapter.unit_id("k")).collect()[1][0] == "TR-00007"
