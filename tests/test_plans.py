@@ -66,3 +66,15 @@ def test_unit_ids_are_the_formatters(spark):
     rows = spark.createDataFrame([(k,) for k in (0, 7, 99999, 100000, 2 ** 40, -5, None)], "k long")
     odd = rows.where(adapter.unit_id("k") != F.format_string("TR-%05d", "k"))
     assert odd.count() == 0 and rows.select(adapter.unit_id("k")).collect()[1][0] == "TR-00007"
+
+
+def test_a_task_reads_a_bounded_part_of_a_file(spark):
+    from gridtel.session import apply_conf
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for given, wanted in (("128m", "16m"), ("1m", "1m")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+            apply_conf(spark)
+            assert spark.conf.get("spark.sql.files.maxPartitionBytes") == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
