@@ -181,7 +181,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                 ok.append(overlap(shingles(text_a), bag) >= similarity)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    # two numbers a link: written in a file per core, not in one per partition of texts
+    return both.mapInArrow(run, "a long, b long").repartition(pairs.sparkSession.sparkContext.defaultParallelism)
 
 
 def _elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

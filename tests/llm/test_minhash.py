@@ -123,3 +123,12 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["class"] for r in components(links).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_links_are_written_in_few_files(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    texts = spark.createDataFrame([(i, text if i % 2 else text + " more") for i in range(20)], "node long, text string")
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 20)], "a long, b long").repartition(40, "a")
+    links = M._verify(pairs, texts, 0.8)
+    assert links.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(links.collect()) == [(i, 0) for i in range(1, 20)]
