@@ -133,3 +133,45 @@ def test_radii_are_finite(spark, refit):
         d = np.sqrt((((z[i] - z) * w[i]) ** 2).sum(axis=1))
         assert (d <= x["rad"][i]).sum() >= 6
     assert _lists(knn.similar_all(df, 5, feats, leaf_size=12, refit=True)) == brute_refit(df.toPandas(), 5, feats)
+
+
+def _scattered(spark, n):
+    rng = np.random.default_rng(5)
+    rows = [(f"TR-{i:05d}", float(rng.integers(0, 9)), round(float(rng.normal(40, 9)), 2), float(i % 3)) for i in range(n)]
+    rows += [(f"TR-8{i:04d}", *rows[i][1:]) for i in range(0, n, 10)] + [("TR-99999", 900.0, 1.0, 7.0)]
+    return spark.createDataFrame(rows, "transformer_id string, a double, b double, c double")
+
+
+@pytest.mark.parametrize("task_points", [12, 100])
+def test_nodes_of_few_points_are_split_in_one_task(spark, task_points):
+    """Levels made by aggregates, levels made in a task, and both: one tree whose boxes and counts fit its points."""
+    feats, zs = ["a", "b", "c"], ["z0", "z1", "z2"]
+    pts = knn.distinct_points(knn.scaled_points(_scattered(spark, 400), feats), feats, 5)
+    leaf_of, boxes = knn.build_tree(pts, zs, 12, task_points=task_points)
+    p = pts.join(leaf_of, "vid").toPandas()
+    nodes = {r["node"]: r for r in boxes.collect()}
+    assert len(p) == pts.count() and len(nodes) == boxes.count()
+    for node, r in nodes.items():
+        inside = p[[leaf >> max(int(leaf).bit_length() - int(node).bit_length(), 0) == node for leaf in p["leaf"]]]
+        assert len(inside) == r["n"] and r["is_leaf"] == (2 * node not in nodes) == (r["n"] <= 12)
+        assert [r[f"lo_{z}"] for z in zs] == inside[zs].min().tolist() and [r[f"hi_{z}"] for z in zs] == inside[zs].max().tolist()
+
+
+@pytest.mark.parametrize("refit", [False, True])
+def test_leaves_search_the_tree_together(spark, refit):
+    """Every point's neighbours lie in the leaves that its leaf is paired with; the lists equal the all-pairs ones."""
+    feats, zs = ["a", "b", "c"], ["z0", "z1", "z2"]
+    df = _scattered(spark, 400)
+    pts = knn.distinct_points(knn.scaled_points(df, feats), feats, 5)
+    leaf_of, boxes = knn.build_tree(pts, zs, 12, task_points=50)
+    full = knn.own_scalers(pts, knn.wide_moments(knn.design_features(df, feats), feats), feats).join(leaf_of, "vid")
+    radius = full.join(knn.search_radius(full, boxes, zs, 5, refit), "vid")
+    pairs = {tuple(r) for r in knn.leaf_pairs(radius, boxes, zs, refit).collect()}
+    x = radius.toPandas()
+    z, w = x[zs].to_numpy(), x[["w0", "w1", "w2"]].to_numpy() if refit else np.ones((len(x), 3))
+    for i in range(len(x)):
+        near = np.sqrt((((z[i] - z) * w[i]) ** 2).sum(axis=1)) <= x["rad"][i]
+        assert {(x["leaf"][i], to) for to in x["leaf"][near]} <= pairs
+    assert len(pairs) < x["leaf"].nunique() ** 2
+    if refit:
+        assert _lists(knn.similar_all(df, 5, feats, leaf_size=12, refit=True, task_points=50)) == brute_refit(df.toPandas(), 5, feats)
