@@ -208,3 +208,27 @@ def test_long_values_are_not_cut_for_training(spark):
     assert net is not None
     only_long = spark.createDataFrame([r for r in rows if r[0] % 2], "doc_id long, text string")
     assert S.train(S.findings(only_long)) is None
+
+
+def test_all_findings_are_trained_on(spark, monkeypatch):
+    """Findings beyond one task's share go to further tasks; none is left out, and the rarer label reaches every task."""
+    rows = [(i, f"some words then token = \"{hashlib.sha256(str(i).encode()).hexdigest()}\" and more section-{i}-part words"
+                f" or chapter-{i}-page") for i in range(90)]
+    found = S.findings(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    monkeypatch.setattr(S, "TASK_SECRETS", 50)
+    monkeypatch.setattr(S, "TASK_OTHERS", 40)
+    shares, tasks = S.dealt(found)
+    shares = shares.collect()
+    wanted = {(c["label"], c["view"]) for r in found.collect() for c in r["candidates"]}
+    assert {(r["label"], r["view"]) for r in shares} == wanted and len(wanted) == 270
+    assert {(r["label"], r["rank"]) for r in shares} == {(1, i) for i in range(90)} | {(0, i) for i in range(180)}
+    assert tasks == 5 and {(r["label"], r["chunk"]) for r in shares} == {(y, c) for y in (0, 1) for c in range(tasks)}
+    others = [r["chunk"] for r in shares if r["label"] == 0]
+    assert len(others) == 180 and max(map(others.count, range(tasks))) <= 40
+    monkeypatch.setattr(S, "TASK_OTHERS", 100)
+    assert S.dealt(found)[1] == 2
+    net = S.train(found)
+    secret, plain = ([S._view(f"words here value = \"{v}\" and", 20, 20 + len(v)) for v in values] for values in (
+        [hashlib.sha256(str(i).encode()).hexdigest()[:40].upper() for i in range(50)], [f"section-{i}-words" for i in range(50)]))
+    assert net.probability(secret).mean() > net.probability(plain).mean() + 0.3
+    assert (net.probability(plain) >= net.threshold).mean() <= 0.2
