@@ -281,3 +281,38 @@ def test_bronze_dump_is_compressed(spark, scratch):
     assert parts and all(p.endswith(".gz") for p in parts)
     got = files.read_bronze_lines(spark, scratch + "/dump")
     assert got["raw"].count() == got["measurements"].count() == 50
+
+
+def test_packed_rows_come_back_whole(spark):
+    """What passes through the state as one text keeps every value, and its instants to the microsecond."""
+    from gridtel.streaming import delivery_state as D
+    df = spark.sql("""select *, timestamp_micros(us) as at from values
+        ('a"\\\\b{', 1L, double('NaN'), 1), ('', -1L, 4.9E-324D, null), ('é😀', 253402300799999999L, null, 3), (null, null, -0.0D, 4)
+        as v(text, us, number, whole)""")
+    back = D.unpack(df.select(D.pack(df).alias("_row"), df.whole.alias("kept")), "_row", df.schema.fields)
+    assert back.columns == df.columns + ["kept"]
+    as_text = lambda d: sorted(str(r) for r in d.selectExpr("text", "us", "number", "whole", "unix_micros(at)").collect())
+    assert as_text(back) == as_text(df)
+    at = [r[0] for r in df.where("us = 1").select(D._instant_text("text", "at")).collect()]
+    assert at == ['a"\\b{@1970-01-01T00:00:00.000001+00:00']
+
+
+def test_landings_are_compressed_and_their_shuffles_go(spark):
+    import glob
+    import time
+
+    from gridtel.session import checkpoint_dir
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {n for f in [disk.getAllFiles()] for i in range(f.size()) if "shuffle" in (n := f.apply(i).getName())}
+    base = checkpoint_dir(spark).removeprefix("file:")
+    old, landed = shuffles(), set(glob.glob(f"{base}/landing-*"))
+    E.queries()["stream_ingest"](spark, SF)
+    (landing,) = set(glob.glob(f"{base}/landing-*")) - landed
+    files = glob.glob(f"{landing}/*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    for _ in range(50):
+        left = shuffles() - old
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
