@@ -81,3 +81,11 @@ def test_redelivery_first_wins(spark):
 def test_topic_parse(spark, topic, unit):
     from gridtel.functions.text import topic_unit
     assert spark.createDataFrame([(topic,)], "t string").select(topic_unit("t")).first()[0] == unit
+
+
+def test_timestamp_text_is_read_once(spark):
+    """The rules and the output name the instant; a plan that repeats it matches every text again for each."""
+    from gridtel.operators import contract
+    from gridtel.plans.layers import Layers
+    plan = contract.accepted(Layers(spark, "/root/testdata/sf0.001").validated)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("^\\d{4}-") == 1

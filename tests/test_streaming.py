@@ -316,3 +316,20 @@ def test_landings_are_compressed_and_their_shuffles_go(spark):
             break
         time.sleep(0.2)
     assert not left
+
+
+def test_dump_in_one_pass_and_lines_parsed_once(spark, scratch):
+    from gridtel import schemas as S
+    from gridtel.operators import ingest
+    from gridtel.sources import files
+    L = Layers(spark, SF)
+    fields = [n for n, _ in S.PAYLOAD_FIELDS]
+    files.write_bronze_lines(L.raw, L.first.select(*fields), scratch + "/two")
+    files.write_bronze_lines(ingest.raw_records(L.first, L.source, [f for f in fields if f not in L.raw.columns]), None, scratch + "/one")
+    lines = [sorted(r[0] for r in spark.read.text(scratch + d).collect()) for d in ("/one", "/two")]
+    assert lines[0] == lines[1] and len(lines[0]) == 2 * L.raw.count()
+    got = files.read_bronze_lines(spark, scratch + "/one")
+    for kind in ("raw", "measurements"):   # what reads them reads columns, not lines
+        plan = got[kind]._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan and "json_object" not in plan
+        assert got[kind].count() == L.raw.count()
